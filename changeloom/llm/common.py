@@ -11,7 +11,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 U64 = np.uint64
 CHUNK_BYTES = 1 << 20
@@ -266,3 +267,32 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
         ws.drop(large)
         ws.drop(e)
         e = new
+
+
+# ------------------------------------------------------------------ annotating texts
+
+
+def fresh_name(taken: list[str], name: str) -> str:
+    """`name`, with underscores before it until no column has it (whatever its case)."""
+    have = {x.lower() for x in taken}
+    while name.lower() in have:
+        name = "_" + name
+    return name
+
+
+def annotate(df: DataFrame, text: str, fn: Callable[[np.ndarray, np.ndarray], list], fields: list[tuple[str, str]], keep: list[str]) -> DataFrame:
+    """The columns `keep` with those that `fn(bytes, offsets)` computes from the whole texts, in one pass without a shuffle."""
+    inner = "text" if text in keep else fresh_name(keep, "text")
+    cols = [F.col(f"`{c}`") for c in keep] + ([] if text in keep else [F.col(f"`{text}`").cast("string").alias(inner)])
+    source = df.select(*cols)
+    at = keep.index(text) if text in keep else len(keep)
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in source.schema.fields[: len(keep)]] + [T.StructField(n, T._parse_datatype_string(t), True) for n, t in fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in text_chunks(batch.column(at)):
+                new = [x if isinstance(x, pa.Array) else pa.array(x) for x in fn(c.buf, c.off)]
+                old = [batch.column(i).slice(c.lo, c.hi - c.lo) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays(old + new, names=schema.names)
+
+    return source.mapInArrow(run, schema)

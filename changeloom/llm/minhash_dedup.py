@@ -139,11 +139,9 @@ def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids_a, ids_b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-            linked, last, left = np.zeros(batch.num_rows, bool), None, None
+            linked = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
-                if last != ids_a[i]:
-                    last, left = ids_a[i], _one_set(batch.column("text_a")[i])
-                right = _one_set(batch.column("text_b")[i])
+                left, right = (_one_set(batch.column(c)[i]) for c in ("text_a", "text_b"))
                 both = np.concatenate([left, right])
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
