@@ -85,25 +85,25 @@ def has_letter(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------------ machines
 
 
-def svm(x: np.ndarray, y: np.ndarray, c: float = 1e-3, rounds: int = 150) -> tuple[np.ndarray, float, float]:
+def svm(x: np.ndarray, y: np.ndarray, c: float = 1e-3, rounds: int = 100) -> tuple[np.ndarray, float, float]:
     """(weights, bias, slope) of a linear machine with squared hinge loss; slope turns a margin into log odds. y is +1 or -1."""
-    spread = x.std(0) + 1e-4 * x.std() + 1e-9
-    z = x / spread
+    spread = (x.std(0) + 1e-4 * x.std() + 1e-9).astype(np.float32)
+    z, y = x / spread, y.astype(np.float32)
     n = len(y)
-    balance = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    v = np.random.default_rng(0).standard_normal(z.shape[1])
+    balance = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
+    v, norm = np.random.default_rng(0).standard_normal(z.shape[1]).astype(np.float32), np.float32(1)
     for _ in range(8):
         v = z.T @ (balance * (z @ v))
-        norm = np.linalg.norm(v) + 1e-12
+        norm = np.linalg.norm(v) + np.float32(1e-12)
         v /= norm
-    step = 1 / (2 * (norm + 1) + c)
-    w, b = np.zeros(z.shape[1]), 0.0
+    step = np.float32(1 / (2 * (norm + 1) + c))
+    w, b = np.zeros(z.shape[1], np.float32), np.float32(0)
     vw, vb, t = w, b, 1.0
     for _ in range(rounds):
         slack = np.maximum(0, 1 - y * (z @ vw + vb)) * balance * y
-        nw, nb = vw + step * (2 * (z.T @ slack) - c * vw), vb + step * 2 * slack.sum()
+        nw, nb = vw + step * (2 * (slack @ z) - np.float32(c) * vw), vb + step * 2 * slack.sum()
         t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        vw, vb = nw + (t - 1) / t2 * (nw - w), nb + (t - 1) / t2 * (nb - b)
+        vw, vb = nw + np.float32((t - 1) / t2) * (nw - w), nb + np.float32((t - 1) / t2) * (nb - b)
         w, b, t = nw, nb, t2
     margin, slope = y * (z @ w + b), 1.0
     for _ in range(60):  # one-parameter logistic fit of the margins

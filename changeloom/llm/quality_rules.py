@@ -24,6 +24,8 @@ from changeloom.llm.common import annotate, fresh_name, held_out, span_hashes, w
 
 MAX_TRAIN = 20_000
 TREES, DEPTH, BINS, SHRINK = 60, 3, 32, 0.15
+MAX_RULES = 40
+PENALTIES = (3e-2, 1e-2, 3e-3, 1e-3, 3e-4)  # falling
 THRESHOLD = 0.7
 MODULUS, REMAINDER = 4, 2
 
@@ -232,16 +234,24 @@ def fit(x: np.ndarray, y: np.ndarray, names: list[str], seed: int = 10) -> RuleM
     rules = [q for q in columns.values() if 0 < _holds(q, x).sum() < len(x)]
     r = np.stack([_holds(q, x) for q in rules], 1).astype(np.float64) if rules else np.zeros((len(y), 0))
     check = rng.random(len(y)) < 0.25
-    best = (np.inf, 1e-3)
-    if r.shape[1] and 0 < y[~check].mean() < 1:
-        for penalty in (3e-3, 1e-3, 3e-4, 1e-4):
+    tried = []
+    if r.shape[1] and check.any() and 0 < y[~check].mean() < 1:
+        for penalty in PENALTIES:
             w, b = _lasso(r[~check], y[~check], penalty, 200)
             p = np.clip(1 / (1 + np.exp(-(r[check] @ w + b))), 1e-9, 1 - 1e-9)
-            loss = -(y[check] * np.log(p) + (1 - y[check]) * np.log(1 - p)).mean() if check.any() else 0.0
-            if loss < best[0] - 1e-5:
-                best = (loss, penalty)
-    w, b = _lasso(r, y, best[1]) if r.shape[1] else (np.zeros(0), float(np.log(y.mean() / (1 - y.mean()))))
-    on = np.flatnonzero(np.abs(w) > 1e-6)
+            loss = -(y[check] * np.log(p) + (1 - y[check]) * np.log(1 - p))
+            tried.append((loss.mean(), loss.std() / len(loss) ** 0.5, penalty))
+    # The largest penalty within a standard error of the best: few rules. MAX_RULES bounds the compiled expression.
+    least = min(tried, default=(0.0, 0.0, PENALTIES[0]))
+    penalty = next((p for mean, _, p in tried if mean <= least[0] + least[1]), least[2])
+    w, b = _lasso(r, y, penalty) if r.shape[1] else (np.zeros(0), float(np.log(y.mean() / (1 - y.mean()))))
+    on = np.sort(np.argsort(-np.abs(w), kind="stable")[:MAX_RULES])
+    on = on[np.abs(w[on]) > 1e-6]
+    if len(on):  # the kept rules' weights once more, barely penalised, as the lasso shrinks them
+        kept, b = _lasso(r[:, on], y, 1e-5)
+        w = np.zeros(len(w))
+        w[on] = kept
+        on = on[np.abs(kept) > 1e-6]
     return RuleModel(tuple(names), tuple(rules[i] for i in on), tuple(float(w[i]) for i in on), float(b))
 
 
