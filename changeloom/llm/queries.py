@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeloom.llm import embedding_dedup, language_id, minhash_dedup, packing, quality_rules
+from changeloom.llm import embedding_dedup, language_id, lm_scoring, minhash_dedup, order_minhash, packing, quality_rules, warc
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,18 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -37,6 +49,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_language_id": op5_language_id,
+    "op6_order_minhash": op6_order_minhash,
+    "op7_lm_scoring": op7_lm_scoring,
+    "op8_warc": op8_warc,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
