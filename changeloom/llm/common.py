@@ -164,12 +164,13 @@ class Words(NamedTuple):
     off: np.ndarray  # word offsets of the documents
 
 
-def word_spans(buf: np.ndarray, off: np.ndarray) -> Words:
+def word_spans(buf: np.ndarray, off: np.ndarray, blank: np.ndarray = _BLANK) -> Words:
+    """Maximal runs of bytes outside `blank`, within each document."""
     n = len(buf)
     if not n:
         none = np.zeros(0, np.int64)
         return Words(none, none, np.zeros(len(off), np.int64))
-    solid = ~_BLANK[buf]
+    solid = ~blank[buf]
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]

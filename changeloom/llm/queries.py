@@ -9,7 +9,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeloom.llm import embedding_dedup, language_id, lm_scoring, minhash_dedup, order_minhash, packing, quality_rules, warc
+from changeloom.llm import embedding_dedup, language_id, license_scan, lm_scoring, minhash_dedup, order_minhash, packing, quality_rules, sentencepiece, warc
+
+#: A public vocabulary; no copy of it is in the repository.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,11 +47,16 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECES) -> DataFrame:
+    return sentencepiece.digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), model)
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
@@ -52,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_order_minhash": op6_order_minhash,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_warc": op8_warc,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
