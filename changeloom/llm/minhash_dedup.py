@@ -3,8 +3,8 @@
 A document's set is its distinct runs of five words (all its words as one where it has fewer). A register keeps
 `floor(1 - log_b(h))` of the smallest of exponentially distributed hashes `h` of the set, truncated to `0..q+1`; such
 registers merge by maximum and agree between similar sets. Bands of registers are bucket keys. In a bucket every member
-is tried against the smallest, then, in buckets that still hold several components, members of different components
-against each other, in tiles. A tried pair's similarity is estimated by maximum likelihood from how many registers are
+is tried against the smallest; then, in buckets that still hold several components, members of different components are
+tried against each other, in tiles that hand out links only, so no group's pairs become rows. A tried pair's similarity is estimated by maximum likelihood from how many registers are
 greater, equal and less; pairs not far below the threshold are verified on the full sets, read from the whole texts.
 
 Equal sets are one class from the start, so exact copies cost one row each whatever their number. No bucket is capped.
@@ -112,40 +112,56 @@ def _estimates(least: float):
     return run
 
 
-def _tile_pairs(least: float, threshold: float):
-    """Pairs of different components within a tile pair whose estimate is high enough."""
+def _tile_links(least: float, percent: int):
+    """Verified links between different components within a pair of tiles of a bucket.
+
+    A pair that shares several buckets is looked at in that of the lowest band only; pairs with a bucket's smallest
+    member have been tried before. Sets are made once for each document of the tiles, when first needed.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        node, root = table.column("rep").to_numpy(), table.column("root").to_numpy()
-        size, side = table.column("n_shingles").to_numpy().astype(float), table.column("side").to_numpy()
+        node, root, lead, band, side = (table.column(c).to_numpy() for c in ("rep", "root", "lead", "band", "side"))
+        size = table.column("n_shingles").to_numpy().astype(float)
         regs = _matrix(table.column("regs").combine_chunks())
-        left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
-        found_a, found_b = [], []
+        text = table.column("text").combine_chunks()
+        sets: dict[int, np.ndarray] = {}
+
+        def linked(i: int, j: int) -> bool:
+            for k in (i, j):
+                if k not in sets:
+                    sets[k] = _one_set(text[k])
+            return _similar(sets[i], sets[j], percent)
+
+        left, right = np.flatnonzero((side <= 0) & (node != lead)), np.flatnonzero((side >= 0) & (node != lead))
+        found = []
         for i in left:
-            ratio = np.minimum(size[right], size[i]) >= threshold * np.maximum(size[right], size[i])
+            ratio = 100 * np.minimum(size[right], size[i]) >= percent * np.maximum(size[right], size[i])
             j = right[(root[right] != root[i]) & ratio & ((side[right] != side[i]) | (node[right] > node[i]))]
+            if len(j):
+                j = j[(regs[j] == regs[i]).reshape(len(j), BANDS, ROWS).all(2).argmax(1) == band[i]]
             if len(j):
                 est = likely_similarity((regs[i] > regs[j]).sum(1), (regs[i] < regs[j]).sum(1), np.full(len(j), size[i]), size[j])
-                j = j[est >= least]
-                found_a.append(np.minimum(node[j], node[i]))
-                found_b.append(np.maximum(node[j], node[i]))
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate(found_a or [none]), "b": np.concatenate(found_b or [none])})
+                found += [(min(node[i], node[k]), max(node[i], node[k])) for k in j[est >= least] if linked(i, k)]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return run
 
 
+def _similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    both = np.concatenate([left, right])
+    both.sort(kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return common > 0 and 100 * common >= percent * (len(left) + len(right) - common)
+
+
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids_a, ids_b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
             linked = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
-                left, right = (_one_set(batch.column(c)[i]) for c in ("text_a", "text_b"))
-                both = np.concatenate([left, right])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                linked[i] = 100 * common >= percent * (len(left) + len(right) - common) and common > 0
+                linked[i] = _similar(_one_set(batch.column("text_a")[i]), _one_set(batch.column("text_b")[i]), percent)
             yield pa.RecordBatch.from_arrays([pa.array(ids_a[linked]), pa.array(ids_b[linked])], names=["a", "b"])
 
     return run
@@ -170,38 +186,35 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     width = 2 * ROWS
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", i * width + 1, width)) for i in range(BANDS)])
-    members = classes.select("rep", F.explode(keys).alias("bucket"))
+    members = classes.select("rep", F.posexplode(keys).alias("band", "bucket"))
     leaders = members.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead <> last")
     shared = ws.table(members.join(leaders.select("bucket", "lead"), "bucket"), "shared")
     sets = classes.select("rep", "n_shingles", "regs")
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
     cand = ws.table(texts.where("doc_id IS NOT NULL").join(wanted.hint("shuffle_hash"), "doc_id"), "texts")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        with_a = pairs.join(cand.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        both = with_a.join(cand.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        return ws.table(both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(percent), "a long, b long"), "links")
-
     least = least_estimate(threshold)
     first = shared.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
     first = first.join(sets.select(F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("regs").alias("regs_a")), "a")
     first = first.join(sets.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("regs").alias("regs_b")), "b")
     first = ws.table(first.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent).mapInArrow(_estimates(least), "a long, b long"), "first")
-    links = verify(first)
+    with_a = first.join(cand.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    both = with_a.join(cand.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    links = ws.table(both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(percent), "a long, b long"), "links")
     labels = connected_components(ws, links)
 
-    placed = shared.select("bucket", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    placed = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     placed = ws.table(placed, "placed")
-    open_buckets = placed.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("n")).where("r1 <> r2").select("bucket", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    still = placed.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("n")).where("r1 <> r2").select("bucket", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
     tiled = (
-        placed.join(open_buckets, "bucket")
+        placed.join(still, "bucket")
         .join(sets, "rep")
+        .join(cand.withColumnRenamed("doc_id", "rep"), "rep")
         .withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
         .select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-        .select("bucket", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), F.when(F.col("tile") < F.col("other"), -1).when(F.col("tile") > F.col("other"), 1).otherwise(0).alias("side"), "rep", "root", "n_shingles", "regs")
+        .select("bucket", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), F.when(F.col("tile") < F.col("other"), -1).when(F.col("tile") > F.col("other"), 1).otherwise(0).alias("side"), "rep", "root", "lead", "band", "n_shingles", "regs", "text")
     )
-    second = tiled.groupBy("bucket", "t1", "t2").applyInArrow(_tile_pairs(least, threshold), "a long, b long").distinct().join(first, ["a", "b"], "left_anti")
-    links2 = verify(ws.table(second, "second"))
+    links2 = ws.table(tiled.groupBy("bucket", "t1", "t2").applyInArrow(_tile_links(least, percent), "a long, b long").distinct(), "links")
 
     repeat_links = ws.table(same_id, "repeats")
     roots = connected_components(ws, links.unionByName(links2).unionByName(repeat_links)).withColumnRenamed("node", "rep")
