@@ -281,7 +281,7 @@ def fresh_name(taken: list[str], name: str) -> str:
     return name
 
 
-def annotate(df: DataFrame, text: str, fn: Callable[[np.ndarray, np.ndarray], list], fields: list[tuple[str, str]], keep: list[str]) -> DataFrame:
+def annotate(df: DataFrame, text: str, fn: Callable[[np.ndarray, np.ndarray], list], fields: list[tuple[str, str]], keep: list[str], limit: int = CHUNK_BYTES) -> DataFrame:
     """The columns `keep` with those that `fn(bytes, offsets)` computes from the whole texts, in one pass without a shuffle."""
     inner = "text" if text in keep else fresh_name(keep, "text")
     cols = [F.col(f"`{c}`") for c in keep] + ([] if text in keep else [F.col(f"`{text}`").cast("string").alias(inner)])
@@ -291,7 +291,7 @@ def annotate(df: DataFrame, text: str, fn: Callable[[np.ndarray, np.ndarray], li
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in text_chunks(batch.column(at)):
+            for c in text_chunks(batch.column(at), limit):
                 new = [x if isinstance(x, pa.Array) else pa.array(x) for x in fn(c.buf, c.off)]
                 old = [batch.column(i).slice(c.lo, c.hi - c.lo) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(old + new, names=schema.names)

@@ -16,6 +16,7 @@ The trie's size is bounded by the vocabulary, so it is sent to the workers.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeloom.llm.common import fresh_name, span_hashes, text_chunks
+from changeloom.llm.common import annotate, fresh_name, span_hashes, text_chunks
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
-CHUNK = 2 << 20
+CHUNK = 512 << 10  # bytes of text segmented at once; bounds a worker's memory
 # Fixed values of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -369,7 +370,18 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", keep: list[str] | N
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
-    """For each row of docs (doc_id, text): how many pieces, total score, a hash of the ids, and whether decoding gives the text back."""
+    """For each row of docs (doc_id, text): how many pieces, their total score, a digest of the ids, and whether decoding gives the text back.
+
+    Encodes and decodes in one pass, so that neither ids nor decoded texts leave the worker.
+    """
+    own = _encoder(model)
+
+    def run(buf: np.ndarray, off: np.ndarray) -> list:
+        ids, id_off, scores = own.encode(buf, off)
+        back, back_off = own.decode(ids, id_off)
+        keys = [hashlib.blake2b(ids[a:b].astype("<i4").tobytes(), digest_size=16).hexdigest() for a, b in zip(id_off, id_off[1:], strict=False)]
+        same = [bool(np.array_equal(back[a:b], buf[c:d])) for a, b, c, d in zip(back_off, back_off[1:], off, off[1:], strict=False)]
+        return [np.diff(id_off), pa.array(keys), np.round(scores, 3), pa.array(same)]
+
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    back = decode(encode(rows, model), model)
-    return back.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.round("ids_score", 3).alias("score"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    return annotate(rows, "text", run, [("n_pieces", "long"), ("ids_digest", "string"), ("score", "double"), ("round_trip", "boolean")], ["doc_id"], CHUNK)
