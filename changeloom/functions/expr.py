@@ -112,9 +112,9 @@ def casefolded(key: Column) -> Column:
 
 
 def uuid_sort_key(uuid: Column) -> Column:
-    """Text that sorts as the database sorts identifiers: bytes 10-15, 8-9, 7-6, 5-4, 3-0 of the text form."""
+    """Text that sorts as the database sorts identifiers: bytes 10 to 15, 8 and 9, then 7 down to 0 of the text form."""
     flat = F.upper(F.regexp_replace(uuid, "-", ""))
-    order = [10, 11, 12, 13, 14, 15, 8, 9, 6, 7, 4, 5, 0, 1, 2, 3]
+    order = [10, 11, 12, 13, 14, 15, 8, 9, 7, 6, 5, 4, 3, 2, 1, 0]
     return F.concat(*[F.substr(flat, F.lit(2 * i + 1), F.lit(2)) for i in order])
 
 

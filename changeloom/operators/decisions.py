@@ -81,6 +81,10 @@ def _wire_type(column: str) -> Column:
     return F.when(kind.isin("decimal", "numeric", "money", "smallmoney"), decimal).when(kind.isin("int", "smallint", "tinyint"), "int").when(kind.isin("char", "nchar", "varchar", "nvarchar", "text", "ntext", "xml", "datetime", "datetime2", "smalldatetime", "datetimeoffset"), "string").otherwise(kind)
 
 
+def _why(rule: int, text: str) -> Column:
+    return F.struct(F.lit(rule).alias("rule"), F.lit(text).alias("why"))
+
+
 def resnapshot(diff: DataFrame, old_exists: bool, table_rows: int, indexed: list[str], with_values: list[str], recent: DataFrame, for_drops: bool = True) -> DataFrame:
     """Whether moving to the new instance needs a new snapshot, with the first reason that holds.
 
@@ -90,12 +94,12 @@ def resnapshot(diff: DataFrame, old_exists: bool, table_rows: int, indexed: list
     scanned = F.lit(table_rows < SMALL_TABLE_ROWS) | F.col("column_name").isin(*indexed or [""])
     judged = diff.join(recent.withColumn("_recent", F.lit(True)), F.lower(diff["column_name"]) == recent["column_name"], "left").select(diff["*"], "_recent")
     reason = (
-        F.when((F.col("change") == "removed") & F.lit(for_drops), F.struct(F.lit(2).alias("rule"), F.lit("column removed").alias("why")))
-        .when((F.col("change") == "changed") & (F.col("before.is_computed") != F.col("after.is_computed")), F.struct(F.lit(3), F.lit("computed changed")))
-        .when((F.col("change") == "changed") & wire, F.struct(F.lit(4), F.lit("type changed")))
-        .when((F.col("change") == "added") & (F.col("after.is_nullable") == 0), F.struct(F.lit(5), F.lit("added column not null")))
-        .when((F.col("change") == "added") & scanned & F.col("column_name").isin(*with_values or [""]), F.struct(F.lit(6), F.lit("added column has values")))
-        .when((F.col("change") == "added") & ~scanned & F.col("_recent").isNull(), F.struct(F.lit(7), F.lit("added column not recent")))
+        F.when((F.col("change") == "removed") & F.lit(for_drops), _why(2, "column removed"))
+        .when((F.col("change") == "changed") & (F.col("before.is_computed") != F.col("after.is_computed")), _why(3, "computed changed"))
+        .when((F.col("change") == "changed") & wire, _why(4, "type changed"))
+        .when((F.col("change") == "added") & (F.col("after.is_nullable") == 0), _why(5, "added column not null"))
+        .when((F.col("change") == "added") & scanned & F.col("column_name").isin(*with_values or [""]), _why(6, "added column has values"))
+        .when((F.col("change") == "added") & ~scanned & F.col("_recent").isNull(), _why(7, "added column not recent"))
     )
     first = judged.select(reason.alias("r")).agg(F.min("r").alias("r"))
     if not old_exists:

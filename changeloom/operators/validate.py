@@ -149,11 +149,14 @@ def unified_verdicts(log: DataFrame, expected_topics: list[str]) -> DataFrame:
 
 
 def positional(log: DataFrame, ct: DataFrame, partition: Column) -> DataFrame:
-    """The n-th published change of a partition beside the n-th row of the change table that belongs there, from the topic's first index on."""
-    by_offset = Window.partitionBy("partition_id").orderBy("msg_offset")
-    messages = log.where(X.is_published(F.col("operation"))).select("partition_id", F.row_number().over(by_offset).alias("n"), X.index().alias("topic_idx"))
-    first = messages.groupBy("partition_id").agg(F.min_by("topic_idx", "n").alias("first"))
-    rows = ct.where(X.is_published(F.col("operation"))).select(partition.alias("partition_id"), X.index().alias("table_idx")).join(first, "partition_id").where(F.col("table_idx") >= F.col("first"))
+    """The n-th published change of a partition beside the n-th row of the change table that belongs there.
+
+    Messages from before the change table's first row are left out; from there on places are counted, not keys matched.
+    """
+    rows = ct.where(X.is_published(F.col("operation"))).select(partition.alias("partition_id"), X.index().alias("table_idx"))
+    first = rows.groupBy("partition_id").agg(F.min("table_idx").alias("first"))  # one row for each partition
+    messages = log.where(X.is_published(F.col("operation"))).select("partition_id", "msg_offset", X.index().alias("topic_idx")).join(F.broadcast(first), "partition_id").where(F.col("topic_idx") >= F.col("first"))
+    messages = messages.select("partition_id", F.row_number().over(Window.partitionBy("partition_id").orderBy("msg_offset")).alias("n"), "topic_idx")
     rows = rows.select("partition_id", F.row_number().over(Window.partitionBy("partition_id").orderBy("table_idx")).alias("n"), "table_idx")
     return messages.join(rows, ["partition_id", "n"], "full_outer").withColumn("same", F.coalesce(F.col("topic_idx") == F.col("table_idx"), F.lit(False)))
 
