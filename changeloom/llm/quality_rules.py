@@ -265,7 +265,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Rul
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most max_train rows of two numbers: their size is bounded, so they may be broadcast.
     rows = annotate(texts.join(F.broadcast(known), "doc_id"), "text", statistics, [(s, "double") for s in STATISTICS], ["doc_id", "quality"]).orderBy("doc_id", *STATISTICS).limit(max_train).toPandas()
-    return fit(rows[STATISTICS].to_numpy(float).reshape(len(rows), -1), rows["quality"].to_numpy(), STATISTICS)
+    return fit(rows[STATISTICS].to_numpy(float).reshape(len(rows), len(STATISTICS)), rows["quality"].to_numpy(), STATISTICS)
 
 
 def with_score(docs: DataFrame, model: RuleModel, keep: list[str]) -> tuple[DataFrame, str]:
