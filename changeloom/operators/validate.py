@@ -6,64 +6,87 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeloom.functions import expr as X
-from changeloom.model import DELETE, INSERT, POST_UPDATE, SNAPSHOT
+from changeloom.model import DELETE, INDEX_COLUMNS, INSERT, POST_UPDATE, SNAPSHOT
 
 _LOG = ["topic", "partition_id"]
 
 
-def _before(value: Column) -> Column:
-    """The last value that isn't null in the rows before, in the order of the log."""
-    return F.last(value, ignorenulls=True).over(Window.partitionBy(*_LOG).orderBy("msg_offset").rowsBetween(Window.unboundedPreceding, -1))
+BUCKET = 1 << 16  # offsets of a partition that one task puts in order
 
 
-def missing_offsets(log: DataFrame, first: int = 0) -> DataFrame:
+def _with_neighbour(log: DataFrame, value: Column, name: str = "_near", after: bool = False, bucket: int = BUCKET) -> DataFrame:
+    """Each row with the last value that isn't null before it in its partition of the log, or the next one after it.
+
+    A partition is cut into buckets of offsets, so one that holds most of a topic isn't one task's. A bucket's own end value
+    is carried over to the buckets beyond; there is one such row for each bucket.
+    """
+    cols = log.columns
+    rows = log.withColumn("_bucket", F.floor(F.col("msg_offset") / bucket)).withColumn("_value", value)
+    inside = Window.partitionBy(*_LOG, "_bucket").orderBy("msg_offset")
+    across = Window.partitionBy(*_LOG).orderBy("_bucket")
+    where = F.when(F.col("_value").isNotNull(), F.col("msg_offset"))
+    if after:
+        own = F.first("_value", ignorenulls=True).over(inside.rowsBetween(1, Window.unboundedFollowing))
+        edge, carried = F.min_by("_value", where), F.first("_edge", ignorenulls=True).over(across.rowsBetween(1, Window.unboundedFollowing))
+    else:
+        own = F.last("_value", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1))
+        edge, carried = F.max_by("_value", where), F.last("_edge", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    edges = rows.groupBy(*_LOG, "_bucket").agg(edge.alias("_edge")).withColumn("_carried", carried)
+    near = rows.withColumn("_own", own).join(edges.select(*_LOG, "_bucket", "_carried"), [*_LOG, "_bucket"])
+    return near.select(*cols, F.coalesce("_own", "_carried").alias(name))
+
+
+def missing_offsets(log: DataFrame, first: int = 0, bucket: int = BUCKET) -> DataFrame:
     """Offsets that each partition's read lacks, counted from `first` on."""
-    before = F.lag("msg_offset").over(Window.partitionBy(*_LOG).orderBy("msg_offset"))
-    gap = F.col("msg_offset") - F.coalesce(before, F.lit(first - 1)) - 1
-    return log.select(*_LOG, gap.alias("gap")).groupBy(*_LOG).agg(F.sum("gap").cast("long").alias("missing"))
+    near = _with_neighbour(log.select(*_LOG, "msg_offset"), F.col("msg_offset"), bucket=bucket)
+    gap = F.col("msg_offset") - F.coalesce("_near", F.lit(first - 1)) - 1
+    return near.groupBy(*_LOG).agg(F.sum(gap).cast("long").alias("missing"))
 
 
 def _is_change() -> Column:
     return F.col("operation").isNotNull() & (F.col("operation") != SNAPSHOT)
 
 
-def change_regressions(log: DataFrame, min_lsn: str | None = None) -> DataFrame:
+def change_regressions(log: DataFrame, min_lsn: str | None = None, bucket: int = BUCKET) -> DataFrame:
     """For each partition the published changes whose index is below that of the change before."""
     rows = log.where(X.is_published(F.col("operation")))
     if min_lsn is not None:
         rows = rows.where(F.col("lsn") >= min_lsn)
-    before = F.lag(X.index()).over(Window.partitionBy(*_LOG).orderBy("msg_offset"))
-    return rows.select(*_LOG, (before > X.index()).alias("back")).groupBy(*_LOG).agg(F.count_if("back").alias("regressions"))
+    near = _with_neighbour(rows.select(*_LOG, "msg_offset", X.index().alias("_idx")), F.col("_idx"), bucket=bucket)
+    return near.groupBy(*_LOG).agg(F.count_if(F.col("_near") > F.col("_idx")).alias("regressions"))
 
 
-def snapshot_regressions(log: DataFrame, key: list[str]) -> DataFrame:
+def snapshot_regressions(log: DataFrame, key: list[str], bucket: int = BUCKET) -> DataFrame:
     """For each partition the snapshot rows whose key is above that of the snapshot row before, as snapshots run downwards."""
-    rows = log.where(F.col("operation") == SNAPSHOT)
-    before = F.lag(X.key_struct(key)).over(Window.partitionBy(*_LOG).orderBy("msg_offset"))
-    return rows.select(*_LOG, (before < X.key_struct(key)).alias("back")).groupBy(*_LOG).agg(F.count_if("back").alias("regressions"))
+    rows = log.where(F.col("operation") == SNAPSHOT).select(*_LOG, "msg_offset", X.key_struct(key).alias("_key"))
+    near = _with_neighbour(rows, F.col("_key"), bucket=bucket)
+    return near.groupBy(*_LOG).agg(F.count_if(F.col("_near") < F.col("_key")).alias("regressions"))
 
 
-def missing_tombstones(log: DataFrame) -> DataFrame:
+def missing_tombstones(log: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Deletes that no tombstone follows, snapshots aside. A partition's last message can't be judged."""
-    after = F.lead(F.coalesce("operation", F.lit(-1))).over(Window.partitionBy(*_LOG).orderBy("msg_offset"))
-    rows = log.where(F.col("operation").isNull() | (F.col("operation") != SNAPSHOT)).select(*_LOG, "msg_offset", "operation", after.alias("after"))
-    return rows.where((F.col("operation") == DELETE) & F.col("after").isNotNull() & (F.col("after") != -1)).select(*_LOG, "msg_offset")
+    rows = log.where(F.col("operation").isNull() | (F.col("operation") != SNAPSHOT)).select(*_LOG, "msg_offset", "operation")
+    near = _with_neighbour(rows, F.coalesce("operation", F.lit(-1)), after=True, bucket=bucket)
+    return near.where((F.col("operation") == DELETE) & F.col("_near").isNotNull() & (F.col("_near") != -1)).select(*_LOG, "msg_offset")
 
 
 def summary(log: DataFrame, min_lsn: str) -> DataFrame:
     """Counts of each topic's messages by kind, and the least and greatest change index."""
+    return _summary(log, min_lsn)
+
+
+def _summary(log: DataFrame, min_lsn: str, *more: Column) -> DataFrame:
     counted = X.is_published(F.col("operation")) & (F.col("lsn") >= min_lsn)
     known = F.col("operation").isin(SNAPSHOT, DELETE, INSERT, POST_UPDATE)
-    out = log.groupBy("topic").agg(
+    return log.groupBy("topic").agg(
         F.count("*").alias("total"),
         F.count_if(F.col("operation").isNull()).alias("tombstones"),
         F.count_if(F.col("operation") == DELETE).alias("all_deletes"),
         *[F.count_if(counted & (F.col("operation") == op)).alias(n) for op, n in ((DELETE, "deletes"), (INSERT, "inserts"), (POST_UPDATE, "updates"))],
         F.count_if(F.col("operation") == SNAPSHOT).alias("snapshots"),
         F.count_if(F.col("operation").isNotNull() & ~known).alias("unknown_operations"),
-        F.min(F.when(counted, X.index())).alias("low"), F.max(F.when(counted, X.index())).alias("high"),
+        F.min(F.when(counted, X.index())).alias("low"), F.max(F.when(counted, X.index())).alias("high"), *more,
     )
-    return out
 
 
 def key_sets(log: DataFrame, key: list[str]) -> DataFrame:
@@ -99,21 +122,32 @@ def table_verdicts(log: DataFrame, key: list[str], min_lsn: str, ct: DataFrame,
 
     progress: topic, lsn, command_id, seqval, operation of the last change progress (all but topic null where there is none).
     """
-    base = summary(log, min_lsn)
-    order = change_regressions(log, min_lsn).groupBy("topic").agg(F.sum("regressions").alias("index_regressions"))
-    snaps = snapshot_regressions(log, key).groupBy("topic").agg(F.sum("regressions").alias("snapshot_regressions"))
-    keys = distinct_keys(log, key)
-    expected = live_keys(log, key).groupBy("topic").agg(F.count("*").alias("expected_rows"))
-    bounds = log.where(F.col("operation") == SNAPSHOT).groupBy("topic").agg(F.min(X.key_struct(key)).alias("low_key"), F.max(X.key_struct(key)).alias("high_key"))
-    # The topics' own rows are few (one for each table), so the source and change tables meet them once each.
-    held = source.select(X.key_struct(key).alias("k")).join(F.broadcast(bounds), F.col("k").between(F.col("low_key"), F.col("high_key"))).groupBy("topic").agg(F.count("*").alias("source_rows"))
-    tops = base.select("topic", "high")
+    counted = X.is_published(F.col("operation")) & (F.col("lsn") >= min_lsn)
+    # One walk along the log finds both kinds of regressions, one aggregate by key all counts of keys.
+    walked = log.select(*_LOG, "msg_offset", "operation", *key, *[c for c in INDEX_COLUMNS if c != "operation"])
+    walked = _with_neighbour(walked, F.when(counted, X.index()), "_idx_before")
+    walked = _with_neighbour(walked, F.when(F.col("operation") == SNAPSHOT, X.key_struct(key)), "_key_before")
+    base = _summary(
+        walked, min_lsn,
+        F.count_if(counted & (F.col("_idx_before") > X.index())).alias("index_regressions"),
+        F.count_if((F.col("operation") == SNAPSHOT) & (F.col("_key_before") < X.key_struct(key))).alias("snapshot_regressions"),
+        F.min(F.when(F.col("operation") == SNAPSHOT, X.key_struct(key))).alias("low_key"), F.max(F.when(F.col("operation") == SNAPSHOT, X.key_struct(key))).alias("high_key"),
+    )
+    sets = key_sets(log, key)
+    bounds = sets.where("in_snapshot").groupBy("topic").agg(F.min(X.key_struct(key)).alias("low"), F.max(X.key_struct(key)).alias("high"))
+    # Topics are one for each table: their rows may be broadcast, so that source and change tables are read once and not moved.
+    inside = X.key_struct(key).between(F.col("low"), F.col("high"))
+    keys = sets.join(F.broadcast(bounds), "topic", "left").groupBy("topic").agg(
+        F.count_if("in_snapshot").alias("snapshot_keys"), F.count_if(F.col("in_snapshot") & ~F.col("deleted")).alias("snapshot_keys_left"), F.count_if(F.coalesce(inside, F.lit(False)) & ~F.col("deleted")).alias("expected_rows")
+    )
+    tops = base.select("topic", "high", "low_key", "high_key")
+    held = source.select(X.key_struct(key).alias("k")).join(F.broadcast(tops), F.col("k").between(F.col("low_key"), F.col("high_key"))).groupBy("topic").agg(F.count("*").alias("source_rows"))
     table = ct.where(X.is_published(F.col("operation"))).select("operation", X.index().alias("idx")).join(F.broadcast(tops), F.col("idx") <= F.col("high"))
     table = table.groupBy("topic").agg(*[F.count_if(F.col("operation") == op).alias(n) for op, n in ((DELETE, "db_deletes"), (INSERT, "db_inserts"), (POST_UPDATE, "db_updates"))])
     seen = progress.select("topic", X.index().alias("recorded"), X.is_heartbeat().alias("beat"))
     out = base
-    for part in (order, snaps, keys, expected, held, table, seen):
-        out = out.join(part, "topic", "left")
+    for part in (keys, held, table, seen):
+        out = out.join(F.broadcast(part), "topic", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     has_progress = F.col("recorded.lsn").isNotNull()
     rules = [
@@ -138,8 +172,8 @@ def table_verdicts(log: DataFrame, key: list[str], min_lsn: str, ct: DataFrame,
 
 def unified_verdicts(log: DataFrame, expected_topics: list[str]) -> DataFrame:
     """One row for each combined topic of one partition: regressions, tombstones and messages of other topics."""
-    before = _before(F.when(F.col("operation").isNotNull(), X.index()))
-    rows = log.withColumn("back", F.col("operation").isNotNull() & (before > X.index()))
+    rows = _with_neighbour(log.select(*_LOG, "msg_offset", "original_topic", *INDEX_COLUMNS), F.when(F.col("operation").isNotNull(), X.index()))
+    rows = rows.withColumn("back", F.col("operation").isNotNull() & (F.col("_near") > X.index()))
     out = rows.groupBy("topic").agg(
         F.count("*").alias("total"), F.count_if("back").alias("regressions"), F.count_if(F.col("operation").isNull()).alias("tombstones"),
         F.count_if(F.col("operation").isNotNull() & ~F.col("original_topic").isin(*expected_topics)).alias("unexpected"), F.count_if(F.col("operation") == SNAPSHOT).alias("snapshots"),

@@ -10,6 +10,7 @@ from changeloom.model import FieldSpec, TableSpec
 from changeloom.operators import changes, envelope, metrics, ops, progress, replay, validate
 from changeloom.plans.book import Book, Inputs
 from changeloom.sources import topic_log
+from changeloom.sources.work import cut
 
 BOOK = Book()
 
@@ -299,8 +300,11 @@ def expected_live_keys_by_last(t: Inputs):
     return validate.live_keys(t.topic_full, ["user_id"], by_last_operation=True)
 
 
-def _progress_row(t: Inputs):
-    return progress.per_topic(t.topic_full).select("topic", "lsn", "command_id", "seqval", "operation")
+def _verdicts(t: Inputs, log):
+    # A topic and a change table are tables in use; here they are derived, so they are written once instead of made anew for each part.
+    ct = cut(t.ct_user)
+    last = progress.per_topic(changes.published(ct).withColumn("topic", F.lit("app_user_state_cdc"))).select("topic", "lsn", "command_id", "seqval", "operation")
+    return validate.table_verdicts(cut(log), ["user_id"], "0x", ct, t.live_user, last)
 
 
 def _verdict_sql(log: str) -> str:
@@ -319,12 +323,12 @@ CASE WHEN updates <> (SELECT count(*) FROM ct_user WHERE operation = 4 AND ROW({
 
 @BOOK.query("validate_table_topic", _verdict_sql("topic_full"))
 def validate_table_topic(t: Inputs):
-    return validate.table_verdicts(t.topic_full, ["user_id"], "0x", t.ct_user, t.live_user, _progress_row(t))
+    return _verdicts(t, t.topic_full)
 
 
 @BOOK.query("validation_verdicts", _verdict_sql("topic_user_bad"))
 def validation_verdicts(t: Inputs):
-    return validate.table_verdicts(t.topic_user_bad, ["user_id"], "0x", t.ct_user, t.live_user, _progress_row(t))
+    return _verdicts(t, t.topic_user_bad)
 
 
 _UNIFIED = f"(SELECT *, last_value(CASE WHEN operation IS NOT NULL THEN ROW({_INDEX}) END IGNORE NULLS) OVER (PARTITION BY topic ORDER BY msg_offset ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM topic_unified)"

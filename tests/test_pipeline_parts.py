@@ -142,3 +142,10 @@ def test_stream_in_batches_with_restart_equals_batch(spark, tmp_path):
     assert values[0]["produces_count"] == want.count()
     FileReporter(str(tmp_path / "m.json")).report(values[0])
     assert (tmp_path / "m.json").read_text().startswith("{")
+
+
+@pytest.mark.parametrize("bucket", [1, 7, 100])
+def test_neighbours_across_buckets(spark, bucket):
+    bad, full = view(spark, SF, "topic_user_bad").cache(), view(spark, SF, "topic_full").cache()
+    for check in (lambda b: validate.missing_offsets(bad, bucket=b), lambda b: validate.change_regressions(bad, bucket=b), lambda b: validate.missing_tombstones(bad, bucket=b), lambda b: validate.snapshot_regressions(full, ["user_id"], bucket=b)):
+        assert sorted(map(tuple, check(bucket).collect())) == sorted(map(tuple, check(1 << 40).collect()))
