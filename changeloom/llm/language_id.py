@@ -6,7 +6,7 @@ Features are frequencies of hashed runs of three bytes over the whole text, with
 not a letter as one separator. A linear margin is then a sum of table entries over the text, so scoring is one pass.
 
 The machines learn from a bounded sample: for each language at most `MAX_PER_LANGUAGE` documents, those with the
-smallest hash of their id, and at most `MAX_TRAIN` in all. `FAMILIES` groups languages; one that it lacks is a family of its own.
+smallest hash of their id, of the `MAX_LANGUAGES` commonest languages, and at most `MAX_TRAIN` in all. `FAMILIES` groups languages; one that it lacks is a family of its own.
 
 Edge cases: a null text or one without any letter is `und` with score 0; so is every text if nothing was learned. With
 one learned language all other texts get it. Repeated rows are predicted one by one. Columns besides doc_id, text and
@@ -199,20 +199,18 @@ def _profile_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def learn(docs: DataFrame, max_per_language: int = MAX_PER_LANGUAGE, max_train: int = MAX_TRAIN) -> LanguageModel:
     """A model from the text and lang of documents outside the held-out part; the sample is bounded as the module says."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), MODULUS, REMAINDER))
-    # A salted first cut keeps a language with most rows from meeting in one task.
-    salted = Window.partitionBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(64))).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
-    ranked = known.distinct().withColumn("r", F.row_number().over(salted)).where(F.col("r") <= max_per_language).drop("r")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
-    chosen = ranked.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_per_language)
+    known = known.distinct()
+    # The commonest languages, at most MAX_LANGUAGES rows: bounded, so it may be broadcast.
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES)
+    # A first cut by hash leaves about four times the rows wanted, so that a language with most rows meets in no task.
+    place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30))
+    some = known.join(F.broadcast(counts), "lang").where(place * F.col("n") < (4 * max_per_language) * (1 << 30))
+    order = Window.partitionBy("lang").orderBy(place, "doc_id")
+    chosen = some.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_per_language)
     chosen = chosen.orderBy("r", "lang", "doc_id").limit(max_train).select("doc_id", "lang")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most max_train rows of an id and a short code: their size is bounded, so they may be broadcast.
     rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_profile_rows, "doc_id long, lang string, profile binary").orderBy("doc_id", "lang").limit(max_train).collect()
-    common: dict[str, int] = {}
-    for r in rows:
-        common[r.lang] = common.get(r.lang, 0) + 1
-    allowed = set(sorted(common, key=lambda v: (-common[v], v))[:MAX_LANGUAGES])
-    rows = [r for r in rows if r.lang in allowed]
     x = np.frombuffer(b"".join(r.profile for r in rows), np.float16).reshape(len(rows), -1).astype(np.float32) if rows else np.zeros((0, 1), np.float32)
     return train(x, [r.lang for r in rows])
 
