@@ -30,7 +30,7 @@ from changeloom.llm.common import Workspace, connected_components
 
 WINDOW = 256
 BLOCK = 1024
-TILE = 1024
+TILE = 256
 RECALL = 0.995
 BITS = 62
 MEAN_SAMPLE = 4096  # vectors whose mean centres the hashes; only the balance of the signs depends on it
