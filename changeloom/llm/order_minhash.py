@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from changeloom.llm.common import U64, Workspace, mix
 
-K, LENGTH, SKETCHES = 8, 2, 64
+K, LENGTH, SKETCHES = 5, 2, 64
 _STEP = np.random.default_rng(6).integers(1, 1 << 63, K + 2, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 _LOW = U64((1 << 24) - 1)
 _OFFSETS = (np.arange(SKETCHES, dtype=U64) * U64((1 << 40) // SKETCHES)) << U64(24)
@@ -41,7 +41,7 @@ def _selected(text: str) -> tuple[np.ndarray, np.ndarray]:
     for j in range(1, min(K, len(points))):
         run += points[j : j + n] * _STEP[j]
     if len(points) < K:
-        run = run[:1] + U64(len(points)) * _STEP[K + 1]
+        run = run[:1] + np.array([len(points)], U64) * _STEP[K + 1]
     value = mix(run)
     if n > int(_LOW):  # positions need more than the 24 bits that are packed beside a value below
         order = np.argsort(value, kind="stable")
