@@ -214,9 +214,9 @@ def replay_cols_to_not_sync(t: Inputs):
     return replay.apply(None, t.topic_user, ["user_id"], _COLUMNS, skip=["VALUE"])
 
 
-@BOOK.query("replay_delete_anti_join", "SELECT user_id, event_type FROM live_user l WHERE NOT EXISTS (SELECT 1 FROM ct_user c WHERE c.user_id = l.user_id AND operation = 1 AND lsn > '0x00000000000000000300')")
+@BOOK.query("replay_delete_anti_join", "SELECT user_id, event_type FROM live_user l WHERE NOT EXISTS (SELECT 1 FROM ct_user c WHERE c.user_id = l.user_id AND operation = 1 AND lsn > '0x00000000000000000900')")
 def replay_delete_anti_join(t: Inputs):
-    deletes = t.ct_user.where("operation = 1 AND lsn > '0x00000000000000000300'").select("user_id").distinct()
+    deletes = t.ct_user.where("operation = 1 AND lsn > '0x00000000000000000900'").select("user_id").distinct()
     return replay.without_deleted(t.live_user.select("user_id", "event_type"), deletes, ["user_id"])
 
 
@@ -281,18 +281,21 @@ def distinct_key_counts(t: Inputs):
     return validate.distinct_keys(t.topic_full, ["user_id"])
 
 
-@BOOK.query("snapshot_keys_minus_deleted", "SELECT topic, user_id FROM topic_full WHERE operation = 0 EXCEPT SELECT topic, user_id FROM topic_full WHERE operation = 1 AND lsn > '0x00000000000000000300'")
+@BOOK.query("snapshot_keys_minus_deleted", "SELECT topic, user_id FROM topic_full WHERE operation = 0 EXCEPT SELECT topic, user_id FROM topic_full WHERE operation = 1 AND lsn > '0x00000000000000000900'")
 def snapshot_keys_minus_deleted(t: Inputs):
     log = t.topic_full
-    return log.where("operation = 0").select("topic", "user_id").distinct().join(log.where("operation = 1 AND lsn > '0x00000000000000000300'").select("topic", "user_id"), ["topic", "user_id"], "left_anti")
+    return log.where("operation = 0").select("topic", "user_id").distinct().join(log.where("operation = 1 AND lsn > '0x00000000000000000900'").select("topic", "user_id"), ["topic", "user_id"], "left_anti")
 
 
 _RANGE = "user_id BETWEEN (SELECT min(user_id) FROM topic_full WHERE operation = 0) AND (SELECT max(user_id) FROM topic_full WHERE operation = 0)"
 
 
-@BOOK.query("expected_live_keys", f"SELECT topic, user_id FROM topic_full WHERE operation IN (0,1,2,4) AND {_RANGE} EXCEPT SELECT topic, user_id FROM topic_full WHERE operation = 1")
+_LATE = "(SELECT * FROM topic_full WHERE operation = 0 OR lsn > '0x00000000000000000900')"
+
+
+@BOOK.query("expected_live_keys", f"SELECT topic, user_id FROM {_LATE} a WHERE operation IN (0,1,2,4) AND {_RANGE} EXCEPT SELECT topic, user_id FROM {_LATE} b WHERE operation = 1")
 def expected_live_keys(t: Inputs):
-    return validate.live_keys(t.topic_full, ["user_id"])
+    return validate.live_keys(t.topic_full.where("operation = 0 OR lsn > '0x00000000000000000900'"), ["user_id"])
 
 
 @BOOK.query("expected_live_keys_by_last", f"SELECT 'app_user_state_cdc' AS topic, user_id FROM live_user WHERE {_RANGE}")
