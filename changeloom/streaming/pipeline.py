@@ -53,12 +53,12 @@ def publish(stream: DataFrame, lsn_map: str, out: str, checkpoint: str, topic: C
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def drain(spark: SparkSession, path: str, lsn_map: str, schema: str, out: str, checkpoint: str, topic: Column, **options: str) -> int:
+def drain(spark: SparkSession, path: str, lsn_map: str, schema: str, out: str, checkpoint: str, topic: Column, tombstones: bool = True, reporters: list[Reporter] | None = None, **options: str) -> int:
     """Publishes all there is, a capped batch at a time, each in a run of its own from the checkpoint; the number of batches."""
     while True:
         before = len(sink.committed(spark, out))
         stream = change_stream(spark, path, lsn_map, schema, checkpoint=checkpoint, **options)
-        publish(stream, lsn_map, out, checkpoint, topic).awaitTermination()
+        publish(stream, lsn_map, out, checkpoint, topic, tombstones, reporters).awaitTermination()
         if len(sink.committed(spark, out)) == before:
             return before
 
