@@ -149,3 +149,35 @@ def test_neighbours_across_buckets(spark, bucket):
     bad, full = view(spark, SF, "topic_user_bad").cache(), view(spark, SF, "topic_full").cache()
     for check in (lambda b: validate.missing_offsets(bad, bucket=b), lambda b: validate.change_regressions(bad, bucket=b), lambda b: validate.missing_tombstones(bad, bucket=b), lambda b: validate.snapshot_regressions(full, ["user_id"], bucket=b)):
         assert sorted(map(tuple, check(bucket).collect())) == sorted(map(tuple, check(1 << 40).collect()))
+
+
+def plan(df):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bounds_reach_the_scan(spark, tmp_path):
+    from changeloom.model import ChangeIndex
+
+    view(spark, SF, "ct_user").write.parquet(f"{tmp_path}/ct")
+    view(spark, SF, "ltm").write.parquet(f"{tmp_path}/ltm")
+    at = ChangeIndex.of("0x" + "00" * 9 + "10", 1, "0x" + "00" * 10, 0)
+    text = plan(changes.scan(spark.read.parquet(f"{tmp_path}/ct"), spark.read.parquet(f"{tmp_path}/ltm"), at, "0x" + "00" * 9 + "40", 100).select("lsn", "user_id", "event_time"))
+    assert "GreaterThanOrEqual(lsn,0x00000000000000000010)" in text and "LessThanOrEqual(lsn,0x00000000000000000040)" in text
+    assert "TakeOrderedAndProject" in text and "props" not in text.split("ReadSchema")[1].split("\n")[0]
+    assert "GreaterThanOrEqual(start_lsn" in text
+
+
+def test_latest_per_key_reduces_before_the_shuffle(spark, tmp_path):
+    view(spark, SF, "topic_user").write.parquet(f"{tmp_path}/t")
+    text = plan(replay.latest_per_key(spark.read.parquet(f"{tmp_path}/t"), ["user_id"]))
+    assert "partial_max_by" in text and "Window" not in text
+
+
+def test_nothing_imports_the_training_operators():
+    from pathlib import Path
+
+    import changeloom
+
+    home = Path(changeloom.__file__).parent
+    assert not [f for f in home.rglob("*.py") if "llm" not in f.parts and "changeloom.llm" in f.read_text()]
