@@ -24,7 +24,7 @@ from changeloom.llm.common import annotate, fresh_name, held_out, span_hashes, w
 
 MAX_TRAIN = 20_000
 TREES, DEPTH, BINS, SHRINK = 60, 3, 32, 0.15
-MAX_RULES = 40
+CANDIDATES, MAX_RULES = 300, 40
 PENALTIES = (3e-2, 1e-2, 3e-3, 1e-3, 3e-4)  # falling
 THRESHOLD = 0.7
 MODULUS, REMAINDER = 4, 2
@@ -197,18 +197,24 @@ def _tree(binned: np.ndarray, cuts: list[np.ndarray], target: np.ndarray, rows:
 def _lasso(r: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 400) -> tuple[np.ndarray, float]:
     """Accelerated proximal gradient for the logistic loss with an absolute penalty; the intercept is free."""
     n, k = r.shape
-    step = 1 / (0.25 * (np.linalg.norm(r, 2) ** 2 / n + 1))
-    w, b = np.zeros(k), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
+    y = y.astype(np.float32)
+    v, norm = np.ones(k, np.float32), np.float32(0)
+    for _ in range(12):  # power iteration: the largest singular value, squared
+        v = r.T @ (r @ (v / max(float(np.linalg.norm(v)), 1e-12)))
+        norm = np.linalg.norm(v)
+    step = np.float32(1 / (0.25 * (1.1 * float(norm) / n + 1)))
+    penalty = np.float32(penalty)
+    w, b = np.zeros(k, np.float32), np.float32(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
     vw, vb, t = w.copy(), b, 1.0
     for _ in range(rounds):
         g = 1 / (1 + np.exp(-(r @ vw + vb))) - y
-        new = vw - step * (r.T @ g) / n
+        new = vw - step * (g @ r) / np.float32(n)
         new = np.sign(new) * np.maximum(np.abs(new) - step * penalty, 0)
         nb = vb - step * g.mean()
         t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        vw, vb = new + (t - 1) / t2 * (new - w), nb + (t - 1) / t2 * (nb - b)
+        vw, vb = new + np.float32((t - 1) / t2) * (new - w), nb + np.float32((t - 1) / t2) * (nb - b)
         w, b, t = new, nb, t2
-    return w, b
+    return w.astype(np.float64), float(b)
 
 
 def fit(x: np.ndarray, y: np.ndarray, names: list[str], seed: int = 10) -> RuleModel:
@@ -232,7 +238,10 @@ def fit(x: np.ndarray, y: np.ndarray, names: list[str], seed: int = 10) -> RuleM
     for rule in sorted(found, key=len):  # of rules that hold for the same rows, the shortest
         columns.setdefault(np.packbits(_holds(rule, x)).tobytes(), rule)
     rules = [q for q in columns.values() if 0 < _holds(q, x).sum() < len(x)]
-    r = np.stack([_holds(q, x) for q in rules], 1).astype(np.float64) if rules else np.zeros((len(y), 0))
+    # The rules that tell most by themselves go on to the lasso: a bound on the driver's memory.
+    tells = [abs(float(np.dot(h - h.mean(), y - y.mean()))) / h.std() for h in (_holds(q, x).astype(np.float64) for q in rules)]
+    rules = [rules[i] for i in np.sort(np.argsort(-np.array(tells), kind="stable")[:CANDIDATES])]
+    r = np.stack([_holds(q, x) for q in rules], 1).astype(np.float32) if rules else np.zeros((len(y), 0), np.float32)
     check = rng.random(len(y)) < 0.25
     tried = []
     if r.shape[1] and check.any() and 0 < y[~check].mean() < 1:
@@ -264,8 +273,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Rul
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most max_train rows of two numbers: their size is bounded, so they may be broadcast.
-    rows = annotate(texts.join(F.broadcast(known), "doc_id"), "text", statistics, [(s, "double") for s in STATISTICS], ["doc_id", "quality"]).orderBy("doc_id", *STATISTICS).limit(max_train).toPandas()
-    return fit(rows[STATISTICS].to_numpy(float).reshape(len(rows), len(STATISTICS)), rows["quality"].to_numpy(), STATISTICS)
+    rows = annotate(texts.join(F.broadcast(known), "doc_id"), "text", statistics, [(s, "double") for s in STATISTICS], ["doc_id", "quality"]).orderBy("doc_id", *STATISTICS).limit(max_train).toArrow()
+    return fit(np.stack([rows.column(s).to_numpy() for s in STATISTICS], 1), rows.column("quality").to_numpy(), STATISTICS)
 
 
 def with_score(docs: DataFrame, model: RuleModel, keep: list[str]) -> tuple[DataFrame, str]:
