@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from changeloom.llm.common import annotate, binary_array, fresh_name, held_out, text_chunks
 
 MODULUS, REMAINDER = 4, 2
-MAX_PER_LANGUAGE, MAX_TRAIN, MAX_LANGUAGES = 800, 6000, 200
+MAX_PER_LANGUAGE, MAX_TRAIN, MAX_LANGUAGES = 600, 6000, 200
 GRAM_BITS = 12
 UNKNOWN = "und"
 FAMILIES = {
@@ -87,25 +87,26 @@ def has_letter(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 def svm(x: np.ndarray, y: np.ndarray, c: float = 1e-3, rounds: int = 100) -> tuple[np.ndarray, float, float]:
     """(weights, bias, slope) of a linear machine with squared hinge loss; slope turns a margin into log odds. y is +1 or -1."""
+    # The features are scaled to unit spread by scaling the weights, without a copy of the rows.
     spread = (x.std(0) + 1e-4 * x.std() + 1e-9).astype(np.float32)
-    z, y = x / spread, y.astype(np.float32)
+    y = y.astype(np.float32)
     n = len(y)
     balance = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
-    v, norm = np.random.default_rng(0).standard_normal(z.shape[1]).astype(np.float32), np.float32(1)
+    v, norm = np.random.default_rng(0).standard_normal(x.shape[1]).astype(np.float32), np.float32(1)
     for _ in range(8):
-        v = z.T @ (balance * (z @ v))
+        v = ((balance * (x @ (v / spread))) @ x) / spread
         norm = np.linalg.norm(v) + np.float32(1e-12)
         v /= norm
     step = np.float32(1 / (2 * (norm + 1) + c))
-    w, b = np.zeros(z.shape[1], np.float32), np.float32(0)
+    w, b = np.zeros(x.shape[1], np.float32), np.float32(0)
     vw, vb, t = w, b, 1.0
     for _ in range(rounds):
-        slack = np.maximum(0, 1 - y * (z @ vw + vb)) * balance * y
-        nw, nb = vw + step * (2 * (slack @ z) - np.float32(c) * vw), vb + step * 2 * slack.sum()
+        slack = np.maximum(0, 1 - y * (x @ (vw / spread) + vb)) * balance * y
+        nw, nb = vw + step * (2 * (slack @ x) / spread - np.float32(c) * vw), vb + step * 2 * slack.sum()
         t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
         vw, vb = nw + np.float32((t - 1) / t2) * (nw - w), nb + np.float32((t - 1) / t2) * (nb - b)
         w, b, t = nw, nb, t2
-    margin, slope = y * (z @ w + b), 1.0
+    margin, slope = y * (x @ (w / spread) + b), 1.0
     for _ in range(60):  # one-parameter logistic fit of the margins
         p = 1 / (1 + np.exp(np.clip(slope * margin, -30, 30)))
         slope = float(np.clip(slope + 2.0 * (p * margin).sum() / n, 0.1, 20))
@@ -210,9 +211,10 @@ def learn(docs: DataFrame, max_per_language: int = MAX_PER_LANGUAGE, max_train:
     chosen = chosen.orderBy("r", "lang", "doc_id").limit(max_train).select("doc_id", "lang")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most max_train rows of an id and a short code: their size is bounded, so they may be broadcast.
-    rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_profile_rows, "doc_id long, lang string, profile binary").orderBy("doc_id", "lang").limit(max_train).collect()
-    x = np.frombuffer(b"".join(r.profile for r in rows), np.float16).reshape(len(rows), -1).astype(np.float32) if rows else np.zeros((0, 1), np.float32)
-    return train(x, [r.lang for r in rows])
+    rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_profile_rows, "doc_id long, lang string, profile binary").orderBy("doc_id", "lang").limit(max_train).toArrow()
+    packed = rows.column("profile").combine_chunks()
+    x = np.frombuffer(packed.buffers()[2], np.float16, count=len(packed) << GRAM_BITS) if len(packed) else np.zeros(0, np.float16)
+    return train(x.reshape(len(packed), 1 << GRAM_BITS).astype(np.float32), rows.column("lang").to_pylist())
 
 
 def with_language(docs: DataFrame, model: LanguageModel, keep: list[str]) -> tuple[DataFrame, str, str]:
