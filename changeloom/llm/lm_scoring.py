@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from changeloom.llm.common import U64, Workspace, held_out, mix, text_chunks, word_hashes, word_spans
 
 MODULUS, REMAINDER = 5, 1
-PRIOR = 20.0
+PRIOR = 300.0
 BLOCK_BYTES = 8 << 20
 HASH_BITS = 48
 END, START = U64(0x0123456789ABCDEF), U64(0xFEDCBA9876543210)
