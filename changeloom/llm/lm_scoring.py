@@ -33,7 +33,7 @@ from changeloom.llm.common import U64, Workspace, held_out, mix, text_chunks, wo
 
 MODULUS, REMAINDER = 5, 1
 PRIOR = 300.0
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 HASH_BITS = 48
 END, START = U64(0x0123456789ABCDEF), U64(0xFEDCBA9876543210)
 _PAIR = (U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F))
@@ -154,7 +154,7 @@ class Automaton:
 
 
 def _texts(table: pa.Table) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    for c in text_chunks(table.column("text").combine_chunks(), 1 << 21):
+    for c in text_chunks(table.column("text").combine_chunks()):
         tokens, off = block_tokens(c.buf, c.off)
         yield c.lo, c.hi, tokens, off
 
