@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from changeloom.functions import expr as X
 from changeloom.model import DELETE, INDEX_COLUMNS, INSERT, POST_UPDATE, SNAPSHOT
+from changeloom.sources.work import numbered
 
 _LOG = ["topic", "partition_id"]
 
@@ -182,6 +183,13 @@ def unified_verdicts(log: DataFrame, expected_topics: list[str]) -> DataFrame:
     return out.withColumn("failures", F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules])), ",")).withColumn("warnings", F.when(F.col("unexpected") > 0, "unexpected_topics").otherwise(""))
 
 
+def _places(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Rows with their place `n` in their partition, by a sort over all partitions at once, so that none is one task's."""
+    ranked = numbered(rows, [F.col("partition_id"), *[F.col(c) for c in order]], "_pos")
+    firsts = ranked.groupBy("partition_id").agg(F.min("_pos").alias("_first"))  # one row for each partition
+    return ranked.join(F.broadcast(firsts), "partition_id").withColumn("n", F.col("_pos") - F.col("_first") + 1).drop("_pos", "_first")
+
+
 def positional(log: DataFrame, ct: DataFrame, partition: Column) -> DataFrame:
     """The n-th published change of a partition beside the n-th row of the change table that belongs there.
 
@@ -190,8 +198,8 @@ def positional(log: DataFrame, ct: DataFrame, partition: Column) -> DataFrame:
     rows = ct.where(X.is_published(F.col("operation"))).select(partition.alias("partition_id"), X.index().alias("table_idx"))
     first = rows.groupBy("partition_id").agg(F.min("table_idx").alias("first"))  # one row for each partition
     messages = log.where(X.is_published(F.col("operation"))).select("partition_id", "msg_offset", X.index().alias("topic_idx")).join(F.broadcast(first), "partition_id").where(F.col("topic_idx") >= F.col("first"))
-    messages = messages.select("partition_id", F.row_number().over(Window.partitionBy("partition_id").orderBy("msg_offset")).alias("n"), "topic_idx")
-    rows = rows.select("partition_id", F.row_number().over(Window.partitionBy("partition_id").orderBy("table_idx")).alias("n"), "table_idx")
+    messages = _places(messages.select("partition_id", "msg_offset", "topic_idx"), ["msg_offset"]).select("partition_id", "n", "topic_idx")
+    rows = _places(rows, ["table_idx"]).select("partition_id", "n", "table_idx")
     return messages.join(rows, ["partition_id", "n"], "full_outer").withColumn("same", F.coalesce(F.col("topic_idx") == F.col("table_idx"), F.lit(False)))
 
 
@@ -202,9 +210,8 @@ def comparison(log: DataFrame, ct: DataFrame, partition: Column) -> DataFrame:
 
 def mismatch_blocks(log: DataFrame, ct: DataFrame, partition: Column) -> DataFrame:
     """Runs of positions that differ: how many, and their sizes."""
-    rows = positional(log, ct, partition).where(~F.col("same")).select("partition_id", "n")
-    run = F.col("n") - F.row_number().over(Window.partitionBy("partition_id").orderBy("n"))
-    blocks = rows.withColumn("run", run).groupBy("partition_id", "run").agg(F.count("*").alias("size"))
+    rows = _places(positional(log, ct, partition).where(~F.col("same")).select("partition_id", F.col("n").alias("at")), ["at"])
+    blocks = rows.withColumn("run", F.col("at") - F.col("n")).groupBy("partition_id", "run").agg(F.count("*").alias("size"))
     return blocks.groupBy("partition_id").agg(F.count("*").alias("blocks"), F.min("size").alias("least"), F.max("size").alias("most"), F.round(F.avg("size"), 6).alias("mean"))
 
 

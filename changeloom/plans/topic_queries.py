@@ -356,12 +356,12 @@ FULL OUTER JOIN (SELECT CAST(user_id % 3 AS INT) AS partition_id, row_number() O
 
 @BOOK.query("row_compare", f"SELECT partition_id, count(*) AS rows, count(*) FILTER (same) AS same, count(*) FILTER (mn IS NULL) AS only_table, count(*) FILTER (rn IS NULL) AS only_topic FROM {_POSITIONS} x GROUP BY partition_id")
 def row_compare(t: Inputs):
-    return validate.comparison(t.topic_user_bad, t.ct_user, (F.col("user_id") % 3).cast("int"))
+    return validate.comparison(cut(t.topic_user_bad), cut(t.ct_user), (F.col("user_id") % 3).cast("int"))
 
 
 @BOOK.query("mismatch_blocks", f"SELECT partition_id, count(*) AS blocks, min(size) AS least, max(size) AS most, round(avg(size), 6) AS mean FROM (SELECT partition_id, run, count(*) AS size FROM (SELECT partition_id, n - row_number() OVER (PARTITION BY partition_id ORDER BY n) AS run FROM {_POSITIONS} x WHERE NOT coalesce(same, false)) y GROUP BY partition_id, run) z GROUP BY partition_id")
 def mismatch_blocks(t: Inputs):
-    return validate.mismatch_blocks(t.topic_user_bad, t.ct_user, (F.col("user_id") % 3).cast("int"))
+    return validate.mismatch_blocks(cut(t.topic_user_bad), cut(t.ct_user), (F.col("user_id") % 3).cast("int"))
 
 
 @BOOK.query("summary_json", """SELECT topic, '{"total":' || count(*) || ',"tombstones":' || count(*) FILTER (operation IS NULL) || ',"deletes":' || count(*) FILTER (operation = 1) || '}' AS report FROM topic_user GROUP BY topic""")
