@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeloom.model import INDEX_COLUMNS
 from changeloom.operators import changes, envelope, progress, replay
-from changeloom.streaming import sink
+from changeloom.streaming import sink, source
 from changeloom.streaming.source import NAME, ChangeSource
 
 #: Called with a batch's id and its messages, after the commit.
@@ -18,6 +19,8 @@ Reporter = Callable[[int, DataFrame], None]
 
 
 def change_stream(spark: SparkSession, path: str, lsn_map: str, schema: str, **options: str) -> DataFrame:
+    # The source is planned in a Python process that doesn't see files added to the application: its code goes along.
+    cloudpickle.register_pickle_by_value(source)
     spark.dataSource.register(ChangeSource)
     return spark.readStream.format(NAME).schema(schema).options(path=path, lsn_map=lsn_map, **options).load()
 
