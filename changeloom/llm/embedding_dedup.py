@@ -3,7 +3,15 @@
 In each pass a vector's key is the concatenation of random hashes: the signs of its projections on random directions,
 taken about the sample mean. Vectors are sorted by that key; each is compared with the next `WINDOW` in that order by
 cosine in double precision, and pairs at or above the threshold are united across passes. The number of passes follows
-the number of vectors, so that a pair at the threshold is met in some window with probability `RECALL` at any size.
+the number of vectors and their distance from that mean.
+
+Whether the windows were wide enough is measured, not assumed. A partner at the threshold is seen from the mean under an
+angle that the vector's own distance from it bounds, so the key bits that both share in enough passes are known for each
+vector. Where more vectors than a window share those bits, the pass does not count for that vector; a vector with too
+few passes that count is crowded. A pair with one vector that is not crowded is met with probability `RECALL`; the crowded ones
+go through passes of their own, about their own mean, as long as that leaves less than half of them, and the rest are
+compared all with all, in tiles, of which only those too far apart to hold a link are left out. That comparison costs
+the square of the number of crowded vectors in dot products.
 
 The window bounds the comparisons of a pass, not the links counted: links are then counted exactly among all vectors of
 a component, in tiles, so a group of near copies wider than the window still gets all its links. That follow-up costs
@@ -16,7 +24,9 @@ counts as a vector of its own. Columns besides vec_id and embedding are not look
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -33,18 +43,35 @@ BLOCK = 1024
 TILE = 256
 RECALL = 0.995
 BITS = 62
+COUNTED = 0.8  # of the passes, that part must count for a vector
+CROWD_TILE = 4096
+MAX_PIVOTS = 1024  # crowded vectors are dealt to the nearest of so many at most, so that tiles are compact
 MEAN_SAMPLE = 4096  # vectors whose mean centres the hashes; only the balance of the signs depends on it
 SMALL_GROUPS = 64  # components of one tile share this many groups for each shuffle partition
 
 
-def passes_for(n: int, threshold: float, window: int = WINDOW, recall: float = RECALL) -> int:
-    """Passes after which a pair at the threshold has been within a window with probability `recall`.
+def _reach(threshold: float) -> float:
+    """The largest distance of unit vectors that link, with room for rounding."""
+    return math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
+
+
+def _agree(radius: np.ndarray, threshold: float) -> np.ndarray:
+    """The least probability that a sign is that of a partner, for vectors at distance `radius` from the centre.
+
+    A partner within reach is seen from the centre under an angle of at most asin(reach / radius); 0 if it may be anywhere.
+    """
+    reach = _reach(threshold)
+    return np.where(radius > reach, 1 - np.arcsin(np.minimum(1, reach / np.maximum(radius, reach))) / np.pi, 0)
+
+
+def passes_for(n: int, threshold: float, window: int = WINDOW, recall: float = RECALL, radius: float = 1.0) -> float:
+    """Passes that must count so that a pair at the threshold has been within a window with probability `recall`.
 
-    A sign differs with probability angle/pi; n vectors sorted by signs are within a window once log2(n/window) agree.
+    n vectors sorted by signs are within a window once log2(n/window) agree, with one more to spare, if signs split evenly.
     """
-    differs = math.acos(min(1.0, max(-1.0, threshold))) / math.pi
-    met = (1 - differs) ** (max(0.0, math.log2(max(n, 1) / window)) + 1)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(max(1e-12, 1 - met))))
+    agree = float(_agree(np.array(radius), threshold))
+    met = agree ** (max(0.0, math.log2(max(n, 1) / window)) + 1)
+    return max(1, math.ceil(math.log(1 - recall) / math.log(max(1e-12, 1 - met)))) if met > 1e-9 else math.inf
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,8 +98,9 @@ def _units(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _keys(passes: int, centres: dict[int, bytes], seed: int):
-    """One row for each pass: (pass, dim, key, node)."""
+def _keys(passes: int, counted: int, centres: dict[int, bytes], threshold: float, recall: float, seed: list[int]):
+    """One row for each pass: (pass, dim, key, bits, node); bits: how many a partner shares in one of `counted` passes."""
+    met = 1 - (1 - recall) ** (1 / counted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
@@ -82,14 +110,17 @@ def _keys(passes: int, centres: dict[int, bytes], seed: int):
             for dim in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == dim))
                 unit = _units(part.column("vec"))
+                centre = np.frombuffer(centres[dim]) if dim in centres else np.zeros(dim)
+                agree = np.clip(_agree(np.linalg.norm(unit - centre, axis=1), threshold), 1e-9, 1 - 1e-9)
+                bits = np.clip(np.floor(math.log(met) / np.log(agree)), 0, BITS).astype(np.int32)
                 for p in range(passes):
                     if (dim, p) not in planes:
-                        a = np.random.default_rng([seed, p, int(dim)]).standard_normal((int(dim), BITS))
-                        planes[dim, p] = a, np.frombuffer(centres[dim]) @ a if dim in centres else np.zeros(BITS)
+                        a = np.random.default_rng([*seed, p, int(dim)]).standard_normal((int(dim), BITS))
+                        planes[dim, p] = a, centre @ a
                     a, cut = planes[dim, p]
                     key = ((unit @ a) > cut) @ weights
                     n = part.num_rows
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, p, np.int32)), pa.array(np.full(n, dim, np.int32)), pa.array(key), part.column("node")], names=["pass", "dim", "key", "node"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, p, np.int32)), pa.array(np.full(n, dim, np.int32)), pa.array(key), pa.array(bits), part.column("node")], names=["pass", "dim", "key", "bits", "node"])
 
     return run
 
@@ -104,11 +135,14 @@ def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _window_links(threshold: float, window: int):
-    """A forest over the pairs of a block whose cosine is high enough; halo rows are the first, from the block before."""
+    """A forest over the pairs of a block whose cosine is high enough; halo rows are the first, from the block before.
+
+    A row without b says that the pass does not count for a: the run of its key's first bits goes on beyond the window.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("rank")
-        rank, dim = (table.column(c).to_numpy() for c in ("rank", "dim"))
+        rank, dim, key, bits = (table.column(c).to_numpy() for c in ("rank", "dim", "key", "bits"))
         parent = np.arange(len(rank))
 
         def root(i: int) -> int:
@@ -117,9 +151,13 @@ def _window_links(threshold: float, window: int):
                 i = parent[i]
             return i
 
-        found = []
+        found, beyond = [], []
         for d in np.unique(dim):
             at = np.flatnonzero(dim == d)
+            # Both ends of each stretch of a window; a stretch lies in one block with its halo.
+            first, last = at[:-window], at[window:]
+            differ = key[first] ^ key[last]
+            beyond += [first[differ >> (BITS - bits[first]) == 0], last[differ >> (BITS - bits[last]) == 0]]
             unit = _units(table.column("vec").take(pa.array(at)))
             for lo in range(0, len(at), 256):
                 rows = at[lo : lo + 256]
@@ -132,8 +170,11 @@ def _window_links(threshold: float, window: int):
                     if rx != ry:
                         parent[ry] = rx
                         found.append((x, y))
-        found = np.array(found, np.int64).reshape(-1, 2)
-        return pa.table({"a": table.column("node").take(pa.array(found[:, 0])), "b": table.column("node").take(pa.array(found[:, 1]))})
+        found, beyond = np.array(found, np.int64).reshape(-1, 2), np.unique(np.concatenate(beyond))
+        node, of = table.column("node").combine_chunks(), table.column("pass").combine_chunks()
+        one = pa.table({"pass": of.take(pa.array(found[:, 0])), "a": node.take(pa.array(found[:, 0])), "b": node.take(pa.array(found[:, 1]))})
+        two = pa.table({"pass": of.take(pa.array(beyond)), "a": node.take(pa.array(beyond)), "b": pa.nulls(len(beyond), pa.binary())})
+        return pa.concat_tables([one, two])
 
     return run
 
@@ -163,27 +204,24 @@ def _count_links(threshold: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.9, window: int = WINDOW, recall: float = RECALL, seed: int = 3) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row of `vectors` (vec_id, embedding)."""
-    spark, ws = vectors.sparkSession, Workspace(vectors.sparkSession, "embedding")
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    clean = ws.table(rows.mapInArrow(_clean, "vec_id long, vec binary, digest binary"), "clean")
-    usable = clean.where("vec_id IS NOT NULL AND digest IS NOT NULL")
-    # A class is known by its vectors' digest, so an id on rows with different vectors does no harm.
-    classes = ws.table(usable.groupBy(F.col("digest").alias("node")).agg(F.min_by("vec", "vec_id").alias("vec"), F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "classes")
-    n = classes.count()
-
+def _sample(vectors: DataFrame) -> tuple[dict[int, bytes], float]:
+    """(mean of the unit vectors of a sample, by dimension; their median distance from it)."""
     sums: dict[int, list] = {}
-    for row in classes.orderBy("node").limit(MEAN_SAMPLE).select("vec").collect():
-        x = np.frombuffer(row.vec)
-        sums.setdefault(len(x), []).append(x / np.linalg.norm(x))
-    centres = {d: np.mean(x, axis=0).tobytes() for d, x in sums.items()}
+    for row in vectors.orderBy("node").limit(MEAN_SAMPLE).select("vec").collect():
+        sums.setdefault(len(row.vec) // 8, []).append(_units(pa.array([row.vec], pa.binary()))[0])
+    means = {d: np.mean(x, axis=0) for d, x in sums.items()}
+    radii = [np.linalg.norm(np.array(x) - means[d], axis=1) for d, x in sums.items()]
+    return {d: m.tobytes() for d, m in means.items()}, float(np.median(np.concatenate(radii))) if radii else 1.0
+
 
-    passes = passes_for(n, threshold, window, recall)
+def _pass_links(ws: Workspace, vectors: DataFrame, passes: int, centres: dict[int, bytes], threshold: float, window: int, recall: float, seed: list[int]) -> tuple[DataFrame, DataFrame]:
+    """(links (a, b) of the windows, the nodes that are crowded)."""
+    spark, counted = vectors.sparkSession, max(1, math.floor(COUNTED * passes))
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = classes.select("node", "vec").mapInArrow(_keys(passes, centres, seed), "pass int, dim int, key long, node binary")
+    schema = "pass int, dim int, key long, bits int, node binary"
+    keyed = vectors.select("node", "vec").mapInArrow(_keys(passes, counted, centres, threshold, recall, seed), schema)
     ordered = keyed.repartitionByRange(shuffles, "pass", "dim", "key", "node").sortWithinPartitions("pass", "dim", "key", "node")
-    placed = ws.table(ordered.mapInPandas(_numbered, "pass int, dim int, key long, node binary, part int, place long"), "placed")
+    placed = ws.table(ordered.mapInPandas(_numbered, schema + ", part int, place long"), "placed")
     # Ranks: at most one row for each partition and pass comes to the driver.
     starts, total = [], 0
     for part, size in sorted((r.part, r.n) for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect()):
@@ -192,11 +230,114 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, window: int = WINDO
     offsets = F.broadcast(spark.createDataFrame(starts or [(0, 0)], "part int, start long"))
     ranked = placed.join(offsets, "part").withColumn("rank", F.col("start") + F.col("place")).withColumn("block", F.floor(F.col("rank") / BLOCK))
     tail = F.col("rank") % BLOCK >= BLOCK - window
-    blocks = ranked.select("node", "rank", "pass", "dim", F.explode(F.when(tail, F.array("block", F.col("block") + 1)).otherwise(F.array("block"))).alias("block"))
+    blocks = ranked.select("node", "rank", "pass", "dim", "key", "bits", F.explode(F.when(tail, F.array("block", F.col("block") + 1)).otherwise(F.array("block"))).alias("block"))
     # A block may hold the end of one pass and the start of the next: they are told apart by (pass, block).
-    compared = blocks.join(classes.select("node", "vec"), "node").groupBy("pass", "block").applyInArrow(_window_links(threshold, window), "a binary, b binary")
-    links = ws.table(compared.distinct(), "links")
+    compared = blocks.join(vectors.select("node", "vec"), "node").groupBy("pass", "block").applyInArrow(_window_links(threshold, window), "pass int, a binary, b binary")
+    found = ws.table(compared, "compared")
+    crowded = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.count_distinct("pass").alias("n")).where(F.col("n") > passes - counted).select("node")
+    return found.where("b IS NOT NULL").select("a", "b").distinct(), crowded
 
+
+def _cells(pivots: dict[int, np.ndarray]):
+    """(node, vec, dim, cell): cell is the nearest pivot of the vector's dimension."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.array([len(v) // 8 for v in batch.column("vec").to_pylist()], int)
+            for dim in np.unique(sizes):
+                part = batch.filter(pa.array(sizes == dim))
+                near = (_units(part.column("vec")) @ pivots[dim].T).argmax(1) if dim in pivots else np.zeros(part.num_rows, int)
+                yield pa.RecordBatch.from_arrays([part.column("node"), part.column("vec"), pa.array(np.full(part.num_rows, dim, np.int32)), pa.array(near.astype(np.int32))], names=["node", "vec", "dim", "cell"])
+
+    return run
+
+
+def _ball(table: pa.Table) -> pa.Table:
+    """The centre of a tile and the distance of its farthest vector."""
+    unit = _units(table.column("vec"))
+    centre = unit.mean(0)
+    return pa.table({"dim": table.column("dim")[:1], "cell": table.column("cell")[:1], "tile": table.column("tile")[:1], "centre": pa.array([centre.tobytes()], pa.binary()), "radius": [float(np.linalg.norm(unit - centre, axis=1).max())]})
+
+
+def _tile_links(threshold: float):
+    """A forest over the links between two tiles (side 0 and 1), or within one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        unit = _units(table.column("vec"))
+        rows = np.flatnonzero(side == 0)
+        cols = rows if len(rows) == len(side) else np.flatnonzero(side == 1)
+        near = np.concatenate([(unit[rows[lo : lo + 512]] @ unit[cols].T) >= threshold for lo in range(0, len(rows), 512)])
+        if cols is rows:
+            np.fill_diagonal(near, False)
+        left, free = near.any(1), np.ones(len(cols), bool)
+        found = []
+        for i in np.flatnonzero(left):
+            if not left[i]:
+                continue
+            left[i] = False
+            front = np.array([i])
+            while len(front):  # a search in breadth, a side at a time
+                met = np.flatnonzero(near[front].any(0) & free)
+                free[met] = False
+                found += [(rows[i], cols[j]) for j in met if cols[j] != rows[i]]
+                front = np.flatnonzero(near[:, met].any(1) & left)
+                left[front] = False
+                found += [(rows[i], rows[j]) for j in front]
+        found, node = np.array(found, np.int64).reshape(-1, 2), table.column("node").combine_chunks()
+        return pa.table({"a": node.take(pa.array(found[:, 0])), "b": node.take(pa.array(found[:, 1]))})
+
+    return run
+
+
+def _all_links(ws: Workspace, vectors: DataFrame, threshold: float, size: int = CROWD_TILE) -> DataFrame:
+    """Links (a, b) that join the same vectors as those of all pairs do."""
+    spark, n = vectors.sparkSession, vectors.count()
+    pivots: dict[int, list] = {}
+    for row in vectors.orderBy(F.xxhash64("node")).limit(min(MAX_PIVOTS, -(-n // size))).select("vec").collect():
+        pivots.setdefault(len(row.vec) // 8, []).append(_units(pa.array([row.vec], pa.binary()))[0])
+    dealt = ws.table(vectors.select("node", "vec").mapInArrow(_cells({d: np.array(x) for d, x in pivots.items()}), "node binary, vec binary, dim int, cell int"), "cells")
+    tiles = dealt.groupBy("dim", "cell").agg(F.ceil(F.count("*") / size).cast("int").alias("tiles"))
+    dealt = dealt.join(F.broadcast(tiles), ["dim", "cell"]).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).drop("tiles")
+    balls = dealt.groupBy("dim", "cell", "tile").applyInArrow(_ball, "dim int, cell int, tile int, centre binary, radius double").orderBy("dim", "cell", "tile").collect()
+    pairs = []
+    for i, x in enumerate(balls):
+        own = np.frombuffer(x.centre)
+        for j in range(i, len(balls)):
+            y = balls[j]
+            if x.dim == y.dim and (i == j or np.linalg.norm(own - np.frombuffer(y.centre)) <= x.radius + y.radius + _reach(threshold)):
+                pairs += [(x.dim, x.cell, x.tile, i, j, 0)] + [(y.dim, y.cell, y.tile, i, j, 1)] * (i != j)
+    wanted = spark.createDataFrame(pairs, "dim int, cell int, tile int, t1 int, t2 int, side int")
+    return dealt.join(wanted, ["dim", "cell", "tile"]).select("node", "vec", "t1", "t2", "side").groupBy("t1", "t2").applyInArrow(_tile_links(threshold), "a binary, b binary")
+
+
+def near_vectors(vectors: DataFrame, threshold: float = 0.9, window: int = WINDOW, recall: float = RECALL, seed: int = 3) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every row of `vectors` (vec_id, embedding)."""
+    spark, ws = vectors.sparkSession, Workspace(vectors.sparkSession, "embedding")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    clean = ws.table(rows.mapInArrow(_clean, "vec_id long, vec binary, digest binary"), "clean")
+    usable = clean.where("vec_id IS NOT NULL AND digest IS NOT NULL")
+    # A class is known by its vectors' digest, so an id on rows with different vectors does no harm.
+    classes = ws.table(usable.groupBy(F.col("digest").alias("node")).agg(F.min_by("vec", "vec_id").alias("vec"), F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "classes")
+    n = classes.count()
+
+    rest, parts = classes.select("node", "vec"), []
+    for level in itertools.count():
+        centres, radius = _sample(rest)
+        passes = passes_for(n, threshold, window, recall, radius) / COUNTED
+        if 2 * window * passes >= n:  # all pairs are no more comparisons than the windows
+            break
+        links, crowded = _pass_links(ws, rest, math.ceil(passes), centres, threshold, window, recall, [seed, level])
+        parts.append(links)
+        rest = ws.table(rest.join(crowded, "node", "left_semi"), "crowded")
+        before, n = n, rest.count()
+        if 2 * n > before:
+            break
+    if n:
+        parts.append(_all_links(ws, rest, threshold))
+    links = ws.table(functools.reduce(DataFrame.unionAll, parts), "links") if parts else spark.createDataFrame([], "a binary, b binary")
+
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     roots = ws.table(connected_components(ws, links), "roots")
     sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     groups = max(1, shuffles) * SMALL_GROUPS
