@@ -28,6 +28,8 @@ from changeloom.llm.common import annotate, binary_array, fresh_name, held_out,
 MODULUS, REMAINDER = 4, 2
 MAX_PER_LANGUAGE, MAX_TRAIN, MAX_LANGUAGES = 600, 6000, 200
 GRAM_BITS = 12
+PASSAGE, MAX_PASSAGES = 400, 15  # bytes of a passage at least; an odd number of passages, so that one is in the middle
+CUT_QUANTILE, CUT_SAMPLE, CUT_LEAST = 0.001, 4000, 200  # of correct held-out documents; fewer than the least set no cut
 UNKNOWN = "und"
 FAMILIES = {
     "germanic": ["en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af"],
@@ -228,6 +230,51 @@ def with_language(docs: DataFrame, model: LanguageModel, keep: list[str]) -> tup
     return annotate(docs, "text", rate, [(lang, "string"), (score, "double")], keep), lang, score
 
 
+def majority(model: LanguageModel, buf: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """(commonest language, median score) of the passages with a letter; `und` and -1 where there is none."""
+    size = np.diff(off)
+    parts = np.clip(size // PASSAGE, 1, MAX_PASSAGES)
+    doc = np.repeat(np.arange(len(size)), parts)
+    nth = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+    start = off[:-1][doc] + nth * size[doc] // parts[doc]
+    end = off[1:][doc]
+    for _ in range(3):  # a character isn't cut
+        inside = np.flatnonzero((nth > 0) & (start < end))
+        start[inside] += (buf[start[inside]] & 0xC0) == 0x80
+    found, scores = model.predict(buf, np.append(start, off[-1]))
+    found = np.array(found, object)
+    names, score = [UNKNOWN] * len(size), np.full(len(size), -1.0)
+    edge = np.searchsorted(doc, np.arange(len(size) + 1))
+    for i, (lo, hi) in enumerate(zip(edge, edge[1:], strict=False)):
+        told = found[lo:hi] != UNKNOWN
+        if told.any():
+            score[i] = np.median(scores[lo:hi][told])
+            kinds, n = np.unique(found[lo:hi][told].astype(str), return_counts=True)
+            names[i] = str(kinds[n.argmax()])
+    return names, score
+
+
+def with_majority(docs: DataFrame, model: LanguageModel, keep: list[str]) -> tuple[DataFrame, str, str]:
+    """Like `with_language`, judged by most passages instead of the whole text."""
+    lang, score = fresh_name(keep, "lang_pred"), fresh_name(keep, "lang_score")
+
+    def rate(buf: np.ndarray, off: np.ndarray) -> list:
+        names, scores = majority(model, buf, off)
+        return [pa.array(names, pa.string()), scores]
+
+    return annotate(docs, "text", rate, [(lang, "string"), (score, "double")], keep), lang, score
+
+
+def learn_cut(docs: DataFrame, model: LanguageModel) -> float:
+    """The score below which a text is in no learned language: a low quantile of correct held-out documents, 0 if they are few."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    ids = ids.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & held_out(F.col("doc_id"), MODULUS, REMAINDER))
+    some = ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").limit(CUT_SAMPLE)
+    rated, lang, score = with_majority(ids.join(F.broadcast(some), "doc_id"), model, ["doc_id", "lang", "text"])
+    right = [r[0] for r in rated.where(F.col(lang) == F.col("lang")).select(score).limit(4 * CUT_SAMPLE).collect()]
+    return float(np.quantile(right, CUT_QUANTILE, method="lower")) if len(right) >= CUT_LEAST else 0.0
+
+
 def languages(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of docs (doc_id, text, lang)."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
