@@ -231,7 +231,12 @@ def with_language(docs: DataFrame, model: LanguageModel, keep: list[str]) -> tup
 
 
 def majority(model: LanguageModel, buf: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """(commonest language, median score) of the passages with a letter; `und` and -1 where there is none."""
+    """(commonest language, median score) of the passages with a letter; `und` and -1 where there is none.
+
+    If no language was learned, all is `und`, with 0 where there is a letter.
+    """
+    if not model.families:
+        return [UNKNOWN] * (len(off) - 1), np.where(has_letter(buf, off), 0.0, -1.0)
     size = np.diff(off)
     parts = np.clip(size // PASSAGE, 1, MAX_PASSAGES)
     doc = np.repeat(np.arange(len(size)), parts)
