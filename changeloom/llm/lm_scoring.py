@@ -1,73 +1,87 @@
 """Operator 7: n-gram language-model scores by a weighted backoff automaton.
 
-Tokens are words (A-Z folded) and one end token for each text. The unigram is additive: `(c + 0.5) / (N + 0.5 (V + 1))`
-of a token that training texts hold c times, with N tokens of V kinds in all. A bigram is smoothed towards it with
-`PRIOR` tokens of weight: `P(w|h) = (c(hw) + PRIOR P(w)) / (c(h) + PRIOR)`, which sums to one. The automaton has a state
-for each seen word (and one for the start of a text) with an arc for each bigram seen from it, and a failure arc of
-weight `log10(PRIOR / (c(h) + PRIOR))` to the root, whose arcs are the unigrams. A text's score is the sum of the arc
-weights of one traversal from left to right. The state after a token depends on that token alone, so all steps of a
-traversal are looked up at once (`Automaton.scores`); `Automaton.walk` does them one by one.
-
-No task holds the whole model. Documents are dealt to blocks of about `BLOCK_BYTES`. A block sends what it counted in its
-training texts, and the n-grams it wants to know, to slots dealt by the n-gram's hash, as sorted arrays rather than rows;
-a slot adds the counts of all blocks up and answers each block where the total differs from the block's own count. From
-its own counts and the answers each block builds the part of the automaton that its texts can reach. Counts cover all
-training texts; nothing is pruned. N-grams are known by 48-bit hashes, so of 10^8 bigrams a few dozen would share one.
-
-Edge cases: a null text counts as empty and is one end token; with no training text N and V are 0 and every token has
-probability 1 by the base; a null doc_id is hashed as empty text and so is in training; repeated rows count and are scored
-one by one. Columns besides doc_id and text are not looked at.
+Tokens are words (A-Z folded) and one end token for each text. The model is of order three:
+
+    P1(w)      = (c(w) + 0.5) / (N + 0.5 (V + 1))           N training tokens of V kinds
+    P2(w | h)  = (c(hw) + PRIOR2 P1(w)) / (c(h) + PRIOR2)
+    P3(w | gh) = (c(ghw) + PRIOR3 P2(w | h)) / (c(gh) + PRIOR3)
+
+Each sums to one over the seen kinds and the unknown one. The automaton has a root, a state for each seen word and one
+for each seen pair of words (a text's start counts as a word). Arcs leave a state for each n-gram seen from it, with the
+logarithm of its probability, and lead to the state of the longest seen suffix. Where a state has no arc for a token, its
+failure arc is taken, which costs `log10(PRIOR / (c + PRIOR))` and leads to the state without the oldest word; the root
+has an arc for every token. A text's score is what one traversal from left to right adds up. `Automaton.traverse` walks
+many stretches of texts in step; a stretch inside a text starts in the state its two words before lead to from the root.
+
+No task holds the whole model. Texts are read once, into blocks of about `BLOCK_BYTES` of text, which are written as
+token numbers. A block sends what it counted in its training texts, and the n-grams it wants to know, to slots dealt by
+ranges of the n-gram's hash, as sorted arrays rather than rows. A slot adds the counts up and answers each block where
+the total differs from the block's own count; above `FAN` blocks that goes by a tree, so a task gets about `FAN`
+messages for a slot however common a word is. From its counts and the answers each block builds the part of the automaton that its
+texts can reach. Counts cover all training texts; nothing is pruned. Words are known by 64-bit hashes; pairs and
+triples by as many bits as keep the chance of a false match below 2^-17 for each look-up.
+
+Edge cases: a null or empty text is one end token; in an empty table nothing is scored; with no training text N and V
+are 0 and every token has probability 1 by the base; a null doc_id is hashed as empty text and so is in training;
+repeated rows and rows that share a doc_id count and are scored one by one; a text longer than a block is a block of its
+own and is held whole by one task; equal texts get equal scores. Columns besides doc_id and text are not looked at.
 """
 
 from __future__ import annotations
 
 import gc
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import U64, Workspace, held_out, mix, text_chunks, word_hashes, word_spans
+from changeloom.llm.common import CHUNK_BYTES, U64, Workspace, mix, text_chunks, word_hashes, word_spans
 
 MODULUS, REMAINDER = 5, 1
-PRIOR = 300.0
-BLOCK_BYTES = 5 << 20
-HASH_BITS = 48
+PRIOR2, PRIOR3 = 1000.0, 5.0  # by held-out perplexity: see the README
+BLOCK_BYTES = 12 << 20
+FAN = 4096
+STRETCH = 256  # tokens of a text that are walked in one go
 END, START = U64(0x0123456789ABCDEF), U64(0xFEDCBA9876543210)
-_PAIR = (U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F))
-_SHIFT = U64(64 - HASH_BITS)
+_MIX2 = (U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F))
+_MIX3 = (U64(0xE7037ED1A0B428DB), U64(0x8EBC6AF09C88C6E3), U64(0x589965CC75374CC3))
+_NONE = np.zeros(0, np.int64)
 
 
-# ------------------------------------------------------------------ sorted arrays as bytes
+# ------------------------------------------------------------------ arrays as bytes
 
 
-def pack_sorted(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Ascending keys as differences, then counts, each by byte planes of the least width, which compress well."""
+def _planes(x: np.ndarray) -> bytes:
+    """Unsigned numbers by byte planes of the least width, compressed."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    raw = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    body = zstandard.ZstdCompressor(level=1).compress(raw)
+    return np.array([len(x), width, len(body)], "<u8").tobytes() + body
 
-    def planes(x: np.ndarray) -> tuple[int, bytes]:
-        width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
-        return width, np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
-    steps = np.diff(keys, prepend=U64(0))
-    (a, x), (b, y) = planes(steps), planes(counts.astype(U64))
-    return np.array([len(keys), a, b], "<u8").tobytes() + x + y
+def _from_planes(raw: bytes, at: int = 0) -> tuple[np.ndarray, int]:
+    n, width, size = (int(v) for v in np.frombuffer(raw, "<u8", 3, at))
+    body = zstandard.ZstdDecompressor().decompress(raw[at + 24 : at + 24 + size], max_output_size=max(1, n * width))
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(body, np.uint8).reshape(width, n).T
+    return out.view("<u8").reshape(-1), at + 24 + size
 
 
-def unpack_sorted(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, a, b = (int(v) for v in np.frombuffer(raw, "<u8", 3))
-    body = np.frombuffer(raw, np.uint8, offset=24)
+def pack_sorted(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending keys (as differences) and their counts."""
+    return _planes(np.diff(keys, prepend=U64(0))) + _planes(counts)
 
-    def planes(x: np.ndarray, width: int) -> np.ndarray:
-        out = np.zeros((n, 8), np.uint8)
-        out[:, :width] = x.reshape(width, n).T
-        return out.view("<u8").reshape(-1)
 
-    return np.cumsum(planes(body[: a * n], a), dtype=U64), planes(body[a * n :], b).astype(np.int64)
+def unpack_sorted(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps, at = _from_planes(raw)
+    return np.cumsum(steps, dtype=U64), _from_planes(raw, at)[0].astype(np.int64)
 
 
-# ------------------------------------------------------------------ tokens and counts of a block
+# ------------------------------------------------------------------ tokens of a block
 
 
 def block_tokens(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,181 +95,323 @@ def block_tokens(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, words.off + np.arange(n + 1)
 
 
-def previous(tokens: np.ndarray, off: np.ndarray) -> np.ndarray:
-    out = np.empty_like(tokens)
-    out[1:] = tokens[:-1]
-    out[off[:-1]] = START
-    return out
+def held_out(doc_ids: list[int | None]) -> np.ndarray:
+    return np.array([zlib.crc32(b"" if i is None else str(i).encode()) % MODULUS == REMAINDER for i in doc_ids], bool)
+
+
+class Block:
+    """Texts as numbers of distinct tokens, whose hashes ascend in `words`."""
 
+    def __init__(self, words: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, training: np.ndarray):
+        self.words, self.tokens, self.sizes = words, tokens.astype(np.int64), sizes.astype(np.int64)
+        self.off = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.flag = np.repeat(training, self.sizes)
+        self.hash = np.append(words, START)  # of a token's number; the last number stands for the start of a text
+        starts = self.off[:-1]  # every text has at least its end token
+        self.h = np.empty_like(self.tokens)
+        self.h[1:] = self.tokens[:-1]
+        self.h[starts] = len(words)
+        self.g = np.empty_like(self.tokens)
+        self.g[1:] = self.h[:-1]
+        self.inner = np.ones(len(self.tokens), bool)  # tokens with two words before them, the start counted
+        self.inner[starts] = False
 
-def keys_of(tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return tokens >> _SHIFT, mix(before * _PAIR[0] + tokens * _PAIR[1]) >> _SHIFT
+    def key2(self, h: np.ndarray, w: np.ndarray, bits: int) -> np.ndarray:
+        return mix(self.hash[h] * _MIX2[0] + self.hash[w] * _MIX2[1]) >> U64(64 - bits)
 
+    def key3(self, g: np.ndarray, h: np.ndarray, w: np.ndarray, bits: int) -> np.ndarray:
+        return mix(self.hash[g] * _MIX3[0] + self.hash[h] * _MIX3[1] + self.hash[w] * _MIX3[2]) >> U64(64 - bits)
 
-def counted(keys: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct keys, how often each occurs in training texts)."""
+    def counts(self, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For words, pairs and triples: (distinct keys, ascending; how often training texts of the block hold each)."""
+        inner = np.flatnonzero(self.inner)
+        return [
+            (self.words, np.bincount(self.tokens[self.flag], minlength=len(self.words))),
+            _counted(self.key2(self.h, self.tokens, bits), self.flag),
+            _counted(self.key3(self.g[inner], self.h[inner], self.tokens[inner], bits), self.flag[inner]),
+        ]
+
+
+def _counted(keys: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys have 62 bits at most: the lowest bit of the sorted numbers tells training texts from others."""
     both = np.sort((keys << U64(1)) | (~training).astype(U64))
-    edge = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(both) else np.zeros(0, int)
+    if not len(both):
+        return both, _NONE
+    edge = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
     times = np.diff(np.append(edge, len(both)))
     value = both[edge]
-    times = np.where(value & U64(1), 0, times)
     key = value >> U64(1)
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else edge
-    return key[first], np.add.reduceat(times, first) if len(first) else times
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key[first], np.add.reduceat(np.where(value & U64(1), 0, times), first)
+
+
+def _find(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, whether found)."""
+    if not len(sorted_keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(sorted_keys, wanted), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == wanted
+
+
+def _look(table: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> np.ndarray:
+    at, found = _find(table[0], wanted)
+    return np.where(found, table[1][at], 0) if len(table[0]) else np.zeros(len(wanted), np.int64)
+
+
+# ------------------------------------------------------------------ the automaton
 
 
 class Automaton:
-    """The part of the model that a block's texts can reach."""
-
-    def __init__(self, unigrams: tuple[np.ndarray, np.ndarray], bigrams: tuple[np.ndarray, np.ndarray], tokens: int, kinds: int, texts: int):
-        self.uni, self.uni_count = unigrams
-        self.bi, self.bi_count = bigrams
-        self.total, self.kinds, self.texts = tokens, kinds, texts
-
-    @staticmethod
-    def _look(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        if not len(keys):
-            return np.zeros(len(wanted), np.int64)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return np.where(keys[at] == wanted, counts[at], 0)
-
-    def base(self, count: np.ndarray) -> np.ndarray:
-        return (count + 0.5) / (self.total + 0.5 * (self.kinds + 1))
-
-    def scores(self, tokens: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(known tokens, base score, score) of each document."""
-        before = previous(tokens, off)
-        uni, pair = keys_of(tokens, before)
-        c = self._look(self.uni, self.uni_count, uni)
-        state = np.empty_like(c)
-        state[1:] = c[:-1]
-        state[off[:-1]] = self.texts
-        p = self.base(c)
-        step = np.log10((self._look(self.bi, self.bi_count, pair) + PRIOR * p) / (state + PRIOR))
-        starts = off[:-1]
-        return np.add.reduceat((c > 0).astype(np.int64), starts), np.add.reduceat(np.log10(p), starts), np.add.reduceat(step, starts)
-
-    def walk(self, tokens: np.ndarray) -> float:
-        """The score of one text, arc by arc: from a state by its own arc if it has one, else by its failure arc and the root's."""
-        uni = dict(zip(self.uni.tolist(), self.uni_count.tolist(), strict=True))
-        arcs = dict(zip(self.bi.tolist(), self.bi_count.tolist(), strict=True))
-        history, seen, out = START, self.texts, 0.0
-        for token in tokens:
-            u, pair = keys_of(np.array([token]), np.array([history]))
-            c = uni.get(int(u[0]), 0)
-            p = (c + 0.5) / (self.total + 0.5 * (self.kinds + 1))
-            own = arcs.get(int(pair[0]), 0)
-            out += np.log10((own + PRIOR * p) / (seen + PRIOR)) if own else np.log10(PRIOR / (seen + PRIOR)) + np.log10(p)
-            history, seen = token, c
-        return float(out)
+    """The part of the model that a block's texts can reach.
+
+    States: 0 the root; 1 + w the word w; from `first_pair` on the seen pairs. Arcs are kept by state * width + token.
+    """
+
+    def __init__(self, block: Block, counts: list[tuple[np.ndarray, np.ndarray]], bits: int, tokens: int, kinds: int, texts: int, priors: tuple[float, float] = (PRIOR2, PRIOR3)):
+        p2, p3 = priors
+        self.width = width = len(block.words) + 1
+        self.first_pair = 1 + width
+        self.count = np.append(counts[0][1], texts)
+        self.p1 = (self.count[:-1] + 0.5) / (tokens + 0.5 * (kinds + 1))
+
+        pairs = np.unique(block.h * width + block.tokens)
+        seen = _look(counts[1], block.key2(pairs // width, pairs % width, bits))
+        self.pairs, self.pair_count = pairs[seen > 0], seen[seen > 0]
+        h, w = self.pairs // width, self.pairs % width
+        prob2 = (self.pair_count + p2 * self.p1[w]) / (self.count[h] + p2)
+        arcs2 = (1 + h) * width + w
+
+        inner = np.flatnonzero(block.inner)
+        at, known = _find(self.pairs, block.g[inner] * width + block.h[inner])
+        triples = np.unique((self.first_pair + at[known]) * width + block.tokens[inner[known]])
+        own, w3 = triples // width - self.first_pair, triples % width
+        g3, h3 = self.pairs[own] // width, self.pairs[own] % width
+        seen = _look(counts[2], block.key3(g3, h3, w3, bits))
+        own, w3, h3, triples, seen = (x[seen > 0] for x in (own, w3, h3, triples, seen))
+        at, known = _find(self.pairs, h3 * width + w3)
+        below = np.where(known, prob2[at], p2 * self.p1[w3] / (self.count[h3] + p2)) if len(prob2) else np.zeros(0)
+        prob3 = (seen + p3 * below) / (self.pair_count[own] + p3)
+
+        self.arc = np.concatenate([arcs2, triples])  # ascending: states of pairs come after those of words
+        self.weight = np.log10(np.concatenate([prob2, prob3]))
+        to2, to3 = self.first_pair + np.arange(len(self.pairs)), np.where(known, self.first_pair + at, self.word_state(w3))
+        self.to = np.concatenate([to2, to3])
+        self.root_weight, self.root_to = np.log10(self.p1), self.word_state(np.arange(width - 1))
+        self.fail_to = np.concatenate([[0], np.zeros(width, np.int64), self.word_state(w)])
+        self.fail_weight = np.log10(np.concatenate([[1.0], p2 / (self.count + p2), p3 / (self.pair_count + p3)]))
+
+    def word_state(self, w: np.ndarray) -> np.ndarray:
+        return np.where(self.count[w] > 0, 1 + w, 0)
+
+    def step(self, state: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next states, weights): the state's own arc, or failure arcs until a state has one; the root always has."""
+        state, total, out = state.copy(), np.zeros(len(state)), np.empty_like(state)
+        todo = np.arange(len(state))
+        while len(todo):
+            s, w = state[todo], token[todo]
+            at, found = _find(self.arc, s * self.width + w)
+            root = s == 0
+            found &= ~root
+            hit = todo[found]
+            out[hit] = self.to[at[found]]
+            total[hit] += self.weight[at[found]]
+            hit = todo[root]
+            out[hit] = self.root_to[w[root]]
+            total[hit] += self.root_weight[w[root]]
+            todo = todo[~(found | root)]
+            total[todo] += self.fail_weight[state[todo]]
+            state[todo] = self.fail_to[state[todo]]
+        return out, total
+
+    def traverse(self, block: Block) -> np.ndarray:
+        """The score of each text."""
+        parts = -(-block.sizes // STRETCH)
+        doc = np.repeat(np.arange(len(parts)), parts)
+        nth = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+        lo = block.off[:-1][doc] + nth * STRETCH
+        size = np.minimum(block.off[1:][doc] - lo, STRETCH)
+        order = np.argsort(-size, kind="stable")
+        lo, size = lo[order], size[order]
+        later = np.flatnonzero(nth[order] > 0)
+        state = np.full(len(lo), self.word_state(np.array([self.width - 1]))[0])
+        before = np.zeros(len(later), np.int64)
+        for back in (2, 1):
+            before, _ = self.step(before, block.tokens[lo[later] - back])
+        state[later] = before
+        total = np.zeros(len(lo))
+        longer = np.searchsorted(-size, -np.arange(int(size.max(initial=0))), "left")  # how many stretches go beyond a place
+        for t, n in enumerate(longer):
+            state[:n], weight = self.step(state[:n], block.tokens[lo[:n] + t])
+            total[:n] += weight
+        return np.bincount(doc, weights=total[np.argsort(order)], minlength=len(parts))
 
 
 # ------------------------------------------------------------------ Spark
 
 
-def _texts(table: pa.Table) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    for c in text_chunks(table.column("text").combine_chunks()):
-        tokens, off = block_tokens(c.buf, c.off)
-        yield c.lo, c.hi, tokens, off
-
-
-def _block_counts(table: pa.Table) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    train = ~table.column("held_out").to_numpy()
-    uni, bi, flags = [], [], []
-    for lo, hi, tokens, off in _texts(table):
-        u, b = keys_of(tokens, previous(tokens, off))
-        uni.append(u)
-        bi.append(b)
-        flags.append(np.repeat(train[lo:hi], np.diff(off)))
-    flag = np.concatenate(flags) if flags else np.zeros(0, bool)
-    none = np.zeros(0, U64)
-    return counted(np.concatenate(uni or [none]), flag), counted(np.concatenate(bi or [none]), flag)
-
-
-def _send(slots: int):
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"kind": [], "slot": [], "block": [], "data": []}
-        for kind, (keys, counts) in enumerate(_block_counts(table)):
-            slot = ((keys >> U64(16)) * U64(slots)) >> U64(HASH_BITS - 16)  # ranges of keys; slots are under 2^32
-            edge = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1], True]) if len(slot) else [0]
-            for a, b in zip(edge[:-1], edge[1:], strict=True):
-                for name, value in zip(out, (kind, int(slot[a]), key[0].as_py(), pack_sorted(keys[a:b], counts[a:b])), strict=True):
-                    out[name].append(value)
-        return pa.table(out, schema=pa.schema([("kind", pa.int32()), ("slot", pa.int64()), ("block", pa.int64()), ("data", pa.binary())]))
+_BLOCK = "block long, ids array<long>, sizes binary, words binary, tokens binary, n_tokens long, train_tokens long, train_texts long"
+
+
+def _blocks(block_bytes: int):
+    """One row for each block. Blocks are numbered by partition, and read only once they are written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number, parts, held = TaskContext.get().partitionId() << 32, [], 0
+
+        def row() -> pa.RecordBatch:
+            ids = [i for p in parts for i in p[0]]
+            words, tokens = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
+            sizes = np.concatenate([p[2] for p in parts])
+            training = ~held_out(ids)
+            values = [number, ids, _planes(sizes), _planes(np.diff(words, prepend=U64(0))), _planes(tokens), len(tokens), int(sizes[training].sum()), int(training.sum())]
+            types = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=[f.split()[0] for f in _BLOCK.split(", ")])
+
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            for c in text_chunks(batch.column("text"), min(CHUNK_BYTES, block_bytes)):
+                if parts and held + len(c.buf) > block_bytes:
+                    yield row()
+                    number, parts, held = number + 1, [], 0
+                tokens, off = block_tokens(c.buf, c.off)
+                parts.append((ids[c.lo : c.hi], tokens, np.diff(off)))
+                held += len(c.buf)
+        if parts:
+            yield row()
 
     return run
 
 
-def _add_up(key: tuple, table: pa.Table) -> pa.Table:
-    """Answers to the blocks (block >= 0) and a row of sums (block -1): kinds with a training count, and all tokens."""
-    blocks = table.column("block").to_numpy()
+def _read_block(row: dict) -> Block:
+    words = np.cumsum(_from_planes(row["words"])[0], dtype=U64)
+    return Block(words, _from_planes(row["tokens"])[0], _from_planes(row["sizes"])[0], ~held_out(row["ids"]))
+
+
+_MESSAGE = "kind int, slot long, sender long, data binary"
+_MESSAGES = pa.schema([("kind", pa.int32()), ("slot", pa.int64()), ("sender", pa.int64()), ("data", pa.binary())])
+
+
+def _slots(keys: np.ndarray, slots: int, bits: int) -> np.ndarray:
+    """Ranges of keys; slots are under 2^32."""
+    return ((keys >> U64(bits - 32)) * U64(slots)) >> U64(32)
+
+
+def _send(slots: int, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                for kind, (keys, counts) in enumerate(_read_block(row).counts(bits)):
+                    slot = _slots(keys, slots, bits if kind else 64)
+                    edge = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1], True]) if len(slot) else [0]
+                    spans = list(zip(edge[:-1], edge[1:], strict=True))
+                    rows = [[kind] * len(spans), [int(slot[a]) for a, _ in spans], [row["block"]] * len(spans), [pack_sorted(keys[a:b], counts[a:b]) for a, b in spans]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, _MESSAGES.types, strict=True)], schema=_MESSAGES)
+
+    return run
+
+
+def _added(table: pa.Table) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(senders, keys, counts, number of the sender of each, distinct keys, their totals)."""
     parts = [unpack_sorted(x.as_py()) for x in table.column("data")]
-    keys = np.concatenate([k for k, _ in parts])
-    counts = np.concatenate([c for _, c in parts])
+    keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
     source = np.repeat(np.arange(len(parts), dtype=np.int64), [len(k) for k, _ in parts])
     order = np.argsort(keys, kind="stable")
     keys, counts, source = keys[order], counts[order], source[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    total = np.add.reduceat(counts, first)
-    each = np.repeat(total, np.diff(np.append(first, len(keys))))
-    changed = np.flatnonzero(each != counts)
+    return table.column("sender").to_pylist(), keys, counts, source, keys[first], np.add.reduceat(counts, first)
+
+
+def _answers(kind: int, slot: int, senders: list, keys: np.ndarray, counts: np.ndarray, source: np.ndarray, total: np.ndarray) -> list[tuple]:
+    """What each sender does not know yet: the keys whose total isn't the count it sent."""
+    changed = np.flatnonzero(total != counts)
     changed = changed[np.argsort(source[changed], kind="stable")]
-    edge = np.flatnonzero(np.r_[True, source[changed][1:] != source[changed][:-1], True]) if len(changed) else np.array([0])
-    out_blocks, data = [-1], [b""]
-    for a, b in zip(edge[:-1], edge[1:], strict=True):
-        rows = changed[a:b]
-        out_blocks.append(int(blocks[source[rows[0]]]))
-        data.append(pack_sorted(keys[rows], each[rows]))
-    n = len(data)
-    return pa.table({"kind": pa.array([key[0].as_py()] * n, pa.int32()), "slot": pa.array([key[1].as_py()] * n, pa.int64()), "block": pa.array(out_blocks, pa.int64()), "data": pa.array(data, pa.binary()), "kinds": pa.array([int((total > 0).sum())] + [0] * (n - 1), pa.int64()), "tokens": pa.array([int(total.sum())] + [0] * (n - 1), pa.int64())})
+    edge = np.flatnonzero(np.r_[True, source[changed][1:] != source[changed][:-1], True]) if len(changed) else [0]
+    return [(kind, slot, senders[source[changed[a]]], pack_sorted(keys[changed[a:b]], total[changed[a:b]])) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+
+
+def _table(rows: list[tuple]) -> pa.Table:
+    return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [()] * 4, _MESSAGES.types, strict=True)], schema=_MESSAGES)
+
+
+def _add_up(key: tuple, table: pa.Table) -> pa.Table:
+    """Answers, and for words a row without data whose sender is minus the number of kinds in training texts."""
+    kind, slot = key[0].as_py(), key[1].as_py()
+    senders, keys, counts, source, distinct, total = _added(table)
+    out = _answers(kind, slot, senders, keys, counts, source, total[np.searchsorted(distinct, keys)])
+    return _table(out + [(kind, slot, -int((total > 0).sum()), None)] * (kind == 0))
+
+
+def _merge(key: tuple, table: pa.Table) -> pa.Table:
+    *_, distinct, total = _added(table)
+    return _table([(key[0].as_py(), key[1].as_py(), key[2].as_py(), pack_sorted(distinct, total))])
+
+
+def _pass_on(key: tuple, sent: pa.Table, told: pa.Table) -> pa.Table:
+    """Answers to the senders of one group, from its own sums and what it was told of them."""
+    if not sent.num_rows:
+        return _table([])
+    senders, keys, counts, source, distinct, total = _added(sent)
+    for x in told.column("data"):
+        k, c = unpack_sorted(x.as_py())
+        total[np.searchsorted(distinct, k)] = c
+    return _table(_answers(key[0].as_py(), key[1].as_py(), senders, keys, counts, source, total[np.searchsorted(distinct, keys)]))
+
+
+def resolve(ws: Workspace, messages: DataFrame, senders: int, fan: int = FAN) -> DataFrame:
+    """The answers to messages of so many senders, by a tree in which a group gets about `fan` messages."""
+    if senders <= fan:
+        return messages.groupBy("kind", "slot").applyInArrow(_add_up, _MESSAGE)
+    messages = ws.table(messages, "messages")
+    parts = -(-senders // fan)
+    grouped = messages.withColumn("part", F.pmod(F.xxhash64("sender"), F.lit(parts)).cast("long"))
+    merged = grouped.groupBy("kind", "slot", "part").applyInArrow(_merge, _MESSAGE)
+    told = ws.table(resolve(ws, merged, parts, fan), "told")
+    back = told.where("data IS NOT NULL").withColumn("part", F.col("sender"))
+    passed = grouped.groupBy("kind", "slot", "part").cogroup(back.groupBy("kind", "slot", "part")).applyInArrow(_pass_on, _MESSAGE)
+    return passed.unionByName(told.where("data IS NULL"))
+
+
+_OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(total: int, kinds: int, texts: int):
+def _score(bits: int, tokens: int, kinds: int, texts: int, priors: tuple[float, float]):
     def run(table: pa.Table) -> pa.Table:
         kind = table.column("kind").to_numpy()
-        docs = table.filter(pa.array(kind < 0))
-        counts = []
-        for i, (keys, own) in enumerate(_block_counts(docs)):
-            answers = table.filter(pa.array(kind == i)).sort_by("slot")
-            for x in answers.column("data"):
-                k, c = unpack_sorted(x.as_py())
-                own[np.searchsorted(keys, k)] = c
-            counts.append((keys, own))
-        model = Automaton(counts[0], counts[1], total, kinds, texts)
-        known, base, score, size = [], [], [], []
-        for _, _, tokens, off in _texts(docs):
-            a, b, c = model.scores(tokens, off)
-            known.append(a)
-            base.append(b)
-            score.append(c)
-            size.append(np.diff(off))
-        none = [np.zeros(0)]
-        return pa.table(
-            {
-                "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": np.concatenate(size or none).astype(np.int64), "n_known": np.concatenate(known or none).astype(np.int64),
-                "train_tokens": np.full(docs.num_rows, total, np.int64), "base_score": np.concatenate(base or none), "score": np.concatenate(score or none),
-            }
-        )
+        row = table.filter(pa.array(kind < 0)).select(["ids", "sizes", "words", "tokens"]).to_pylist()[0]
+        block = _read_block(row)
+        counts = block.counts(bits)
+        for of, data in zip(kind, table.column("data"), strict=True):
+            if of >= 0:
+                keys, total = unpack_sorted(data.as_py())
+                counts[of][1][np.searchsorted(counts[of][0], keys)] = total
+        model = Automaton(block, counts, bits, tokens, kinds, texts, priors)
+        starts = block.off[:-1]
+        known = np.add.reduceat((model.count[block.tokens] > 0).astype(np.int64), starts)
+        base = np.add.reduceat(model.root_weight[block.tokens], starts)
+        return pa.table({"doc_id": pa.array(row["ids"], pa.int64()), "held_out": held_out(row["ids"]), "n_tokens": block.sizes, "n_known": known, "train_tokens": np.full(len(starts), tokens, np.int64), "base_score": base, "score": model.traverse(block)})
 
     return run
 
 
-def lm_scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def lm_scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, fan: int = FAN, priors: tuple[float, float] = (PRIOR2, PRIOR3)) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs (doc_id, text)."""
     spark, ws = docs.sparkSession, Workspace(docs.sparkSession, "lm")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("held_out", held_out(F.col("doc_id"), MODULUS, REMAINDER))
-    seen = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count_if(~F.col("held_out")).alias("texts")).first()
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(shuffles, -(-(seen.bytes or 0) // block_bytes), 1)
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).cast("long"))
-    sent = dealt.groupBy("block").applyInArrow(_send(blocks), "kind int, slot long, block long, data binary")
-    answers = ws.table(sent.groupBy("kind", "slot").applyInArrow(_add_up, "kind int, slot long, block long, data binary, kinds long, tokens long"), "answers")
-    sums = answers.where("kind = 0 AND block < 0").agg(F.sum("kinds").alias("kinds"), F.sum("tokens").alias("tokens")).first()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    blocks = ws.table(texts.mapInArrow(_blocks(block_bytes), _BLOCK), "blocks")
+    sums = blocks.agg(F.count("*").alias("blocks"), F.sum("n_tokens").alias("all"), F.sum("train_tokens").alias("tokens"), F.sum("train_texts").alias("texts")).first()
+    tokens, train_texts = int(sums.tokens or 0), int(sums.texts or 0)
+    bits = min(62, max(40, int(sums["all"] or 0).bit_length() + 17))
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sums.blocks)
+    sent = blocks.mapInArrow(_send(slots, bits), _MESSAGE)
+    answers = ws.table(resolve(ws, sent, int(sums.blocks), fan), "answers")
+    kinds = answers.where("data IS NULL").agg(F.sum("sender").alias("n")).first().n or 0
     del sent
     gc.collect()
     spark.sparkContext._jvm.System.gc()  # so that the shuffles behind the answers can go before the next ones come
 
-    asked = dealt.select("block", F.lit(-1).alias("kind"), F.lit(None).cast("long").alias("slot"), "doc_id", "held_out", "text", F.lit(None).cast("binary").alias("data"))
-    told = answers.where("block >= 0").select("block", "kind", "slot", F.lit(None).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), F.lit(None).cast("string").alias("text"), "data")
-    out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return asked.unionByName(told).groupBy("block").applyInArrow(_score(int(sums.tokens or 0), int(sums.kinds or 0), int(seen.texts or 0)), out)
+    own = blocks.select("block", F.lit(-1).alias("kind"), "ids", "sizes", "words", "tokens", F.lit(None).cast("binary").alias("data"))
+    none = [F.lit(None).cast("array<long>").alias("ids"), *[F.lit(None).cast("binary").alias(c) for c in ("sizes", "words", "tokens")]]
+    told = answers.where("data IS NOT NULL").select(F.col("sender").alias("block"), "kind", *none, "data")
+    return own.unionByName(told).groupBy("block").applyInArrow(_score(bits, tokens, -int(kinds), train_texts, priors), _OUT)

@@ -243,37 +243,90 @@ def test_fingerprint_table(spark, docs):
         assert got.fingerprint[i] == order_minhash._hex(order_minhash.fingerprint(text))
 
 
-def test_lm_scores(spark, docs):
-    got = QUERIES["op7_lm_scoring"](spark, SF).toPandas().set_index("doc_id")
+class PlainModel:
+    """The model of order three by dictionaries of words."""
+
+    def __init__(self, texts):
+        self.uni, self.bi, self.tri, self.starts = Counter(), Counter(), Counter(), 0
+        for w in texts:
+            self.uni.update(w)
+            self.bi.update(zip(["<s>", *w], w, strict=False))
+            self.tri.update(zip(["<s>", *w], w, w[1:], strict=False))
+            self.starts += 1
+        self.n, self.v = sum(self.uni.values()), len(self.uni)
+
+    def p1(self, w):
+        return (self.uni[w] + 0.5) / (self.n + 0.5 * (self.v + 1))
+
+    def p2(self, h, w):
+        return (self.bi[h, w] + lm_scoring.PRIOR2 * self.p1(w)) / ((self.starts if h == "<s>" else self.uni[h]) + lm_scoring.PRIOR2)
+
+    def p3(self, g, h, w):
+        return (self.tri[g, h, w] + lm_scoring.PRIOR3 * self.p2(h, w)) / (self.bi[g, h] + lm_scoring.PRIOR3)
+
+    def base(self, text):
+        return sum(math.log10(self.p1(w)) for w in text)
+
+    def score(self, text):
+        return math.log10(self.p2("<s>", text[0])) + sum(math.log10(self.p3(*x)) for x in zip(["<s>", *text], text, text[1:], strict=False))
+
+
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 20_000, "fan": 4}])
+def test_lm_scores(spark, docs, sizes):
+    got = lm_scoring.lm_scores(spark.read.parquet(f"{SF}/documents.parquet"), **sizes).toPandas().set_index("doc_id")
     tokens = {i: [*words(t), None] for i, t in zip(docs.doc_id, docs.text, strict=True)}
-    uni, bi, starts = Counter(), Counter(), 0
-    for i, w in tokens.items():
-        if zlib.crc32(str(i).encode()) % 5 != 1:
-            uni.update(w)
-            bi.update(zip(["<s>", *w], w, strict=False))
-            starts += 1
-    n, v = sum(uni.values()), len(uni)
-    p = lambda w: (uni[w] + 0.5) / (n + 0.5 * (v + 1))
+    model = PlainModel([w for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 5 != 1])
+    assert len(got) == len(docs)
     for i, w in tokens.items():
-        base = sum(math.log10(p(x)) for x in w)
-        score = sum(math.log10((bi[h, x] + lm_scoring.PRIOR * p(x)) / ((starts if h == "<s>" else uni[h]) + lm_scoring.PRIOR)) for h, x in zip(["<s>", *w], w, strict=False))
         row = got.loc[i]
-        assert row.n_tokens == len(w) and row.train_tokens == n and row.n_known == sum(uni[x] > 0 for x in w)
-        assert math.isclose(row.base_score, base, rel_tol=1e-9) and math.isclose(row.score, score, rel_tol=1e-9)
+        assert row.n_tokens == len(w) and row.train_tokens == model.n and row.n_known == sum(model.uni[x] > 0 for x in w)
+        assert row.held_out == (zlib.crc32(str(i).encode()) % 5 == 1)
+        assert math.isclose(row.base_score, model.base(w), rel_tol=1e-9) and math.isclose(row.score, model.score(w), rel_tol=1e-9)
 
 
-def test_automaton_walk_equals_scores():
-    raw = [b"a b a c a b", b"b b a", b"", b"zz a"]
+def lm_block(texts, training):
+    raw = [t.encode() for t in texts]
     buf, off = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw])
     tokens, at = lm_scoring.block_tokens(buf, off)
-    uni, bi = lm_scoring.keys_of(tokens, lm_scoring.previous(tokens, at))
-    train = np.repeat([True, True, True, False], np.diff(at))
-    model = lm_scoring.Automaton(lm_scoring.counted(uni, train), lm_scoring.counted(bi, train), int(train.sum()), 4, 3)
-    _, _, score = model.scores(tokens, at)
-    assert np.allclose(score, [model.walk(tokens[a:b]) for a, b in zip(at, at[1:], strict=False)])
-
-
-@given(st.lists(st.tuples(st.integers(0, 2**48 - 1), st.integers(0, 2**20)), max_size=50, unique_by=lambda x: x[0]))
+    kinds, numbers = np.unique(tokens, return_inverse=True)
+    return lm_scoring.Block(kinds, numbers, np.diff(at), np.array(training))
+
+
+def test_automaton_sums_to_one_and_walks_by_failure_arcs():
+    block = lm_block(["a b a c a b", "b b a", "", "zz a b", "a b a c"], [True, True, True, False, False])
+    counts, kinds = block.counts(60), 4
+    model = lm_scoring.Automaton(block, counts, 60, int(block.flag.sum()), kinds, 3)
+    words_ = np.flatnonzero(counts[0][1] > 0)
+    unknown = np.flatnonzero(counts[0][1] == 0)[:1]
+    end = int(np.searchsorted(block.words, lm_scoring.END))
+    left = [0, *(1 + w for w in range(model.width) if model.count[w] and w != end), *(model.first_pair + np.flatnonzero(model.pairs % model.width != end))]
+    for state in left:  # every state that is ever left is a distribution over the kinds seen and one unknown
+        _, weight = model.step(np.full(len(words_) + 1, state), np.append(words_, unknown))
+        assert math.isclose((10**weight).sum(), 1, rel_tol=1e-12)
+    want = []
+    for a, b in zip(block.off, block.off[1:], strict=False):  # token by token, from the start's state
+        state, total = model.word_state(np.array([model.width - 1])), 0.0
+        for token in block.tokens[a:b]:
+            state, weight = model.step(state, np.array([token]))
+            total += weight[0]
+        want.append(total)
+    assert np.allclose(model.traverse(block), want, rtol=1e-12)
+
+
+def test_long_texts_are_walked_in_stretches(monkeypatch):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice("abcdef") for _ in range(n)) for n in (0, 1, 5, 6, 7, 700)]
+    block = lm_block(texts, [True, False, True, True, False, True])
+    model = lm_scoring.Automaton(block, block.counts(60), 60, int(block.flag.sum()), 7, 4)
+    whole = lm_scoring.STRETCH
+    monkeypatch.setattr(lm_scoring, "STRETCH", 100_000)
+    want = model.traverse(block)
+    for size in (2, 3, whole):
+        monkeypatch.setattr(lm_scoring, "STRETCH", size)
+        assert np.allclose(model.traverse(block), want, rtol=1e-12)
+
+
+@given(st.lists(st.tuples(st.integers(0, 2**64 - 1), st.integers(0, 2**40)), max_size=50, unique_by=lambda x: x[0]))
 def test_packed_arrays_round_trip(pairs):
     pairs.sort()
     keys, counts = np.array([k for k, _ in pairs], np.uint64), np.array([c for _, c in pairs], np.int64)
