@@ -32,8 +32,9 @@ def test_quality_stage_keeps_what_the_classifier_accepts(spark, stages):
 
 
 def test_language_stage(stages):
-    rated = language_id.languages(stages[1])
-    want = {r.doc_id for r in rated.where("lang_pred <> 'und'").collect()}
+    model = language_id.learn(stages[1])
+    rated, _, score = language_id.with_majority(stages[1], model, ["doc_id"])
+    want = {r.doc_id for r in rated.where(f"{score} >= {language_id.learn_cut(stages[1], model)}").collect()}
     assert {r.doc_id for r in stages[2].collect()} == want
 
 
@@ -54,10 +55,38 @@ def test_run(spark, stages):
     assert got == sorted(map(tuple, stages[4].select(*key).collect()))
 
 
-def test_odd_rows(spark):
-    rows = [(None, "a text without an id that is long enough to be judged", "en", "s", 1), (1, None, "en", "s", 0), (2, "same words here in this text", "en", "s", 1), (2, "same words here in this text", "en", "s", 1)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    kept = corpus_pipeline.keep_first_of_near_copies(spark, docs, SF).collect()
-    assert sorted((r.doc_id or -1) for r in kept) == [-1, 1, 2]
-    for _, fn in corpus_pipeline.STAGES:
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, lang_pred string, row long, component_id long, place int, _stat_n_bytes double"
+PROSE = "the meeting about the new bridge over the river was moved to the next morning because the engineers needed more time"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [(None, PROSE, "en", "s"), (None, PROSE, "en", "s"), (1, None, "en", None), (2, PROSE + " indeed", None, "s"), (2, "an other text stands under the same number and shares no run of words with it", "en", "s"), (3, "", None, "t"), (4, " ".join(f"word{i}" for i in range(60_000)), "en", "t"), (5, "1234 !!", None, "t"), (6, "same words here in this text", "en", "s"), (6, "same words here in this text", "en", "s")]
+    return spark.createDataFrame([(*r, 0, 0.5, "zz", 7, 8, 9, 1.5) for r in rows], SCHEMA).cache()
+
+
+def test_near_dedup_tells_rows_apart_without_ids(spark, odd):
+    kept = sorted((r.doc_id or -1, (r.text or "")[:12]) for r in corpus_pipeline.keep_first_of_near_copies(spark, odd, SF).collect())
+    assert kept == [(1, ""), (2, "an other tex"), (2, "the meeting "), (3, ""), (4, "word0 word1 "), (5, "1234 !!"), (6, "same words h")]
+
+
+def test_odd_rows_pass_every_stage(spark, odd):
+    docs = odd
+    rows = {tuple(r) for r in odd.collect()}
+    for name, fn in corpus_pipeline.STAGES[:-1]:
+        out = fn(spark, odd, SF)
+        assert out.columns == odd.columns and {tuple(r) for r in out.collect()} <= rows, name
         assert fn(spark, docs.where("false"), SF).count() == 0
+    packed = corpus_pipeline.pack_bins(spark, odd, SF).toPandas()
+    assert packed.groupby(["doc_id", "cluster", "copy"], dropna=False).ngroups == odd.count() and packed[packed.doc_id == 4].tokens.sum() == 60_001
+    assert corpus_pipeline.pack_bins(spark, odd.where("false"), SF).count() == 0
+
+
+def test_language_stage_rejects_letterless_texts(spark, odd):
+    kept = {(r.doc_id, r.text) for r in corpus_pipeline.keep_language(spark, odd, SF).collect()}
+    assert not {i for i, _ in kept} & {1, 3, 5}
+
+
+def test_quality_stage_scores_empty_texts_alike(spark, odd):
+    ids = [r.doc_id for r in corpus_pipeline.keep_quality(spark, odd, SF).collect()]
+    assert (1 in ids) == (3 in ids)
