@@ -4,15 +4,19 @@ A document's set is its distinct runs of five words (all its words as one where
 `floor(1 - log_b(h))` of the smallest of exponentially distributed hashes `h` of the set, truncated to `0..q+1`; such
 registers merge by maximum and agree between similar sets. Bands of registers are bucket keys. In a bucket every member
 is tried against the smallest; then, in buckets that still hold several components, members of different components are
-tried against each other, in tiles that hand out links only, so no group's pairs become rows. A tried pair's similarity is estimated by maximum likelihood from how many registers are
-greater, equal and less; pairs not far below the threshold are verified on the full sets, read from the whole texts.
+tried against each other, in tiles that hold ids and registers and hand out only the members with a likely partner, so no
+group's pairs become rows. A tried pair's similarity is estimated by maximum likelihood from how many registers are
+greater, equal and less; pairs not far below the threshold are verified on the full sets, read from the whole texts, which
+only documents in such pairs send: in parts of at most `PART` partners, with a document's set made once for each part.
 
 Equal sets are one class from the start, so exact copies cost one row each whatever their number. No bucket is capped.
 At a similarity of exactly 0.75 a pair shares no band with probability about 3e-5 (36 bands of 5).
 
 Edge cases: a null or empty text, or one without words, has `n_shingles` 0 and links with nothing; a row with a null
 doc_id links with nothing and has a null component_id and kept false; rows that repeat a doc_id are one document if
-their texts have equal sets, and else link through that id. Columns besides doc_id and text are not looked at.
+their texts have equal sets, and else link through that id, and repeats of a row are reduced before texts are compared;
+a pair at exactly the threshold links; a text is read whole however long, one task holding the texts of a part at a time;
+an empty table gives an empty result. Columns besides doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -31,7 +35,8 @@ WORDS = 5
 BANDS, ROWS = 36, 5
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.02, 20.0, 2046  # b, a, q of the sketch
-TILE = 512
+TILE = 2048  # members of a bucket that meet as ids and registers
+PART = 512  # partners of a document, and members of a tile with texts, that one task holds together
 MARGIN = 5.0  # standard errors below the threshold at which an estimate still gets verified
 
 _RNG = np.random.default_rng(20210101)
@@ -112,38 +117,94 @@ def _estimates(least: float):
     return run
 
 
-def _tile_links(least: float, percent: int):
-    """Verified links between different components within a pair of tiles of a bucket.
+def _runs(*columns: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches of rows, sorted by these columns, in which all are equal."""
+    if not len(columns[0]):
+        return []
+    edge = np.flatnonzero(np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns]), True])
+    return list(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True))
+
+
+_TILE_KEY = ["bucket", "t1", "t2"]
+
+
+def _tiles(table: pa.Table) -> Iterator[pa.Table]:
+    table = table.sort_by([(c, "ascending") for c in _TILE_KEY]).combine_chunks()
+    for lo, hi in _runs(*(table.column(c).to_numpy() for c in _TILE_KEY)):
+        yield table.slice(lo, hi - lo)
+
+
+class _Pairs:
+    """Pairs of members of a pair of tiles that may be linked, though their components differ.
 
     A pair that shares several buckets is looked at in that of the lowest band only; pairs with a bucket's smallest
-    member have been tried before. Sets are made once for each document of the tiles, when first needed.
+    member have been tried before.
     """
 
+    def __init__(self, table: pa.Table, least: float, percent: int):
+        self.node, self.root, lead, self.band, self.side = (table.column(c).to_numpy() for c in ("rep", "root", "lead", "band", "side"))
+        self.size = table.column("n_shingles").to_numpy().astype(float)
+        self.regs = _matrix(table.column("regs").combine_chunks())
+        self.least, self.percent = least, percent
+        own = self.node != lead
+        self.left, self.right = np.flatnonzero((self.side <= 0) & own), np.flatnonzero((self.side >= 0) & own)
+
+    def of(self, i: int) -> np.ndarray:
+        right, size, regs = self.right, self.size, self.regs
+        ratio = 100 * np.minimum(size[right], size[i]) >= self.percent * np.maximum(size[right], size[i])
+        j = right[(self.root[right] != self.root[i]) & ratio & ((self.side[right] != self.side[i]) | (self.node[right] > self.node[i]))]
+        if len(j):
+            j = j[(regs[j] == regs[i]).reshape(len(j), BANDS, ROWS).all(2).argmax(1) == self.band[i]]
+        if len(j):
+            est = likely_similarity((regs[i] > regs[j]).sum(1), (regs[i] < regs[j]).sum(1), np.full(len(j), size[i]), size[j])
+            j = j[est >= self.least]
+        return j
+
+
+def _likely(least: float, percent: int):
+    """The rows of a group of tile pairs that are in any pair that may be linked."""
+
     def run(table: pa.Table) -> pa.Table:
-        node, root, lead, band, side = (table.column(c).to_numpy() for c in ("rep", "root", "lead", "band", "side"))
-        size = table.column("n_shingles").to_numpy().astype(float)
-        regs = _matrix(table.column("regs").combine_chunks())
-        text = table.column("text").combine_chunks()
-        sets: dict[int, np.ndarray] = {}
-
-        def linked(i: int, j: int) -> bool:
-            for k in (i, j):
+        out = []
+        for tile in _tiles(table):
+            pairs, hit = _Pairs(tile, least, percent), np.zeros(tile.num_rows, bool)
+            for i in pairs.left:
+                j = pairs.of(i)
+                hit[j] = True
+                hit[i] |= len(j) > 0
+            if hit.any():
+                out.append(tile.filter(pa.array(hit)))
+        return (pa.concat_tables(out) if out else table.slice(0, 0)).select([f.split()[0] for f in _MEMBER.split(", ")])
+
+    return run
+
+
+def _tile_links(least: float, percent: int):
+    """Verified links between different components; a document's set is made once for a pair of tiles, when first needed."""
+
+    def run(table: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        for tile in _tiles(table):
+            pairs, text, sets, up = _Pairs(tile, least, percent), tile.column("text").combine_chunks(), {}, {}
+
+            def root(x: int, up: dict = up) -> int:
+                while up.setdefault(x, x) != x:
+                    x = up[x]
+                return x
+
+            def own(k: int, text: pa.Array = text, sets: dict = sets) -> np.ndarray:
                 if k not in sets:
                     sets[k] = _one_set(text[k])
-            return _similar(sets[i], sets[j], percent)
-
-        left, right = np.flatnonzero((side <= 0) & (node != lead)), np.flatnonzero((side >= 0) & (node != lead))
-        found = []
-        for i in left:
-            ratio = 100 * np.minimum(size[right], size[i]) >= percent * np.maximum(size[right], size[i])
-            j = right[(root[right] != root[i]) & ratio & ((side[right] != side[i]) | (node[right] > node[i]))]
-            if len(j):
-                j = j[(regs[j] == regs[i]).reshape(len(j), BANDS, ROWS).all(2).argmax(1) == band[i]]
-            if len(j):
-                est = likely_similarity((regs[i] > regs[j]).sum(1), (regs[i] < regs[j]).sum(1), np.full(len(j), size[i]), size[j])
-                found += [(min(node[i], node[k]), max(node[i], node[k])) for k in j[est >= least] if linked(i, k)]
-        pairs = np.array(found, np.int64).reshape(-1, 2)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+                return sets[k]
+
+            for i in pairs.left:
+                for k in pairs.of(i):
+                    a, b = root(pairs.root[i]), root(pairs.root[k])
+                    if a != b and _similar(own(i), own(k), percent):
+                        up[max(a, b)] = min(a, b)
+                        found.append((min(pairs.node[i], pairs.node[k]), max(pairs.node[i], pairs.node[k])))
+        out = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": out[:, 0], "b": out[:, 1]})
 
     return run
 
@@ -156,22 +217,56 @@ def _similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
 
 
 def _verified(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids_a, ids_b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-            linked = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                linked[i] = _similar(_one_set(batch.column("text_a")[i]), _one_set(batch.column("text_b")[i]), percent)
-            yield pa.RecordBatch.from_arrays([pa.array(ids_a[linked]), pa.array(ids_b[linked])], names=["a", "b"])
+    """Links of a group of parts: each holds a document `a` and its partners, an id with as many rows as it has texts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("a", "ascending"), ("part", "ascending"), ("doc_id", "ascending")]).combine_chunks()
+        a, part, ids, text = *(table.column(c).to_numpy() for c in ("a", "part", "doc_id")), table.column("text")
+        left, right = [], []
+        for lo, hi in _runs(a, part):
+            own = [_one_set(text[k]) for k in range(lo, hi) if ids[k] == a[lo]]
+            for x, y in _runs(ids[lo:hi]):
+                if ids[lo + x] != a[lo] and any(_similar(o, other, percent) for other in (_one_set(text[k]) for k in range(lo + x, lo + y)) for o in own):
+                    left.append(a[lo])
+                    right.append(ids[lo + x])
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
     return run
 
 
+def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar; texts has one row for each text of an id."""
+    shuffles, n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs.count()
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    cut = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
+    ids = cut.select("a", "part", F.col("b").alias("doc_id")).unionAll(cut.select("a", "part").distinct().select("a", "part", F.col("a").alias("doc_id")))
+    group = F.pmod(F.xxhash64("a", "part"), F.lit(max(shuffles, -(-n // PART))))
+    return ids.join(texts, "doc_id").withColumn("group", group).groupBy("group").applyInArrow(_verified(percent), "a long, b long")
+
+
 def _one_set(text: pa.Scalar) -> np.ndarray:
     buf = np.frombuffer(text.as_buffer(), np.uint8) if text.is_valid else np.zeros(0, np.uint8)
     return document_sets(buf, np.array([0, len(buf)]))[0]
 
 
+_MEMBER = "bucket long, rep long, root long, lead long, band int, n_shingles long, regs binary"
+
+
+def _dealt(members: DataFrame, size: int, rows: int) -> DataFrame:
+    """Members of buckets in tiles of about `size`, each row once for each pair of tiles that it is in.
+
+    The first tiles of buckets share groups, as most are small; members has at most `rows` rows.
+    """
+    groups = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // size))
+    tiles = members.groupBy("bucket").agg(F.ceil(F.count("*") / size).cast("int").alias("tiles"))
+    tiled = members.join(tiles, "bucket").withColumn("tile", F.pmod(F.xxhash64("rep", F.lit(size)), F.col("tiles")).cast("int"))
+    tiled = tiled.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    side = F.when(F.col("tile") < F.col("other"), -1).when(F.col("tile") > F.col("other"), 1).otherwise(0)
+    tiled = tiled.select(*[f.split()[0] for f in _MEMBER.split(", ")], F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), side.alias("side"))
+    group = F.when((F.col("t1") == F.col("t2")) & (F.col("t1") == 0), F.pmod(F.xxhash64("bucket"), F.lit(groups))).otherwise(F.xxhash64(*_TILE_KEY))
+    return tiled.withColumn("group", group)
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text)."""
     spark, ws, threshold = docs.sparkSession, Workspace(docs.sparkSession, "minhash"), percent / 100
@@ -181,8 +276,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     whole = sketch.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
     classes = ws.table(whole.groupBy("set_key").agg(F.min_by(F.struct("n_shingles", "regs"), "doc_id").alias("x"), F.min("doc_id").alias("rep")).select("set_key", "rep", "x.n_shingles", "x.regs"), "classes")
     # An id that stands on rows with different sets joins those classes.
-    repeats = whole.groupBy("doc_id").agg(F.min("set_key").alias("k1"), F.max("set_key").alias("k2")).where("k1 <> k2").select("doc_id")
-    same_id = whole.join(repeats, "doc_id").select("doc_id", "set_key").join(classes.select("set_key", "rep"), "set_key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    repeats = ws.table(whole.groupBy("doc_id").agg(F.min("set_key").alias("k1"), F.max("set_key").alias("k2"), F.count("*").alias("n")).where("n > 1"), "repeats")
+    apart = whole.join(repeats.where("k1 <> k2").select("doc_id"), "doc_id").select("doc_id", "set_key").distinct()
+    same_id = apart.join(classes.select("set_key", "rep"), "set_key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
     width = 2 * ROWS
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", i * width + 1, width)) for i in range(BANDS)])
@@ -190,31 +286,33 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     leaders = members.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead <> last")
     shared = ws.table(members.join(leaders.select("bucket", "lead"), "bucket"), "shared")
     sets = classes.select("rep", "n_shingles", "regs")
-    wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
-    cand = ws.table(texts.where("doc_id IS NOT NULL").join(wanted.hint("shuffle_hash"), "doc_id"), "texts")
 
+    def texts_of(ids: DataFrame) -> DataFrame:
+        """One row for each text of these ids; equal rows are reduced before they are dealt out."""
+        found = texts.where("doc_id IS NOT NULL").join(ids.hint("shuffle_hash"), "doc_id")
+        if not repeated:
+            return found
+        return found.groupBy("doc_id", F.xxhash64("text").alias("of")).agg(F.max("text").alias("text")).select("doc_id", "text")
+
+    repeated = not repeats.isEmpty()
     least = least_estimate(threshold)
     first = shared.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
     first = first.join(sets.select(F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("regs").alias("regs_a")), "a")
     first = first.join(sets.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("regs").alias("regs_b")), "b")
     first = ws.table(first.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent).mapInArrow(_estimates(least), "a long, b long"), "first")
-    with_a = first.join(cand.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = with_a.join(cand.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    links = ws.table(both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(percent), "a long, b long"), "links")
+    wanted = first.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    links = ws.table(_verify(first, ws.table(texts_of(wanted), "texts"), percent), "links")
     labels = connected_components(ws, links)
 
     placed = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     placed = ws.table(placed, "placed")
-    still = placed.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("n")).where("r1 <> r2").select("bucket", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    tiled = (
-        placed.join(still, "bucket")
-        .join(sets, "rep")
-        .join(cand.withColumnRenamed("doc_id", "rep"), "rep")
-        .withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-        .select("bucket", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), F.when(F.col("tile") < F.col("other"), -1).when(F.col("tile") > F.col("other"), 1).otherwise(0).alias("side"), "rep", "root", "lead", "band", "n_shingles", "regs", "text")
-    )
-    links2 = ws.table(tiled.groupBy("bucket", "t1", "t2").applyInArrow(_tile_links(least, percent), "a long, b long").distinct(), "links")
+    still = placed.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("bucket")
+    met = _dealt(placed.join(still, "bucket").join(sets, "rep"), TILE, placed.count()).groupBy("group").applyInArrow(_likely(least, percent), _MEMBER)
+    likely = ws.table(met.dropDuplicates(["bucket", "rep"]), "likely")
+    # Texts meet in smaller tiles, and only those with a likely partner.
+    more = ws.table(texts_of(likely.select(F.col("rep").alias("doc_id")).distinct()), "texts").withColumnRenamed("doc_id", "rep")
+    both = _dealt(likely, PART, likely.count()).join(more, "rep")
+    links2 = ws.table(both.groupBy("group").applyInArrow(_tile_links(least, percent), "a long, b long").distinct(), "links")
 
     repeat_links = ws.table(same_id, "repeats")
     roots = connected_components(ws, links.unionByName(links2).unionByName(repeat_links)).withColumnRenamed("node", "rep")
