@@ -43,8 +43,9 @@ from changeloom.llm.common import CHUNK_BYTES, U64, Workspace, mix, text_chunks,
 
 MODULUS, REMAINDER = 5, 1
 PRIOR2, PRIOR3 = 1000.0, 5.0  # by held-out perplexity: see the README
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 5 << 20
 FAN = 4096
+PART_TOKENS = 200_000  # of a block are scored at once
 STRETCH = 256  # tokens of a text that are walked in one go
 END, START = U64(0x0123456789ABCDEF), U64(0xFEDCBA9876543210)
 _MIX2 = (U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F))
@@ -111,11 +112,18 @@ class Block:
         self.h = np.empty_like(self.tokens)
         self.h[1:] = self.tokens[:-1]
         self.h[starts] = len(words)
-        self.g = np.empty_like(self.tokens)
-        self.g[1:] = self.h[:-1]
         self.inner = np.ones(len(self.tokens), bool)  # tokens with two words before them, the start counted
         self.inner[starts] = False
 
+    def parts(self, tokens: int = PART_TOKENS) -> Iterator["Block"]:
+        """Runs of texts of about so many tokens, by the same numbers; a longer text comes alone."""
+        lo = 0
+        while lo < len(self.sizes):
+            hi = max(lo + 1, int(np.searchsorted(self.off, self.off[lo] + tokens, "right")) - 1)
+            at = slice(self.off[lo], self.off[hi])
+            yield Block(self.words, self.tokens[at], self.sizes[lo:hi], self.flag[self.off[lo:hi]])
+            lo = hi
+
     def key2(self, h: np.ndarray, w: np.ndarray, bits: int) -> np.ndarray:
         return mix(self.hash[h] * _MIX2[0] + self.hash[w] * _MIX2[1]) >> U64(64 - bits)
 
@@ -128,21 +136,24 @@ class Block:
         return [
             (self.words, np.bincount(self.tokens[self.flag], minlength=len(self.words))),
             _counted(self.key2(self.h, self.tokens, bits), self.flag),
-            _counted(self.key3(self.g[inner], self.h[inner], self.tokens[inner], bits), self.flag[inner]),
+            _counted(self.key3(self.h[inner - 1], self.h[inner], self.tokens[inner], bits), self.flag[inner]),
         ]
 
 
 def _counted(keys: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys have 62 bits at most: the lowest bit of the sorted numbers tells training texts from others."""
-    both = np.sort((keys << U64(1)) | (~training).astype(U64))
-    if not len(both):
-        return both, _NONE
-    edge = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
-    times = np.diff(np.append(edge, len(both)))
-    value = both[edge]
-    key = value >> U64(1)
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    return key[first], np.add.reduceat(np.where(value & U64(1), 0, times), first)
+    """Keys have 62 bits at most: the lowest bit of the sorted numbers tells training texts from others. Sorts in place."""
+    keys <<= U64(1)
+    keys |= ~training
+    keys.sort()
+    if not len(keys):
+        return keys, _NONE
+    edge = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    times = np.diff(np.append(edge, len(keys)))
+    value = keys[edge]
+    times[(value & U64(1)).astype(bool)] = 0
+    value >>= U64(1)
+    first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
+    return value[first], np.add.reduceat(times, first)
 
 
 def _find(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,9 +164,12 @@ def _find(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.n
     return at, sorted_keys[at] == wanted
 
 
-def _look(table: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> np.ndarray:
-    at, found = _find(table[0], wanted)
-    return np.where(found, table[1][at], 0) if len(table[0]) else np.zeros(len(wanted), np.int64)
+def _look(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """The counts of keys that the table has, looked up in order."""
+    order = np.argsort(keys)
+    out = np.empty(len(keys), np.int64)
+    out[order] = table[1][np.searchsorted(table[0], keys[order])]
+    return out
 
 
 # ------------------------------------------------------------------ the automaton
@@ -174,27 +188,32 @@ class Automaton:
         self.count = np.append(counts[0][1], texts)
         self.p1 = (self.count[:-1] + 0.5) / (tokens + 0.5 * (kinds + 1))
 
-        pairs = np.unique(block.h * width + block.tokens)
-        seen = _look(counts[1], block.key2(pairs // width, pairs % width, bits))
-        self.pairs, self.pair_count = pairs[seen > 0], seen[seen > 0]
+        # Pairs and triples of the block, and which of them stands at each token; the pair before a token is its history.
+        pairs, pair_at = np.unique(block.h * width + block.tokens, return_inverse=True)
+        times = _look(counts[1], block.key2(pairs // width, pairs % width, bits))
+        seen, rank = times > 0, np.cumsum(times > 0) - 1  # of a seen pair among the seen ones
+        self.pairs, self.pair_count = pairs[seen], times[seen]
         h, w = self.pairs // width, self.pairs % width
         prob2 = (self.pair_count + p2 * self.p1[w]) / (self.count[h] + p2)
         arcs2 = (1 + h) * width + w
 
         inner = np.flatnonzero(block.inner)
-        at, known = _find(self.pairs, block.g[inner] * width + block.h[inner])
-        triples = np.unique((self.first_pair + at[known]) * width + block.tokens[inner[known]])
-        own, w3 = triples // width - self.first_pair, triples % width
-        g3, h3 = self.pairs[own] // width, self.pairs[own] % width
-        seen = _look(counts[2], block.key3(g3, h3, w3, bits))
-        own, w3, h3, triples, seen = (x[seen > 0] for x in (own, w3, h3, triples, seen))
-        at, known = _find(self.pairs, h3 * width + w3)
-        below = np.where(known, prob2[at], p2 * self.p1[w3] / (self.count[h3] + p2)) if len(prob2) else np.zeros(0)
-        prob3 = (seen + p3 * below) / (self.pair_count[own] + p3)
+        triples, at = np.unique(pair_at[inner - 1] * width + block.tokens[inner], return_inverse=True)
+        history, w3, below = triples // width, triples % width, np.empty(len(triples), np.int64)
+        below[at] = pair_at[inner]  # the pair that is left without the oldest word
+        del at, inner, pair_at
+        g3, h3 = pairs[history] // width, pairs[history] % width
+        times = _look(counts[2], block.key3(g3, h3, w3, bits))
+        own = (times > 0) & seen[history]
+        times, history, h3, w3, below = times[own], rank[history[own]], h3[own], w3[own], below[own]
+        known = seen[below]  # always, but for a false match of hashes
+        less = np.where(known, prob2[rank[below]], p2 * self.p1[w3] / (self.count[h3] + p2)) if len(prob2) else np.zeros(0)
+        prob3 = (times + p3 * less) / (self.pair_count[history] + p3)
+        triples = (self.first_pair + history) * width + w3
 
         self.arc = np.concatenate([arcs2, triples])  # ascending: states of pairs come after those of words
         self.weight = np.log10(np.concatenate([prob2, prob3]))
-        to2, to3 = self.first_pair + np.arange(len(self.pairs)), np.where(known, self.first_pair + at, self.word_state(w3))
+        to2, to3 = self.first_pair + np.arange(len(self.pairs)), np.where(known, self.first_pair + rank[below], self.word_state(w3))
         self.to = np.concatenate([to2, to3])
         self.root_weight, self.root_to = np.log10(self.p1), self.word_state(np.arange(width - 1))
         self.fail_to = np.concatenate([[0], np.zeros(width, np.int64), self.word_state(w)])
@@ -312,23 +331,34 @@ def _send(slots: int, bits: int):
     return run
 
 
-def _added(table: pa.Table) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(senders, keys, counts, number of the sender of each, distinct keys, their totals)."""
-    parts = [unpack_sorted(x.as_py()) for x in table.column("data")]
-    keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
-    source = np.repeat(np.arange(len(parts), dtype=np.int64), [len(k) for k, _ in parts])
-    order = np.argsort(keys, kind="stable")
-    keys, counts, source = keys[order], counts[order], source[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return table.column("sender").to_pylist(), keys, counts, source, keys[first], np.add.reduceat(counts, first)
-
-
-def _answers(kind: int, slot: int, senders: list, keys: np.ndarray, counts: np.ndarray, source: np.ndarray, total: np.ndarray) -> list[tuple]:
-    """What each sender does not know yet: the keys whose total isn't the count it sent."""
-    changed = np.flatnonzero(total != counts)
-    changed = changed[np.argsort(source[changed], kind="stable")]
-    edge = np.flatnonzero(np.r_[True, source[changed][1:] != source[changed][:-1], True]) if len(changed) else [0]
-    return [(kind, slot, senders[source[changed[a]]], pack_sorted(keys[changed[a:b]], total[changed[a:b]])) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+class _Sum:
+    """Messages of one group: `keys` ascending over all senders, with the total of each."""
+
+    def __init__(self, table: pa.Table):
+        self.senders = table.column("sender").to_pylist()
+        parts = [unpack_sorted(x.as_py()) for x in table.column("data")]
+        keys = np.concatenate([k for k, _ in parts])
+        self.size = [len(k) for k, _ in parts]
+        self.sent = np.concatenate([c for _, c in parts])
+        del parts
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        edge = np.r_[True, keys[1:] != keys[:-1]]
+        first = np.flatnonzero(edge)
+        self.keys, self.total = keys[first], np.add.reduceat(self.sent[order], first)
+        self.which = np.empty(len(keys), np.int64)  # of the distinct keys, for each one sent
+        self.which[order] = np.cumsum(edge) - 1
+
+    def answers(self, kind: int, slot: int) -> list[tuple]:
+        """What each sender does not know yet: places in its message whose total isn't the count it sent, and the totals."""
+        out, lo = [], 0
+        for sender, n in zip(self.senders, self.size, strict=True):
+            total = self.total[self.which[lo : lo + n]]
+            changed = np.flatnonzero(total != self.sent[lo : lo + n])
+            if len(changed):
+                out.append((kind, slot, sender, pack_sorted(changed.astype(U64), total[changed])))
+            lo += n
+        return out
 
 
 def _table(rows: list[tuple]) -> pa.Table:
@@ -337,26 +367,24 @@ def _table(rows: list[tuple]) -> pa.Table:
 
 def _add_up(key: tuple, table: pa.Table) -> pa.Table:
     """Answers, and for words a row without data whose sender is minus the number of kinds in training texts."""
-    kind, slot = key[0].as_py(), key[1].as_py()
-    senders, keys, counts, source, distinct, total = _added(table)
-    out = _answers(kind, slot, senders, keys, counts, source, total[np.searchsorted(distinct, keys)])
-    return _table(out + [(kind, slot, -int((total > 0).sum()), None)] * (kind == 0))
+    kind, slot, found = key[0].as_py(), key[1].as_py(), _Sum(table)
+    return _table(found.answers(kind, slot) + [(kind, slot, -int((found.total > 0).sum()), None)] * (kind == 0))
 
 
 def _merge(key: tuple, table: pa.Table) -> pa.Table:
-    *_, distinct, total = _added(table)
-    return _table([(key[0].as_py(), key[1].as_py(), key[2].as_py(), pack_sorted(distinct, total))])
+    found = _Sum(table)
+    return _table([(key[0].as_py(), key[1].as_py(), key[2].as_py(), pack_sorted(found.keys, found.total))])
 
 
 def _pass_on(key: tuple, sent: pa.Table, told: pa.Table) -> pa.Table:
     """Answers to the senders of one group, from its own sums and what it was told of them."""
     if not sent.num_rows:
         return _table([])
-    senders, keys, counts, source, distinct, total = _added(sent)
+    found = _Sum(sent)
     for x in told.column("data"):
-        k, c = unpack_sorted(x.as_py())
-        total[np.searchsorted(distinct, k)] = c
-    return _table(_answers(key[0].as_py(), key[1].as_py(), senders, keys, counts, source, total[np.searchsorted(distinct, keys)]))
+        place, total = unpack_sorted(x.as_py())
+        found.total[place] = total
+    return _table(found.answers(key[0].as_py(), key[1].as_py()))
 
 
 def resolve(ws: Workspace, messages: DataFrame, senders: int, fan: int = FAN) -> DataFrame:
@@ -376,21 +404,27 @@ def resolve(ws: Workspace, messages: DataFrame, senders: int, fan: int = FAN) ->
 _OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(bits: int, tokens: int, kinds: int, texts: int, priors: tuple[float, float]):
+def _score(slots: int, bits: int, tokens: int, kinds: int, texts: int, priors: tuple[float, float]):
     def run(table: pa.Table) -> pa.Table:
-        kind = table.column("kind").to_numpy()
+        kind, slot = table.column("kind").to_numpy(), table.column("slot").to_numpy()
         row = table.filter(pa.array(kind < 0)).select(["ids", "sizes", "words", "tokens"]).to_pylist()[0]
         block = _read_block(row)
         counts = block.counts(bits)
-        for of, data in zip(kind, table.column("data"), strict=True):
+        at = [_slots(keys, slots, bits if of else 64) for of, (keys, _) in enumerate(counts)]
+        for of, own, data in zip(kind, slot, table.column("data"), strict=True):
             if of >= 0:
-                keys, total = unpack_sorted(data.as_py())
-                counts[of][1][np.searchsorted(counts[of][0], keys)] = total
-        model = Automaton(block, counts, bits, tokens, kinds, texts, priors)
-        starts = block.off[:-1]
-        known = np.add.reduceat((model.count[block.tokens] > 0).astype(np.int64), starts)
-        base = np.add.reduceat(model.root_weight[block.tokens], starts)
-        return pa.table({"doc_id": pa.array(row["ids"], pa.int64()), "held_out": held_out(row["ids"]), "n_tokens": block.sizes, "n_known": known, "train_tokens": np.full(len(starts), tokens, np.int64), "base_score": base, "score": model.traverse(block)})
+                place, total = unpack_sorted(data.as_py())
+                counts[of][1][int(np.searchsorted(at[of], U64(own))) + place.astype(np.int64)] = total
+        del table
+        known, base, score = [], [], []
+        for part in block.parts():
+            model = Automaton(part, counts, bits, tokens, kinds, texts, priors)
+            starts = part.off[:-1]
+            known.append(np.add.reduceat((model.count[part.tokens] > 0).astype(np.int64), starts))
+            base.append(np.add.reduceat(model.root_weight[part.tokens], starts))
+            score.append(model.traverse(part))
+        known, base, score = (np.concatenate(x) for x in (known, base, score))
+        return pa.table({"doc_id": pa.array(row["ids"], pa.int64()), "held_out": held_out(row["ids"]), "n_tokens": block.sizes, "n_known": known, "train_tokens": np.full(len(base), tokens, np.int64), "base_score": base, "score": score})
 
     return run
 
@@ -411,7 +445,7 @@ def lm_scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, fan: int = FAN, p
     gc.collect()
     spark.sparkContext._jvm.System.gc()  # so that the shuffles behind the answers can go before the next ones come
 
-    own = blocks.select("block", F.lit(-1).alias("kind"), "ids", "sizes", "words", "tokens", F.lit(None).cast("binary").alias("data"))
+    own = blocks.select("block", F.lit(-1).alias("kind"), F.lit(0).cast("long").alias("slot"), "ids", "sizes", "words", "tokens", F.lit(None).cast("binary").alias("data"))
     none = [F.lit(None).cast("array<long>").alias("ids"), *[F.lit(None).cast("binary").alias(c) for c in ("sizes", "words", "tokens")]]
-    told = answers.where("data IS NOT NULL").select(F.col("sender").alias("block"), "kind", *none, "data")
-    return own.unionByName(told).groupBy("block").applyInArrow(_score(bits, tokens, -int(kinds), train_texts, priors), _OUT)
+    told = answers.where("data IS NOT NULL").select(F.col("sender").alias("block"), "kind", "slot", *none, "data")
+    return own.unionByName(told).groupBy("block").applyInArrow(_score(slots, bits, tokens, -int(kinds), train_texts, priors), _OUT)

@@ -378,17 +378,99 @@ def test_alignment_is_a_common_subsequence(a, b):
         assert len(got) == len(a)
 
 
-def test_edited_licenses_are_found(spark):
+def plain_words(text):
+    """Runs of letters, digits and non-ASCII bytes, A-Z folded."""
+    return re.findall(rb"[0-9a-z\x80-\xff]+", text.encode().lower())
+
+
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def held(phrase, words_):
+    return any(words_[i : i + len(phrase)] == phrase for i in range(len(words_) - len(phrase) + 1))
+
+
+def plain_scan(text):
+    """The best template of a text that holds one license at most, by plain longest common subsequences over all its words."""
+    words_, best = plain_words(text), None
+    for k, t in enumerate(license_scan.TEMPLATES):
+        own = plain_words(t.text)
+        if all(held(plain_words(p), words_) for p in t.telling):
+            n = longest_common(words_, own)
+            if n >= license_scan.MIN_COVERAGE * len(own) and (best is None or n > best[0]):
+                best = (n, k)
+    return best and license_scan.TEMPLATES[best[1]].license
+
+
+def test_scan_against_a_plain_scan(spark):
+    """Whole licenses, licenses with edited, lost and added words, and sentences near a license, amid foreign words."""
     rng = random.Random(9)
+    filler = [f"filler{i}" for i in range(40)] + "the of and to in a is that under license version general public software".split()
+    noise = lambda n: " ".join(rng.choice(filler) for _ in range(n))
     rows = []
-    for k, (_, text) in enumerate(license_scan.TEMPLATES.items()):
-        w = text.split()
-        if len(w) > 30:
-            for _ in range(len(w) // 25):
-                w[rng.randrange(len(w))] = "edited"
-        rows.append((k, "some words before, " * 5 + " ".join(w) + " and words after" * 5))
-    got = {r.doc_id: r.license for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("occurrence = 0").collect()}
-    assert got == dict(enumerate(license_scan.TEMPLATES))
+    for t in license_scan.TEMPLATES:
+        for edits in (0, 1, 2):
+            w = t.text.split()
+            for _ in range(edits * max(len(w) // 30, edits > 1)):
+                at = rng.randrange(len(w))
+                w[at : at + rng.randrange(2)] = rng.choice([["edited"], [], [w[at], "added"]])
+            rows.append(" ".join([noise(30), *w, noise(20)]))
+    rows += [noise(200) for _ in range(20)]
+    got = defaultdict(list)
+    for r in license_scan.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect():
+        got[r.doc_id].append(r)
+    for i, text in enumerate(rows):
+        want = plain_scan(text)
+        assert [r.license for r in got[i]] == ([want] if want else []), (i, text)
+        for r in got[i]:
+            assert 30 <= r.first_word <= r.last_word < len(plain_words(text)) - 20 or r.score < 1
+
+
+@pytest.mark.parametrize(
+    ("text", "license"),
+    [
+        ("Licensed under CC BY 4.0", "CC-BY-4.0"), ("Licensed under CC BY-SA 4.0", "CC-BY-SA-4.0"), ("Licensed under CC BY-NC 4.0", "CC-BY-NC-4.0"), ("Released under the BSD License", None), ("Released under the GPL License", None),
+        ("Released under the ISC License", "ISC"), ("Licensed under the Apache License, Version 1.0", None), ("Licensed under the Apache License, Version 2.0", "Apache-2.0"), ("This work is licensed under the GNU General Public License, version 2", "GPL-2.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3", "LGPL-3.0"), ("This work is licensed under the GNU Affero General Public License, version 3", "AGPL-3.0"), ("This work is licensed under the GNU General Public License, version 3", "GPL-3.0"),
+    ],
+)
+def test_related_licenses_are_told_apart(text, license):
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.MIN_COVERAGE)
+    raw = np.frombuffer(text.encode(), np.uint8)
+    found = scanner.findings(*license_scan.hashed_words(raw, np.array([0, len(raw)]))).get(0, [])
+    assert [license_scan.TEMPLATES[x.template].license for x in found] == ([license] if license else [])
+
+
+def test_scan_time_grows_with_the_text():
+    import time
+
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.MIN_COVERAGE)
+    mit = next(t.text for t in license_scan.TEMPLATES if t[:2] == ("MIT", "text")).split()
+    rng = random.Random(1)
+    shuffled = [w for _ in range(1500) for w in rng.sample(mit, len(mit))]
+    for text, n in (("Released under the MIT License. " * 60_000, 60_000), (" ".join(mit * 1500) + " ", 1500), (" ".join(shuffled), 0)):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        began = time.perf_counter()
+        found = scanner.findings(*license_scan.hashed_words(raw, np.array([0, len(raw)]))).get(0, [])
+        assert len(found) == n and time.perf_counter() - began < 30
+
+
+@settings(deadline=None, max_examples=40)
+@given(st.lists(st.sampled_from(["mit", "license", "released", "under", "the", "x"]), max_size=60), st.integers(1, 60))
+def test_bounds_of_windows(words_, window):
+    scanner = license_scan.Scanner([license_scan.Template("MIT", "line", "Released under the MIT License")], 0.8)
+    scanner.window[0] = window
+    raw = " ".join(words_).encode()
+    hashes, _ = license_scan.hashed_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    bounds = scanner.bounds(scanner.codes(hashes), 0).tolist()
+    want = [sum((Counter(words_[i : i + window]) & Counter(["mit", "license", "released", "under", "the"])).values()) for i in range(len(words_))]
+    assert bounds == want
 
 
 def plain_viterbi(enc, pieces, text):
