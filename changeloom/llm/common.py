@@ -29,13 +29,16 @@ CHUNK_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`; a temporary one only where that is unset."""
+    """The folder that driver and executors share: `spark.checkpoint.dir`; a temporary one only for a local master without it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jvm_dir.isDefined():
         return jvm_dir.get().rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     own = "file://" + tempfile.mkdtemp(prefix="changeloom-")
     spark.sparkContext.setCheckpointDir(own)
     return own
@@ -44,13 +47,15 @@ def shared_dir(spark: SparkSession) -> str:
 class Workspace:
     """Intermediate tables in the shared folder: they cut lineage and survive lost executors.
 
-    Each table is written by Spark's own committer under a folder with a fresh name, which goes when the driver ends.
+    Each table is written by Spark's own committer under a folder with a fresh name. An operator that returns `result` leaves
+    only that; what is left goes when the driver ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_dir(spark)}/changeloom-{name}-{uuid.uuid4().hex}"
         self.count = 0
+        self.tables: list[str] = []
         atexit.register(self.clear)
 
     def fresh(self, name: str) -> str:
@@ -60,10 +65,19 @@ class Workspace:
     def table(self, df: DataFrame, name: str = "t") -> DataFrame:
         path = self.fresh(name)
         df.write.option("compression", "zstd").parquet(path)
+        self.tables.append(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._work_path = path
         return out
 
+    def result(self, df: DataFrame) -> DataFrame:
+        """The rows of df, written; all other tables of this workspace go."""
+        before = list(self.tables)
+        out = self.table(df, "result")
+        for path in before:
+            self.remove(path)
+        return out
+
     def drop(self, df: DataFrame) -> None:
         self.remove(df._work_path)
 

@@ -385,4 +385,4 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, window: int = WINDO
     final = final.select(F.col("node").alias("digest"), F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
     out = clean.withColumn("digest", F.when(F.col("vec_id").isNotNull(), F.col("digest"))).select("vec_id", "digest").join(final, "digest", "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+    return ws.result(out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept")))

@@ -6,10 +6,13 @@ Features are frequencies of hashed runs of three bytes over the whole text, with
 not a letter as one separator. A linear margin is then a sum of table entries over the text, so scoring is one pass.
 
 The machines learn from a bounded sample: for each language at most `MAX_PER_LANGUAGE` documents, those with the
-smallest hash of their id, of the `MAX_LANGUAGES` commonest languages, and at most `MAX_TRAIN` in all. `FAMILIES` groups languages; one that it lacks is a family of its own.
+smallest hash of their id, and at most `MAX_TRAIN` in all, dealt out by rank, so that up to that number every language
+has one. `FAMILIES` groups languages; one that it lacks is a family of its own. The machines of a family grow with the
+square of its languages.
 
 Edge cases: a null text or one without any letter is `und` with score 0; so is every text if nothing was learned. With
-one learned language all other texts get it. Repeated rows are predicted one by one. Columns besides doc_id, text and
+one learned language all other texts get it. An empty table gives an empty result; a text is read whole however long, a
+long one alone; of equal votes and odds the first language by name wins. Repeated rows are predicted one by one. Columns besides doc_id, text and
 lang are not looked at, and lang only in learning.
 """
 
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from changeloom.llm.common import annotate, binary_array, fresh_name, held_out, text_chunks
 
 MODULUS, REMAINDER = 4, 2
-MAX_PER_LANGUAGE, MAX_TRAIN, MAX_LANGUAGES = 600, 6000, 200
+MAX_PER_LANGUAGE, MAX_TRAIN = 600, 6000
 GRAM_BITS = 12
 PASSAGE, MAX_PASSAGES = 400, 15  # bytes of a passage at least; an odd number of passages, so that one is in the middle
 CUT_QUANTILE, CUT_SAMPLE, CUT_LEAST = 0.001, 4000, 200  # of correct held-out documents; fewer than the least set no cut
@@ -203,11 +206,10 @@ def learn(docs: DataFrame, max_per_language: int = MAX_PER_LANGUAGE, max_train:
     """A model from the text and lang of documents outside the held-out part; the sample is bounded as the module says."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), MODULUS, REMAINDER))
     known = known.distinct()
-    # The commonest languages, at most MAX_LANGUAGES rows: bounded, so it may be broadcast.
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES)
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))  # a row for each language: the optimizer may broadcast it
     # A first cut by hash leaves about four times the rows wanted, so that a language with most rows meets in no task.
     place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30))
-    some = known.join(F.broadcast(counts), "lang").where(place * F.col("n") < (4 * max_per_language) * (1 << 30))
+    some = known.join(counts, "lang").where(place * F.col("n") < (4 * max_per_language) * (1 << 30))
     order = Window.partitionBy("lang").orderBy(place, "doc_id")
     chosen = some.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_per_language)
     chosen = chosen.orderBy("r", "lang", "doc_id").limit(max_train).select("doc_id", "lang")

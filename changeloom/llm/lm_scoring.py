@@ -448,4 +448,4 @@ def lm_scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, fan: int = FAN, p
     own = blocks.select("block", F.lit(-1).alias("kind"), F.lit(0).cast("long").alias("slot"), "ids", "sizes", "words", "tokens", F.lit(None).cast("binary").alias("data"))
     none = [F.lit(None).cast("array<long>").alias("ids"), *[F.lit(None).cast("binary").alias(c) for c in ("sizes", "words", "tokens")]]
     told = answers.where("data IS NOT NULL").select(F.col("sender").alias("block"), "kind", "slot", *none, "data")
-    return own.unionByName(told).groupBy("block").applyInArrow(_score(slots, bits, tokens, -int(kinds), train_texts, priors), _OUT)
+    return ws.result(own.unionByName(told).groupBy("block").applyInArrow(_score(slots, bits, tokens, -int(kinds), train_texts, priors), _OUT))

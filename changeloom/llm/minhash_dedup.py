@@ -319,4 +319,4 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     final = classes.select("set_key", "rep").join(roots, "rep", "left").select("set_key", F.coalesce("root", "rep").alias("component_id"))
     out = sketch.select("doc_id", "n_shingles", "set_key").join(final, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    return ws.result(out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")))

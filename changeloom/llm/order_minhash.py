@@ -10,7 +10,8 @@ Edge cases: a null text counts as empty; the empty text's fingerprint is all zer
 A text shorter than K is one run; one with fewer than LENGTH runs has shorter tuples. Documents follow one another by
 descending doc_id, rows that repeat a doc_id by text; after the last comes the first, so a single row follows itself.
 Rows with a null doc_id have no place in that order: no text follows them, so their edited text just loses its end and
-near_next is 0. Columns besides doc_id and text are not looked at.
+near_next is 0. An empty table gives an empty result; a text is held whole, one at a time, however long; rows that repeat
+one doc_id are all one task's, which they pass through one after the other. Columns besides doc_id and text are not looked at.
 """
 
 from __future__ import annotations

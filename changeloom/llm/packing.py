@@ -12,7 +12,8 @@ blanks aside), or the given cluster column. Packing is by shards of about `SHARD
 or cluster is spread over all shards and no task grows with the input; a shard's bins are its own.
 
 Edge cases: a null or empty text is one token; null sources are one source; repeated rows are packed one by one, told
-apart by `copy`; a null doc_id is packed like any other. Columns besides doc_id, text, source and the cluster column are
+apart by `copy`; ties of size go by doc_id, words and copy; a null doc_id is packed like any other; an empty table gives
+no piece. Columns besides doc_id, text, source and the cluster column are
 not looked at.
 """
 
@@ -32,6 +33,7 @@ from changeloom.llm.common import Workspace, annotate, word_hashes, word_spans
 CAPACITY = 4096
 MAX_PER_SOURCE = 4
 SHARD = 4096
+COPIES = 4096  # of a row are made at once
 PIECES = "doc_id long, copy int, piece int, start long, tokens long, source string, cluster binary, shard long, bin long, place int"
 
 
@@ -105,6 +107,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, max_per_source: int = MAX_PE
     counted = ws.table(sized.groupBy("doc_id", "source", "tokens", "cluster").agg(F.count("*").cast("int").alias("n")), "sized")
     total = counted.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // SHARD))
-    items = counted.select("doc_id", "source", "tokens", "cluster", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"))
+    # Copies are made in two steps: no row holds a list as long as a row's number of copies.
+    runs = counted.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES).cast("int"))).alias("run"))
+    copies = F.sequence(F.col("run") * COPIES, F.least(F.col("n"), (F.col("run") + 1) * COPIES) - 1)
+    items = runs.repartition("doc_id", "cluster", "run").select("doc_id", "source", "tokens", "cluster", F.explode(copies).alias("copy"))
     items = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "copy"), F.lit(shards)))
     return items.groupBy("shard").applyInPandas(_pack(capacity, max_per_source), PIECES)

@@ -3,11 +3,14 @@
 Shallow trees are boosted on text statistics; every path from a root is a rule, a conjunction of `statistic <= cut` and
 `statistic > cut`; a lasso logistic regression over the rules keeps a few of them with weights; those are compiled into
 one Spark column expression over the statistics. The trees are grown on a bounded sample of labelled documents
-(`MAX_TRAIN`, those with the smallest hash of their id); scoring covers the whole text of every document.
+(`MAX_TRAIN`, those with the smallest hash of their id); scoring covers the whole text of every document. The lasso sees
+the `CANDIDATES` rules that tell most by themselves and chooses at most `MAX_RULES` of them; as it shrinks what it keeps,
+the weights of those are fitted once more with a penalty of 1e-5.
 
 Edge cases: a null text counts as empty and gets a score like any other; with no usable label, or labels of one kind
 only, the score is the smoothed share of label 1 for all; a document labelled more than once has the smaller label;
-repeated rows are scored one by one; a null doc_id is hashed as empty text and never learned from. Columns besides
+repeated rows are scored one by one; an empty table gives an empty result; a text is read whole however long; of rules
+that hold for the same rows the shortest counts, then the first by its conditions; a null doc_id is hashed as empty text and never learned from. Columns besides
 doc_id and text are not looked at.
 """
 

@@ -9,7 +9,8 @@ Where no piece holds a marker after another character, a text falls apart at mar
 is segmented once, all parts in step: the trie is walked from every byte at once, and the best path is extended over all
 parts position by position. Scores add up in double precision; ties go to the longer last piece.
 
-Edge cases: a null text has null ids and decodes to null; an empty text has no ids and decodes to itself; a marker
+Edge cases: repeated rows are encoded one by one; an empty table gives an empty result; a text is segmented whole however
+long, a long one alone; a null text has null ids and decodes to null; an empty text has no ids and decodes to itself; a marker
 character that stands in a text is read as a blank and so comes back as one; other columns named in `keep` pass through.
 The trie's size is bounded by the vocabulary, so it is sent to the workers.
 """

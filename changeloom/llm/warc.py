@@ -12,7 +12,8 @@ count, so what a lost or repeated task leaves behind is never read.
 
 Edge cases: a null html is an empty payload; a null url becomes `urn:page:<id>`; blanks and control characters of a url are
 percent-encoded; a page without page_id is a response that nothing refers to; rows that repeat a page_id with the same
-payload have the same type. An empty table gives no archive. Columns besides page_id, url and html are not looked at.
+payload have the same type; a payload is held whole however long, and an archive ends behind a
+long one. An empty table gives no archive. Columns besides page_id, url and html are not looked at.
 """
 
 from __future__ import annotations

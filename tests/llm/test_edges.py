@@ -125,3 +125,61 @@ def test_quality(spark, docs, empty):
     none = quality_rules.quality(docs, labels.where("false")).collect()
     assert {r.score for r in none} == {0.5}
     assert quality_rules.quality(empty, labels).count() == 0
+
+
+def test_results_have_their_own_columns_only(spark, docs):
+    """Columns of the input with the names of results (score, lang_pred, predicted, n_chars) don't come through."""
+    labels = spark.createDataFrame([(1, 1), (4, 0), (9, 1), (10, 0)], "doc_id long, quality int")
+    assert lm_scoring.lm_scores(docs).columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    assert quality_rules.quality(docs, labels).columns == ["doc_id", "held_out", "score", "predicted"]
+    assert language_id.languages(docs).columns == ["doc_id", "held_out", "lang_pred", "score"]
+    assert order_minhash.fingerprints(docs).columns == [f.split()[0] for f in order_minhash.FIELDS.split(", ")]
+    assert minhash_dedup.near_duplicates(docs.withColumn("kept", F.lit(1)).withColumn("rep", F.lit(2))).columns == ["doc_id", "n_shingles", "component_id", "kept"]
+
+
+def test_equal_texts_get_equal_results(spark, docs):
+    """Rows 1 and 5 (twice) hold the same text."""
+    labels = spark.createDataFrame([(1, 1), (4, 0), (9, 1), (10, 0)], "doc_id long, quality int")
+    for frame, column in ((lm_scoring.lm_scores(docs), "score"), (quality_rules.quality(docs, labels), "score"), (language_id.languages(docs), "score"), (order_minhash.fingerprints(docs), "fingerprint")):
+        found = [r[column] for r in frame.where("doc_id IN (1, 5)").collect()]
+        assert len(found) == 3 and len(set(found)) == 1
+
+
+def test_packing_of_many_copies_and_ties(spark):
+    one = documents(spark, [(1, "same few words", "en", "a"), (2, "other few words", "en", "a"), (3, "", "en", "b")])
+    rows = one.crossJoin(spark.range(9000).select()).unionByName(one)  # each row 9001 times
+    got = packing.pack(rows, capacity=64).toPandas()
+    assert len(got) == 3 * 9001 and got.groupby("doc_id")["copy"].nunique().tolist() == [9001] * 3
+    assert got.groupby(["shard", "bin"]).tokens.sum().max() <= 64
+    assert not got.assign(c=got.cluster.map(bytes)).duplicated(["shard", "bin", "c"]).any()
+    again = packing.pack(rows, capacity=64).toPandas()
+    key = ["doc_id", "copy", "shard", "bin", "place"]
+    assert sorted(map(tuple, got[key].to_numpy())) == sorted(map(tuple, again[key].to_numpy()))
+
+
+def test_minhash_of_repeated_rows_and_shared_ids(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(7, text, None, None)] * 50 + [(8, text + " eleven", None, None)] * 50 + [(9, "a b c d e f g", None, None), (9, "q r s t u v w", None, None), (10, "q r s t u v w", None, None), (11, "a b c d e f g", None, None)]
+    got = {(r.doc_id, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(documents(spark, rows)).collect()}
+    assert got == {(7, 7, True), (8, 7, False), (9, 9, True), (10, 9, False), (11, 9, False)}
+
+
+def test_minhash_ties_at_the_threshold(spark):
+    """Sets of 7 that share 6 (6 of 8), and of 6 that share 5 (5 of 7)."""
+    words = [f"w{i}" for i in range(50)]
+    rows = documents(spark, [(1, " ".join(words[:11]), None, None), (2, " ".join([*words[:10], "x"]), None, None), (3, " ".join(words[20:30]), None, None), (4, " ".join([*words[20:29], "x"]), None, None)])
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(rows).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_a_cluster_without_checkpoint_folder_is_refused(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from changeloom.llm import common
+
+    class Fake:
+        conf = SimpleNamespace(get=lambda key, default=None: None)
+        sparkContext = SimpleNamespace(master="spark://host:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isDefined=lambda: False))))
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        common.shared_dir(Fake())
