@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 U64 = np.uint64
 CHUNK_BYTES = 1 << 20
+ROWS_A_TASK, LEAST_TASKS = 50_000, 4  # of small rows, where a table's number of rows is known before it is written
 
 
 # ------------------------------------------------------------------ shared folder
@@ -62,8 +63,11 @@ class Workspace:
         self.count += 1
         return f"{self.path}/{self.count:03d}-{name}"
 
-    def table(self, df: DataFrame, name: str = "t") -> DataFrame:
+    def table(self, df: DataFrame, name: str = "t", rows: int | None = None) -> DataFrame:
+        """The rows of df, written and read again; `rows`, where a bound on their number is known, keeps files from being tiny."""
         path = self.fresh(name)
+        if rows is not None:
+            df = df.coalesce(max(LEAST_TASKS, -(-rows // ROWS_A_TASK)))
         df.write.option("compression", "zstd").parquet(path)
         self.tables.append(path)
         out = self.spark.read.schema(df.schema).parquet(path)
@@ -265,6 +269,7 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = ws.table(e, "edges")
     while True:
+        n = e.count()
         forest = (
             e.select(F.explode(F.array(F.struct(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("x"))
             .groupBy("x.n").agg(F.sum("x.up").alias("up"), F.max("x.down").alias("down"))
@@ -275,10 +280,10 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
         both = e.select(F.col("u").alias("s"), F.col("v").alias("d")).unionAll(e.select(F.col("v").alias("s"), F.col("u").alias("d")))
         least = both.groupBy("s").agg(F.min("d").alias("m")).select("s", F.least("s", "m").alias("m"))
         large = both.join(least, "s").where("d > s").select(F.col("d").alias("u"), F.col("m").alias("v")).distinct()
-        large = ws.table(large, "large")
+        large = ws.table(large, "large", 2 * n)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").where("u <> v").distinct()
-        new = ws.table(small, "edges")
+        new = ws.table(small, "edges", 2 * n)
         ws.drop(large)
         ws.drop(e)
         e = new

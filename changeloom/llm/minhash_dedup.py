@@ -301,7 +301,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     first = first.join(sets.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("regs").alias("regs_b")), "b")
     first = ws.table(first.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent).mapInArrow(_estimates(least), "a long, b long"), "first")
     wanted = first.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    links = ws.table(_verify(first, ws.table(texts_of(wanted), "texts"), percent), "links")
+    links = ws.table(_verify(first, texts_of(wanted), percent), "links")
     labels = connected_components(ws, links)
 
     placed = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
@@ -310,12 +310,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     met = _dealt(placed.join(still, "bucket").join(sets, "rep"), TILE, placed.count()).groupBy("group").applyInArrow(_likely(least, percent), _MEMBER)
     likely = ws.table(met.dropDuplicates(["bucket", "rep"]), "likely")
     # Texts meet in smaller tiles, and only those with a likely partner.
-    more = ws.table(texts_of(likely.select(F.col("rep").alias("doc_id")).distinct()), "texts").withColumnRenamed("doc_id", "rep")
+    more = texts_of(likely.select(F.col("rep").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "rep")
     both = _dealt(likely, PART, likely.count()).join(more, "rep")
     links2 = ws.table(both.groupBy("group").applyInArrow(_tile_links(least, percent), "a long, b long").distinct(), "links")
 
-    repeat_links = ws.table(same_id, "repeats")
-    roots = connected_components(ws, links.unionByName(links2).unionByName(repeat_links)).withColumnRenamed("node", "rep")
+    roots = connected_components(ws, links.unionByName(links2).unionByName(same_id)).withColumnRenamed("node", "rep")
     final = classes.select("set_key", "rep").join(roots, "rep", "left").select("set_key", F.coalesce("root", "rep").alias("component_id"))
     out = sketch.select("doc_id", "n_shingles", "set_key").join(final, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
