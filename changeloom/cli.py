@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import changeloom
-from changeloom.model import INDEX_COLUMNS, LOWEST_TEXT
+from changeloom import plugins
+from changeloom.config import CdcConfig
+from changeloom.model import INDEX_COLUMNS
 from changeloom.operators import ops, progress, validate
-from changeloom.streaming import pipeline, reporters, sink
+from changeloom.streaming import pipeline, reporters
+from changeloom.streaming import replay as streamed
 
 
 def _flag(parser: argparse.ArgumentParser, name: str, required: bool = False, **kwargs) -> None:
@@ -31,18 +34,16 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="changeloom", description=__doc__)
     sub = top.add_subparsers(dest="command", required=True)
 
-    p = sub.add_parser("publish", help="change tables to messages and progress")
-    for name in ("changes", "lsn-map", "out", "checkpoint", "topic"):
-        _flag(p, name, True)
-    _flag(p, "max-lsns", default="0", help="log positions in a batch, 0 for all there are")
-    _flag(p, "starting-lsn", default=LOWEST_TEXT)
+    p = sub.add_parser("publish", help="change tables and snapshots to messages and progress")
+    for name in ("plan", "lsn-map", "out", "checkpoint"):
+        _flag(p, name, True, **({"help": "JSON file with `settings` (of CdcConfig) and `tables`"} if name == "plan" else {}))
     _flag(p, "every", help="go on at this pace, such as '3 seconds'; without it the run ends when all is published")
     _flag(p, "metrics-file", help="keeps the last batch's metrics")
-    p.add_argument("--no-tombstones", action="store_true")
     p.add_argument("--metrics-stdout", action="store_true")
+    p.add_argument("--report-only", action="store_true", help="says where each table would start, and publishes nothing")
 
-    p = sub.add_parser("replay", help="published messages to a table")
-    for name in ("messages", "out", "checkpoint", "key", "columns"):
+    p = sub.add_parser("replay", help="a topic's published messages to a table")
+    for name in ("plan", "topic", "messages", "out", "checkpoint"):
         _flag(p, name, True)
     _flag(p, "skip", help="columns not to keep up")
 
@@ -75,6 +76,14 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _plan(path: str, **more) -> tuple[CdcConfig, list[pipeline.Capture]]:
+    """Settings and tables from a JSON file."""
+    with open(path) as f:
+        found = json.load(f)
+    settings = found.get("settings", {}) | {k: v for k, v in more.items() if v}
+    return CdcConfig(**settings | {"reporters": tuple(settings.get("reporters", ()))}), pipeline.captures_of(found["tables"])
+
+
 def _rows(df: DataFrame, order: Sequence[str] = ()) -> list[dict]:
     """A report's rows: one for each topic, partition or batch."""
     return [r.asDict(recursive=True) for r in (df.orderBy(*order) if order else df).collect()]
@@ -84,19 +93,23 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[list[dict] | str
     changeloom.ship(spark)
     read = spark.read.parquet
     if args.command == "publish":
-        schema = ", ".join(f"`{n}` {k}" for n, k in read(args.changes).dtypes)
-        told = ([reporters.StdoutReporter()] if args.metrics_stdout else []) + ([reporters.FileReporter(args.metrics_file)] if args.metrics_file else [])
-        report = [reporters.batch_reporter(told)] if told else []
-        if args.every:
-            stream = pipeline.change_stream(spark, args.changes, args.lsn_map, schema, checkpoint=args.checkpoint, max_lsns=args.max_lsns, starting_lsn=args.starting_lsn)
-            pipeline.publish(stream, args.lsn_map, args.out, args.checkpoint, F.lit(args.topic), not args.no_tombstones, report, args.every).awaitTermination()
-        else:
-            pipeline.drain(spark, args.changes, args.lsn_map, schema, args.out, args.checkpoint, F.lit(args.topic), tombstones=not args.no_tombstones, reporters=report, max_lsns=args.max_lsns, starting_lsn=args.starting_lsn)
-        return [{"batches": len(sink.committed(spark, args.out))}], 0
+        config, captures = _plan(args.plan, report_only=args.report_only)
+        told = ([reporters.StdoutReporter()] if args.metrics_stdout else []) + ([reporters.FileReporter(args.metrics_file)] if args.metrics_file else []) + [plugins.load(x) for x in config.reporters]
+        report = [reporters.batch_reporter(told, config.metrics_namespace, config)] if told else []
+        if told:
+            spark.streams.addListener(reporters.ProgressListener(told))
+        run_ = pipeline.Pipeline(spark, config, captures, args.lsn_map, args.out, args.checkpoint, report)
+        if config.report_only:
+            return _rows(run_.report()), 0
+        return [{"batches": run_.run(args.every)}], 0
     if args.command == "replay":
+        config, captures = _plan(args.plan)
+        named = {c.spec.topic: c for c in (pipeline.named(c, config) for c in captures)}
+        capture = named[args.topic]
         stream = spark.readStream.schema(read(args.messages).schema).parquet(args.messages)
-        pipeline.replay_stream(stream, args.out, args.checkpoint, _list(args.key), _list(args.columns), pipeline.index_order(), _list(args.skip)).awaitTermination()
-        table = pipeline.current_table(spark, args.out)
+        rows = pipeline.decoded(stream, capture, plugins.load(config.serializer))
+        streamed.replay_stream(rows, args.out, args.checkpoint, capture.spec.key_names, capture.spec.value_names, pipeline.index_order(), _list(args.skip)).awaitTermination()
+        table = streamed.current_table(spark, args.out)
         return [{"rows": 0 if table is None else table.count()}], 0
     if args.command == "validate":
         log = read(args.log)

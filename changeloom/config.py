@@ -39,6 +39,10 @@ class CdcConfig:
     batch_rows: int = 2000
     always_use_longs: bool = False
     metrics_namespace: str = ""
+    serializer: str = "json"  # short name or dotted path of a codec
+    reporters: tuple[str, ...] = ()  # of metrics
+    snapshot_rows: int | None = None  # of a table in one micro-batch; batch_rows, if none are set
+    max_lsns: int = 0  # log positions in one micro-batch, 0 for all there are
     original_topic_header: str = "original_topic"
     message_type_header: str = "message_type"
 
@@ -54,6 +58,33 @@ class CdcConfig:
                 re.compile(pattern)
         if self.capture_strategy == "regex" and not self.capture_regex:
             raise ValueError("the regex strategy needs capture_regex with one group")
-        if self.batch_rows < 1:
-            raise ValueError("batch_rows must be positive")
+        if self.batch_rows < 1 or (self.snapshot_rows is not None and self.snapshot_rows < 1):
+            raise ValueError("batch_rows and snapshot_rows must be positive")
+        if self.max_lsns < 0:
+            raise ValueError("max_lsns must not be negative")
         self.topic_template.format(schema_name="s", table_name="t", capture_instance_name="c")
+
+    def follows(self, qualified_name: str) -> bool:
+        """Whether the filters let a table in; patterns match from the start, whatever the case."""
+        return _allowed(qualified_name, self.table_include, self.table_exclude, True)
+
+    def snapshots(self, qualified_name: str) -> bool:
+        """Whether a table gets a snapshot; without an include pattern none does."""
+        return _allowed(qualified_name, self.snapshot_include, self.snapshot_exclude, False)
+
+    def combined(self, qualified_name: str) -> list[str]:
+        return [topic for topic, pattern in self.unified_topics.items() if re.match(pattern, qualified_name, re.IGNORECASE)]
+
+    def topic_options(self, partitions: int, brokers: int, progress: bool = False, log: bool = False) -> dict[str, str]:
+        """Settings of a topic to be created: compacted by default; the progress topic in one partition of small segments, the snapshot log kept for a year."""
+        out = {"partitions": str(1 if progress or log else self.partition_count or partitions), "replication_factor": str(self.replication_factor or min(brokers, 3))}
+        if log:
+            out |= {"cleanup.policy": "delete", "retention.ms": str(365 * 24 * 3600 * 1000)}
+        else:
+            out |= {"cleanup.policy": "compact"} | ({"segment.bytes": str(16 << 20)} if progress else {})
+        return out | ({} if progress or log else self.extra_topic_config)
+
+
+def _allowed(name: str, include: str | None, exclude: str | None, default: bool) -> bool:
+    allowed = default if include is None else re.match(include, name, re.IGNORECASE) is not None
+    return allowed and not (exclude is not None and re.match(exclude, name, re.IGNORECASE))

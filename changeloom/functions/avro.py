@@ -58,17 +58,25 @@ def read_bytes(raw: bytes, at: int) -> tuple[bytes, int]:
 
 
 def write_decimal(value: Decimal, scale: int) -> bytes:
-    scaled = value.scaleb(scale)
-    if scaled != scaled.to_integral_value():
+    sign, digits, exponent = value.as_tuple()
+    if not isinstance(exponent, int):
+        raise ValueError(f"{value} is not a number")
+    n, rest = int("".join(map(str, digits)) or "0"), 0
+    if exponent + scale >= 0:
+        n *= 10 ** (exponent + scale)
+    else:
+        n, rest = divmod(n, 10 ** -(exponent + scale))
+    if rest:
         raise ValueError(f"{value} has more than {scale} digits after the point")
-    n = int(scaled)
+    n = -n if sign else n
     size = max(1, (n.bit_length() if n >= 0 else (n + 1).bit_length()) // 8 + 1)
     return write_bytes(n.to_bytes(size, "big", signed=True))
 
 
 def read_decimal(raw: bytes, at: int, scale: int) -> tuple[Decimal, int]:
     b, at = read_bytes(raw, at)
-    return Decimal(int.from_bytes(b, "big", signed=True)).scaleb(-scale), at
+    n = int.from_bytes(b, "big", signed=True)
+    return Decimal((int(n < 0), tuple(map(int, str(abs(n)))), -scale)), at
 
 
 # ------------------------------------------------------------------ schemas
@@ -204,37 +212,43 @@ class RecordCodec:
 # ------------------------------------------------------------------ Spark
 
 
-def encode(envelope: DataFrame, table: TableSpec, key_id: int = 1, value_id: int = 2) -> DataFrame:
-    """(topic, key, value, lsn, command_id) of envelope rows; a tombstone's value is null."""
+def encode(envelope: DataFrame, table: TableSpec, key_id: int = 1, value_id: int = 2, keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` of envelope rows (topic, lsn and command_id, if none are named) with key and value; a tombstone's value is null."""
     codec = RecordCodec(table, key_id, value_id)
-    flat = envelope.select(
-        "topic", F.col("idx.lsn").alias("_lsn"), F.col("idx.command_id").alias("_cmd"), X.operation_name(F.col("operation")).alias("__operation"), X.iso_time(F.col("event_time")).alias("__event_time"),
+    kept = ["topic", "lsn", "command_id"] if keep is None else keep
+    source = envelope.withColumns({"lsn": F.col("idx.lsn"), "command_id": F.col("idx.command_id")}) if keep is None else envelope
+    schema = T.StructType([*source.select(*kept).schema.fields, T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType())])
+    flat = source.select(
+        F.struct(*kept).alias("_kept"), X.operation_name(F.col("operation")).alias("__operation"), X.iso_time(F.col("event_time")).alias("__event_time"),
         *[F.when(F.col("operation") != 0, F.col(f"idx.{c}")).alias(n) for n, c in (("__log_lsn", "lsn"), ("__command_id", "command_id"), ("__log_seqval", "seqval"))],
         F.col("updated_fields").alias("__updated_fields"), F.col("value").isNull().alias("_gone"), F.struct("key.*").alias("_key"), *[F.col(f"value.{n}").alias(n) for n in table.value_names],
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
+            rows = batch.drop_columns(["_kept"]).to_pylist()
             keys = [codec.key(r["_key"]) for r in rows]
             values = [None if r["_gone"] else codec.value(r) for r in rows]
-            yield pa.RecordBatch.from_arrays([batch.column("topic"), pa.array(keys, pa.binary()), pa.array(values, pa.binary()), batch.column("_lsn"), batch.column("_cmd")], names=["topic", "key", "value", "lsn", "command_id"])
+            yield pa.RecordBatch.from_arrays([*batch.column("_kept").flatten(), pa.array(keys, pa.binary()), pa.array(values, pa.binary())], names=schema.names)
 
-    return flat.mapInArrow(run, "topic string, key binary, value binary, lsn string, command_id int")
+    return flat.mapInArrow(run, schema)
 
 
-def decode(messages: DataFrame, table: TableSpec) -> DataFrame:
-    """The columns of the value record; rows with a null value keep their key columns only."""
+def decode(messages: DataFrame, table: TableSpec, keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` and those of the value record; rows with a null value have their key columns only."""
     codec = RecordCodec(table)
     meta = [T.StructField("__operation", T.StringType()), T.StructField("__event_time", T.StringType()), T.StructField("__log_lsn", T.StringType()), T.StructField("__command_id", T.IntegerType()), T.StructField("__log_seqval", T.StringType()), T.StructField("__updated_fields", T.ArrayType(T.StringType()))]
-    schema = T.StructType([*meta, *(T.StructField(f.name, f.spark.dataType) for f in table.value_fields)])
+    record = T.StructType([*meta, *(T.StructField(f.name, f.spark.dataType) for f in table.value_fields)])
+    kept = messages.select(*(keep or [])).schema.fields
+    schema = T.StructType([*kept, *record.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow = to_arrow_schema(schema)
+        arrow = to_arrow_schema(record)
         for batch in batches:
             rows = [codec.read_value(v) if v is not None else codec.read_key(k) for k, v in zip(batch.column("key").to_pylist(), batch.column("value").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in schema.names} for r in rows], schema=arrow)
+            found = pa.RecordBatch.from_pylist([{n: r.get(n) for n in record.names} for r in rows], schema=arrow)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), *found.columns], names=schema.names)
 
-    return messages.select("key", "value").mapInArrow(run, schema)
+    return messages.select(*(keep or []), "key", "value").mapInArrow(run, schema)
