@@ -310,42 +310,71 @@ def _verdicts(t: Inputs, log):
     return validate.table_verdicts(cut(log), ["user_id"], "0x", ct, t.live_user, last)
 
 
-def _verdict_sql(log: str) -> str:
-    return f"""WITH c AS (SELECT * FROM {log}), lagged AS (SELECT partition_id, lag(ROW({_INDEX})) OVER (PARTITION BY partition_id ORDER BY msg_offset) AS b, ROW({_INDEX}) AS i FROM c WHERE operation IN (1,2,4)),
-f AS (SELECT 'app_user_state_cdc' AS topic, (SELECT count(*) FROM c) AS total, (SELECT count(*) FROM c WHERE operation IS NULL) AS tombstones, (SELECT count(*) FROM c WHERE operation = 1) AS all_deletes,
-(SELECT count(*) FROM c WHERE operation = 1) AS deletes, (SELECT count(*) FROM c WHERE operation = 2) AS inserts, (SELECT count(*) FROM c WHERE operation = 4) AS updates, (SELECT count(*) FROM c WHERE operation = 0) AS snapshots,
-(SELECT count(*) FILTER (b > i) FROM lagged) AS index_regressions, (SELECT ROW({_INDEX}) FROM c WHERE operation IN (1,2,4) ORDER BY lsn DESC, command_id DESC, seqval DESC, operation DESC LIMIT 1) AS high,
-(SELECT ROW({_INDEX}) FROM ct_user WHERE operation IN (1,2,4) ORDER BY lsn DESC, command_id DESC, seqval DESC, operation DESC LIMIT 1) AS recorded,
-(SELECT count(*) FROM (SELECT user_id FROM c WHERE operation = 0 EXCEPT SELECT user_id FROM c WHERE operation = 1) e) AS keys_left,
-(SELECT count(*) FROM (SELECT user_id FROM c WHERE operation IN (0,1,2,4) AND user_id BETWEEN (SELECT min(user_id) FROM c WHERE operation = 0) AND (SELECT max(user_id) FROM c WHERE operation = 0) EXCEPT SELECT user_id FROM c WHERE operation = 1) e) AS expected_rows,
-(SELECT count(*) FROM live_user WHERE user_id BETWEEN (SELECT min(user_id) FROM c WHERE operation = 0) AND (SELECT max(user_id) FROM c WHERE operation = 0)) AS source_rows)
-SELECT topic, total, tombstones, all_deletes, deletes, inserts, updates, snapshots, index_regressions, expected_rows, source_rows, concat_ws(',', CASE WHEN keys_left > 0 AND source_rows <> expected_rows THEN 'source_rows' END, CASE WHEN high <> recorded THEN 'progress_differs' END, CASE WHEN index_regressions > 0 THEN 'index_order' END,
-CASE WHEN tombstones > 0 AND tombstones < all_deletes THEN 'tombstones' END, CASE WHEN deletes <> (SELECT count(*) FROM ct_user WHERE operation = 1 AND ROW({_INDEX}) <= high) THEN 'deletes' END, CASE WHEN inserts <> (SELECT count(*) FROM ct_user WHERE operation = 2 AND ROW({_INDEX}) <= high) THEN 'inserts' END,
-CASE WHEN updates <> (SELECT count(*) FROM ct_user WHERE operation = 4 AND ROW({_INDEX}) <= high) THEN 'updates' END) AS failures, '' AS warnings FROM f"""
-
-
-@BOOK.query("validate_table_topic", _verdict_sql("topic_full"))
+def _verdict_sql(log: str, recorded: str) -> str:
+    """Every rule and warning, over any number of topics."""
+    rules = {
+        "source_rows": "coalesce(keys_left, 0) > 0 AND coalesce(source_rows, 0) <> coalesce(expected_rows, 0)",
+        "no_progress": "recorded IS NULL",
+        "heartbeat_behind": "recorded IS NOT NULL AND beat AND high > recorded",
+        "progress_differs": "recorded IS NOT NULL AND NOT beat AND high IS DISTINCT FROM recorded",
+        "index_order": "index_regressions > 0",
+        "snapshot_order": "snapshot_regressions > 0 AND keys_left = snapshots",
+        "unknown_operations": "unknown_operations > 0",
+        "tombstones": "tombstones > 0 AND tombstones < all_deletes",
+        **{n: f"{n} <> (SELECT count(*) FROM ct_user WHERE operation = {op} AND ROW({_INDEX}) <= high)" for n, op in (("deletes", 1), ("inserts", 2), ("updates", 4))},
+    }
+    warnings = {"snapshot_repeats": "snapshots > 0 AND snapshot_keys <> snapshots", "snapshot_order": "snapshot_regressions > 0 AND keys_left <> snapshots"}
+    said = lambda found: "concat_ws(',', " + ", ".join(f"CASE WHEN {when} THEN '{name}' END" for name, when in found.items()) + ")"
+    return f"""WITH c AS (SELECT * FROM {log}), r AS (SELECT topic, ROW({_INDEX}) AS recorded, seqval = '0xffffffffffffffffffff' AND operation = 4 AS beat FROM {recorded}),
+ch AS (SELECT topic, ROW({_INDEX}) AS i, lag(ROW({_INDEX})) OVER (PARTITION BY topic, partition_id ORDER BY msg_offset) AS b FROM c WHERE operation IN (1,2,4)),
+sn AS (SELECT topic, user_id, lag(user_id) OVER (PARTITION BY topic, partition_id ORDER BY msg_offset) AS b FROM c WHERE operation = 0),
+base AS (SELECT topic, count(*) AS total, count(*) FILTER (operation IS NULL) AS tombstones, count(*) FILTER (operation = 1) AS all_deletes, count(*) FILTER (operation = 1) AS deletes, count(*) FILTER (operation = 2) AS inserts, count(*) FILTER (operation = 4) AS updates,
+ count(*) FILTER (operation = 0) AS snapshots, count(*) FILTER (operation NOT IN (0,1,2,4)) AS unknown_operations FROM c GROUP BY topic),
+hi AS (SELECT topic, max(i) AS high, count(*) FILTER (b > i) AS index_regressions FROM ch GROUP BY topic),
+sr AS (SELECT topic, count(*) FILTER (b < user_id) AS snapshot_regressions, min(user_id) AS lo, max(user_id) AS up, count(DISTINCT user_id) AS snapshot_keys FROM sn GROUP BY topic),
+k AS (SELECT topic, user_id, bool_or(operation = 0) AS s, bool_or(operation = 1) AS d FROM c WHERE operation IS NOT NULL GROUP BY 1, 2),
+e AS (SELECT k.topic, count(*) FILTER (s AND NOT d) AS keys_left, count(*) FILTER (NOT d AND user_id BETWEEN lo AND up) AS expected_rows FROM k LEFT JOIN sr ON sr.topic = k.topic GROUP BY 1),
+h AS (SELECT topic, count(*) AS source_rows FROM sr JOIN live_user ON user_id BETWEEN lo AND up GROUP BY 1),
+f AS (SELECT * FROM base LEFT JOIN hi USING (topic) LEFT JOIN sr USING (topic) LEFT JOIN e USING (topic) LEFT JOIN h USING (topic) LEFT JOIN r USING (topic))
+SELECT topic, total, tombstones, all_deletes, deletes, inserts, updates, snapshots, coalesce(index_regressions, 0) AS index_regressions, coalesce(expected_rows, 0) AS expected_rows, coalesce(source_rows, 0) AS source_rows, {said(rules)} AS failures, {said(warnings)} AS warnings FROM f"""
+
+
+_RECORDED = "(SELECT 'app_user_state_cdc' AS topic, * FROM (SELECT lsn, command_id, seqval, operation FROM ct_user WHERE operation IN (1,2,4) ORDER BY lsn DESC, command_id DESC, seqval DESC, operation DESC LIMIT 1) l)"
+
+
+@BOOK.query("validation_rules", _verdict_sql("topic_faults", "fault_progress"))
+def validation_rules(t: Inputs):
+    """A topic for each rule that is broken, and a sound one."""
+    return validate.table_verdicts(cut(t.topic_faults), ["user_id"], "0x", cut(t.ct_user), t.live_user, t.fault_progress)
+
+
+@BOOK.query("validate_table_topic", _verdict_sql("topic_full", _RECORDED))
 def validate_table_topic(t: Inputs):
     return _verdicts(t, t.topic_full)
 
 
-@BOOK.query("validation_verdicts", _verdict_sql("topic_user_bad"))
+@BOOK.query("validation_verdicts", _verdict_sql("topic_user_bad", _RECORDED))
 def validation_verdicts(t: Inputs):
     return _verdicts(t, t.topic_user_bad)
 
 
-_UNIFIED = f"(SELECT *, last_value(CASE WHEN operation IS NOT NULL THEN ROW({_INDEX}) END IGNORE NULLS) OVER (PARTITION BY topic ORDER BY msg_offset ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM topic_unified)"
+def _unified_sql(log: str) -> str:
+    near = f"(SELECT *, last_value(CASE WHEN operation IS NOT NULL THEN ROW({_INDEX}) END IGNORE NULLS) OVER (PARTITION BY topic, partition_id ORDER BY msg_offset ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM {log})"
+    counts = f"SELECT topic, count(*) AS total, count(*) FILTER (operation IS NOT NULL AND b > ROW({_INDEX})) AS regressions, count(*) FILTER (operation IS NULL) AS tombstones, count(*) FILTER (operation IS NOT NULL AND original_topic NOT IN ('app_user_state_cdc', 'app_customer_order_cdc')) AS unexpected, count(*) FILTER (operation = 0) AS snapshots FROM {near} x GROUP BY topic"
+    return f"SELECT *, concat_ws(',', CASE WHEN regressions > 0 THEN 'index_order' END, CASE WHEN tombstones > 0 THEN 'tombstones' END, CASE WHEN snapshots > 0 THEN 'snapshots' END) AS failures, CASE WHEN unexpected > 0 THEN 'unexpected_topics' ELSE '' END AS warnings FROM ({counts}) y"
 
 
-@BOOK.query("unified_regressions", f"SELECT topic, count(*) FILTER (operation IS NOT NULL AND b > ROW({_INDEX})) AS regressions FROM {_UNIFIED} x GROUP BY topic")
+@BOOK.query("unified_regressions", f"SELECT topic, regressions FROM ({_unified_sql('topic_unified')}) z")
 def unified_regressions(t: Inputs):
     return validate.unified_verdicts(t.topic_unified, ["app_user_state_cdc", "app_customer_order_cdc"]).select("topic", "regressions")
 
 
-@BOOK.query(
-    "validate_unified_topic",
-    f"SELECT topic, count(*) AS total, count(*) FILTER (operation IS NOT NULL AND b > ROW({_INDEX})) AS regressions, count(*) FILTER (operation IS NULL) AS tombstones, count(*) FILTER (operation IS NOT NULL AND original_topic = 'app_surprise_cdc') AS unexpected, CAST(0 AS BIGINT) AS snapshots, 'index_order,tombstones' AS failures, 'unexpected_topics' AS warnings FROM {_UNIFIED} x GROUP BY topic",
-)
+@BOOK.query("unified_rules", _unified_sql("unified_faults"))
+def unified_rules(t: Inputs):
+    return validate.unified_verdicts(t.unified_faults, ["app_user_state_cdc", "app_customer_order_cdc"])
+
+
+@BOOK.query("validate_unified_topic", _unified_sql("topic_unified"))
 def validate_unified_topic(t: Inputs):
     return validate.unified_verdicts(t.topic_unified, ["app_user_state_cdc", "app_customer_order_cdc"])
 

@@ -126,6 +126,28 @@ SELECT msg_offset, topic_name, progress_kind, lsn, command_id, seqval, operation
 }
 
 VIEWS |= {
+    # One topic for each rule of validation, by what is done to a sound one; offsets are spread so that rows can be moved.
+    "topic_faults": """
+WITH k AS (SELECT * FROM (VALUES ('sound'),('unknown'),('snapshot_order'),('snapshot_repeats'),('no_progress'),('heartbeat_behind'),('progress_differs'),('index_order'),('tombstones'),('deletes'),('inserts'),('updates'),('no_snapshot'),('source_rows')) AS t(fault))
+SELECT fault AS topic, partition_id, CASE WHEN fault='snapshot_order' AND operation=0 THEN -msg_offset*10 WHEN fault='index_order' AND operation=4 AND msg_offset%50=10 THEN msg_offset*10+305 ELSE msg_offset*10 END AS msg_offset,
+  user_id, CASE WHEN fault='unknown' AND operation=4 AND msg_offset%101=5 THEN 9 ELSE operation END AS operation, lsn, command_id, seqval, event_type, value, props
+FROM topic_full CROSS JOIN k WHERE NOT (fault='tombstones' AND operation IS NULL AND user_id%3=0) AND NOT (fault='deletes' AND (operation IS NULL OR operation=1) AND user_id%5=0) AND NOT (fault='inserts' AND operation=2 AND user_id%5=1)
+  AND NOT (fault='updates' AND operation=4 AND msg_offset%97=13) AND NOT (fault='no_snapshot' AND operation=0) AND NOT (fault='source_rows' AND user_id%7=3)
+UNION ALL SELECT 'snapshot_repeats', partition_id, msg_offset*10+5, user_id, operation, lsn, command_id, seqval, event_type, value, props FROM topic_full WHERE operation=0 AND user_id%4=0
+""",
+    "fault_progress": """
+SELECT topic, CASE WHEN topic IN ('heartbeat_behind','progress_differs') THEN '0x00000000000000000002' ELSE lsn END AS lsn, CASE WHEN topic='heartbeat_behind' THEN 2147483647 ELSE command_id END AS command_id,
+  CASE WHEN topic='heartbeat_behind' THEN '0xffffffffffffffffffff' ELSE seqval END AS seqval, CASE WHEN topic='heartbeat_behind' THEN 4 ELSE operation END AS operation
+FROM (SELECT DISTINCT topic FROM topic_faults) t CROSS JOIN (SELECT lsn, command_id, seqval, operation FROM ct_user WHERE operation IN (1,2,4) ORDER BY lsn DESC, command_id DESC, seqval DESC, operation DESC LIMIT 1) l WHERE topic<>'no_progress'
+""",
+    "unified_faults": """
+WITH m AS (SELECT 'app_user_state_cdc' AS original_topic, lsn, command_id, seqval, operation FROM ct_user WHERE operation IN (1,2,4)
+ UNION ALL SELECT 'app_customer_order_cdc', lsn, command_id, seqval, operation FROM ct_order WHERE operation IN (1,2,4)),
+n AS (SELECT m.*, row_number() OVER (ORDER BY lsn, command_id, seqval, operation)-1 AS o FROM m),
+k AS (SELECT * FROM (VALUES ('sound'),('order'),('tombstones'),('unexpected'),('snapshots')) AS t(fault))
+SELECT fault AS topic, 0 AS partition_id, CASE WHEN fault='order' AND o%400=20 THEN o*10+405 ELSE o*10 END AS msg_offset, CASE WHEN fault='unexpected' AND o%1000=7 THEN 'app_surprise_cdc' ELSE original_topic END AS original_topic,
+  lsn, command_id, seqval, CASE WHEN fault='tombstones' AND o%5000=9 THEN NULL WHEN fault='snapshots' AND o%700=3 THEN 0 ELSE operation END AS operation FROM n CROSS JOIN k
+""",
     "gap_cases": """
 SELECT * FROM (VALUES (1,'0x00000000000000000000','0x00000000000000000100',NULL,'raise_exception',true),(2,'0x00000000000000000100','0x00000000000000000100',NULL,'raise_exception',true),
  (3,'0x00000000000000000050','0x00000000000000000100','0x00000000000000000050','raise_exception',false),(4,'0x00000000000000000050','0x00000000000000000100','0x00000000000000000060','raise_exception',true),
