@@ -35,7 +35,7 @@ WORDS = 5
 BANDS, ROWS = 36, 5
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.02, 20.0, 2046  # b, a, q of the sketch
-TILE = 2048  # members of a bucket that meet as ids and registers
+TILE = 512  # members of a bucket that meet as ids and registers
 PART = 512  # partners of a document, and members of a tile with texts, that one task holds together
 MARGIN = 5.0  # standard errors below the threshold at which an estimate still gets verified
 
