@@ -59,6 +59,7 @@ def parser() -> argparse.ArgumentParser:
 
     p = sub.add_parser("progress", help="what a progress log holds, or its anomalies")
     _flag(p, "log", True)
+    _flag(p, "topics", help="only these")
     p.add_argument("--anomalies", action="store_true")
 
     p = sub.add_parser("reset", help="forget a topic's progress; a dry run unless --execute")
@@ -71,6 +72,7 @@ def parser() -> argparse.ArgumentParser:
         p = sub.add_parser(command, help=what)
         for name in ("log", "watermarks"):
             _flag(p, name, True)
+        _flag(p, "topics", help="only these")
         if command == "truncation":
             _flag(p, "bootstrap", help="prints a script for this broker")
     return top
@@ -84,6 +86,10 @@ def _plan(path: str, **more) -> tuple[CdcConfig, list[pipeline.Capture]]:
     return CdcConfig(**settings | {"reporters": tuple(settings.get("reporters", ()))}), pipeline.captures_of(found["tables"])
 
 
+def _of(log: DataFrame, topics: str | None) -> DataFrame:
+    return log.where(F.col("topic_name").isin(*_list(topics))) if topics else log
+
+
 def _rows(df: DataFrame, order: Sequence[str] = ()) -> list[dict]:
     """A report's rows: one for each topic, partition or batch."""
     return [r.asDict(recursive=True) for r in (df.orderBy(*order) if order else df).collect()]
@@ -121,7 +127,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[list[dict] | str
         found = _rows(validate.comparison(read(args.log), read(args.changes), F.expr(args.partition_expression)), ["partition_id"])
         return found, int(any(r["rows"] != r["same"] for r in found))
     if args.command == "progress":
-        found = validate.progress_summary(read(args.log))
+        found = validate.progress_summary(_of(read(args.log), args.topics))
         return _rows(validate.anomalies(found) if args.anomalies else found, ["topic_name"]), 0
     if args.command == "reset":
         log = read(args.log)
@@ -132,7 +138,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[list[dict] | str
             resets = progress.with_resets(log.limit(0), plan, (last if last is not None else -1) + 1)
             resets.write.mode("append").parquet(args.log)
         return _rows(plan, ["topic_name", "progress_kind"]), 0
-    log, marks = read(args.log), read(args.watermarks)
+    log, marks = _of(read(args.log), args.topics), read(args.watermarks)
     if args.command == "history":
         return _rows(ops.history(log, marks), ["topic_name"]), 0
     report = _rows(ops.truncation(log, marks), ["needs_truncation", "topic_name", "partition_id"])

@@ -22,6 +22,7 @@ from changeloom.functions import expr as X
 from changeloom.model import DECIMAL_TYPES, OPERATION_NAMES, FieldSpec, TableSpec, UnsupportedSqlType
 
 EPOCH = dt.date(1970, 1, 1)
+CHECK_EVERY = 50_000  # records of a task between two that are read back
 UNKNOWN_COLUMN = "UNKNOWN_COL"  # fixed value: the first symbol of the updated-columns enum
 
 # ------------------------------------------------------------------ primitives
@@ -172,6 +173,19 @@ class RecordCodec:
             out.append(write_long(0) if v is None else write_long(1) + write(v))
         return b"".join(out)
 
+    def check(self, row: dict, raw: bytes) -> None:
+        """Raises where the bytes don't read back as the row."""
+        again = self.read_value(raw)
+        symbols = [n if n in self.symbols else UNKNOWN_COLUMN for n in row["__updated_fields"] or []]
+        for n in ("__operation", "__event_time", "__log_lsn", "__command_id", "__log_seqval", "__updated_fields"):
+            wanted = symbols if n == "__updated_fields" else row[n]
+            if again[n] != wanted:
+                raise ValueError(f"{self.table.qualified_name}: {n} was written as {again[n]!r}, not {wanted!r}")
+        for n, write, _ in self.values:
+            a, b = again[n], row[n]
+            if (a is None) != (b is None) or (a is not None and write(a) != write(b)):
+                raise ValueError(f"{self.table.qualified_name}: {n} was written as {a!r}, not {b!r}")
+
     def read_key(self, raw: bytes) -> dict:
         at, out = 5, {}
         for name, _, read in self.keys:
@@ -225,10 +239,15 @@ def encode(envelope: DataFrame, table: TableSpec, key_id: int = 1, value_id: int
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
         for batch in batches:
             rows = batch.drop_columns(["_kept"]).to_pylist()
             keys = [codec.key(r["_key"]) for r in rows]
             values = [None if r["_gone"] else codec.value(r) for r in rows]
+            for i in range(-seen % CHECK_EVERY, len(rows), CHECK_EVERY):  # the first record of a task, and every so many after it
+                if values[i] is not None:
+                    codec.check(rows[i], values[i])
+            seen += len(rows)
             yield pa.RecordBatch.from_arrays([*batch.column("_kept").flatten(), pa.array(keys, pa.binary()), pa.array(values, pa.binary())], names=schema.names)
 
     return flat.mapInArrow(run, schema)

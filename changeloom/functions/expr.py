@@ -107,8 +107,9 @@ def key_compare(names: list[str], sign: str, bound: list) -> Column:
 
 
 def casefolded(key: Column) -> Column:
-    """Case-insensitive key comparison. Lower case differs from case folding for a few letters, such as the sharp s."""
-    return F.lower(key)
+    """Keys that differ by case alone become equal, the sharp s and ss too; both small sigmas are one, and so are i with and without a dot."""
+    # The translation between keeps the optimizer from taking lower(upper(x)) for lower(x), and makes both sigmas one.
+    return F.lower(F.translate(F.upper(key), "\u03a3", "\u03c3"))
 
 
 def uuid_sort_key(uuid: Column) -> Column:
@@ -180,6 +181,11 @@ def db_time_to_utc(at: Column, skew_microseconds: int) -> Column:
     return F.timestamp_add("MICROSECOND", F.lit(skew_microseconds), at)
 
 
+def local_to_utc(at: Column, zone: str, buffer_seconds: int = 0) -> Column:
+    """A time of a named zone, as a time without one, in UTC; less a buffer where clocks may differ."""
+    return F.timestamp_add("SECOND", F.lit(-buffer_seconds), F.convert_timezone(F.lit(zone), F.lit("UTC"), at.cast("timestamp_ntz")))
+
+
 def coordinates(topic: str = "topic", partition: str = "partition_id", offset: str = "msg_offset") -> Column:
     return F.concat(F.col(topic), F.lit(":"), F.col(partition).cast("string"), F.lit("@"), F.col(offset).cast("string"))
 
@@ -221,7 +227,57 @@ def matches_start(name: Column, pattern: str) -> Column:
     return name.rlike(f"(?i)^(?:{pattern})")
 
 
-def added_column(ddl: Column) -> Column:
-    """Lower-case name of the column that an ALTER TABLE ... ADD statement adds, null for other statements."""
-    found = F.regexp_extract(ddl, r"(?i)^\W*alter\s+table\s+[\w.\[\]]+\s+add\s+([\w.\[\]]+)\s+.*", 1)
-    return F.nullif(F.lower(F.regexp_replace(found, r"^[\[\]]+|[\[\]]+$", "")), F.lit(""))
+_NAME = r'(?:\[(?:[^\]]|\]\])*\]|"(?:[^"]|"")*"|[\w@#$]+)'
+#: Words that begin an item of ADD which is no column.
+_NO_COLUMN = ("constraint", "primary", "unique", "foreign", "check", "default", "index", "period")
+
+
+def added_columns(ddl: Column) -> Column:
+    """Lower-case names of the columns that an ALTER TABLE ... ADD statement adds; none for other statements.
+
+    The list after ADD is cut at commas outside parentheses and literals; an item begins with a name, which may be in
+    brackets or quotes, or with the keyword of a constraint or an index.
+    """
+    body = F.regexp_extract(ddl, rf"(?is)^\s*alter\s+table\s+{_NAME}(?:\s*\.\s*{_NAME})*\s+(?:with\s+(?:no)?check\s+)?add\s+(?:column\s+)?(.*)$", 1)
+    body = F.regexp_replace(body, "'(?:[^']|'')*'", "0")
+    for _ in range(4):  # parentheses within parentheses
+        body = F.regexp_replace(body, r"\([^()]*\)", " ")
+    items = F.regexp_extract_all(body, F.lit(rf"(?:^|,)\s*({_NAME})"), 1)
+    bare = F.filter(items, lambda x: ~F.lower(x).isin(*_NO_COLUMN))
+    unquoted = F.transform(bare, lambda x: F.when(x.startswith("["), F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit("]]"), F.lit("]"))).when(x.startswith('"'), F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
+    return F.transform(unquoted, F.lower)
+
+
+# ------------------------------------------------------------------ encodings of target and source
+
+#: The characters of code page 1252 that Latin-1 has control characters in place of.
+_CP1252 = {chr(b): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
+def encoded(text: Column, charset: str) -> Column:
+    """Text as the bytes of a column of the target: `cp1252` for plain text types, `utf-16le` for national ones."""
+    if charset.lower() != "cp1252":
+        return F.encode(text, charset.upper())
+    return F.encode(F.translate(text, "".join(_CP1252.values()), "".join(_CP1252)), "ISO-8859-1")
+
+
+def decode_utf16(raw: Column) -> Column:
+    """UTF-16LE text whose last character may have been cut: an odd byte or half a pair at the end is left out."""
+    even = F.octet_length(raw) - F.octet_length(raw) % 2
+    last = F.conv(F.hex(F.substr(raw, even, F.lit(1))), 16, 10).cast("int")
+    whole = F.when((even >= 2) & last.between(0xD8, 0xDB), even - 2).otherwise(even)
+    return F.decode(F.substr(raw, F.lit(1), whole), "UTF-16LE")
+
+
+def datetimeoffset_text(raw: Column) -> Column:
+    """The 20 bytes of a database's time with an offset (little-endian: year, month, day, hour, minute, second, nanoseconds, offset hours, offset minutes) as ISO text."""
+
+    def number(at: int, size: int, signed: bool = False) -> Column:
+        value = F.conv(F.concat(*[F.hex(F.substr(raw, F.lit(at + size - i), F.lit(1))) for i in range(size)]), 16, 10).cast("long")
+        return F.when(value >= 1 << (8 * size - 1), value - (1 << (8 * size))).otherwise(value) if signed else value
+
+    year, month, day, hour, minute, second = (number(2 * i, 2) for i in range(6))
+    nanos, hours, minutes = number(12, 4), number(16, 2, True), number(18, 2, True)
+    fraction = F.when(nanos > 0, F.format_string(".%07d", F.floor(nanos / 100).cast("long"))).otherwise("")
+    sign = F.when((hours < 0) | (minutes < 0), "-").otherwise("+")
+    return F.concat(F.format_string("%04d-%02d-%02dT%02d:%02d:%02d", year, month, day, hour, minute, second), fraction, sign, F.format_string("%02d:%02d", F.abs(hours), F.abs(minutes)))

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from changeloom.functions import expr as X
 from changeloom.model import INDEX_COLUMNS, LOWEST_TEXT, ChangeIndex
+from changeloom.sources.work import numbered
+
+BUCKET = 1 << 16  # rows of an as-of lookup that one task puts in order
 
 
 def published(ct: DataFrame) -> DataFrame:
@@ -80,16 +83,17 @@ def indexes_for_validation(ct: DataFrame, limit: int, min_lsn: str | None = None
 def lsn_at_or_after(ltm: DataFrame, times: DataFrame) -> DataFrame:
     """For each `at` the smallest log position committed at or after it, null where there is none.
 
-    An as-of lookup in one sort: both sides are stacked, and the smallest position still to come is carried back over
-    day-sized buckets, whose own minima bridge from one to the next.
+    An as-of lookup in one sort: both sides are stacked and numbered, a time asked for before the commits of that time, and
+    the smallest position still to come is carried back over buckets of so many rows, whose own minima bridge from one to
+    the next.
     """
     stacked = ltm.select(F.col("tran_end_time").alias("at"), F.col("start_lsn").alias("lsn")).unionByName(times.select("at", F.lit(None).cast("string").alias("lsn")))
-    stacked = stacked.withColumn("day", F.to_date("at"))
-    per_day = stacked.groupBy("day").agg(F.min("lsn").alias("least"))
-    later = per_day.withColumn("after_day", F.min("least").over(Window.orderBy("day").rowsBetween(1, Window.unboundedFollowing)))  # one row for each day
-    within = Window.partitionBy("day").orderBy("at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    found = stacked.withColumn("least_today", F.min("lsn").over(within)).join(later.select("day", "after_day"), "day")
-    return found.where("lsn IS NULL").select("at", F.least("least_today", "after_day").alias("lsn"))
+    stacked = numbered(stacked, [F.col("at"), F.col("lsn").asc_nulls_first()], "pos").withColumn("bucket", F.floor(F.col("pos") / BUCKET))
+    per_bucket = stacked.groupBy("bucket").agg(F.min("lsn").alias("least"))
+    later = per_bucket.withColumn("beyond", F.min("least").over(Window.orderBy("bucket").rowsBetween(1, Window.unboundedFollowing)))  # one row for each bucket
+    within = Window.partitionBy("bucket").orderBy("pos").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    found = stacked.withColumn("inside", F.min("lsn").over(within)).join(later.select("bucket", "beyond"), "bucket")
+    return found.where("lsn IS NULL").select("at", F.least("inside", "beyond").alias("lsn"))
 
 
 def infer_command_id(progress: DataFrame, ct: DataFrame, default: int = 1) -> DataFrame:

@@ -71,7 +71,7 @@ def schema_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def recently_added(ddl: DataFrame, max_age: int = MAX_AGE_ASSUMED_NULL_SECONDS) -> DataFrame:
     """Columns that statements added lately and none added longer ago."""
-    added = ddl.select(X.added_column(F.col("ddl_command")).alias("column_name"), "age_seconds").where("column_name IS NOT NULL")
+    added = ddl.select(F.explode(X.added_columns(F.col("ddl_command"))).alias("column_name"), "age_seconds")
     return added.groupBy("column_name").agg(F.max("age_seconds").alias("oldest")).where(F.col("oldest") <= max_age).select("column_name")
 
 

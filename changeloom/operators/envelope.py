@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.functions import expr as X
-from changeloom.model import DELETE, DELETION_TOMBSTONE, INDEX_COLUMNS, POST_UPDATE, SNAPSHOT, TABLE_CHANGE, TABLE_SNAPSHOT, UNIFIED_CHANGE, TableSpec
+from changeloom.model import DELETE, DELETION_TOMBSTONE, POST_UPDATE, SNAPSHOT, TABLE_CHANGE, TABLE_SNAPSHOT, UNIFIED_CHANGE, TableSpec
+from changeloom.sources.work import numbered
 
 
 def envelope(rows: DataFrame, table: TableSpec, mask: Column | None = None) -> DataFrame:
@@ -57,18 +56,15 @@ def unified_copies(messages: DataFrame, topic_routes: DataFrame) -> DataFrame:
 def placed(messages: DataFrame, key: Column, partitions: int, order: list[Column]) -> DataFrame:
     """Messages with the partition their key hashes to and their offset in it. All messages of a key keep their order.
 
-    A partition of a topic is written in order, so this is as parallel as the topic is.
+    Places come from one range-partitioned sort over all topics and partitions, so none is one task's.
     """
     dealt = messages.withColumn("partition_id", F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int"))
-    return dealt.withColumn("msg_offset", F.row_number().over(Window.partitionBy("topic", "partition_id").orderBy(*order)).cast("long") - 1)
+    ranked = numbered(dealt, [F.col("topic"), F.col("partition_id"), *order], "_pos")
+    firsts = ranked.groupBy("topic", "partition_id").agg(F.min("_pos").alias("_first"))  # one row for each partition
+    return ranked.join(F.broadcast(firsts), ["topic", "partition_id"]).withColumn("msg_offset", (F.col("_pos") - F.col("_first")).cast("long")).drop("_pos", "_first")
 
 
 def partition_count(rows_per_second: Column) -> Column:
     """One partition for each ten rows a second, at least one; more than a hundred is taken for a mistake."""
     n = F.greatest(F.lit(1).cast("long"), F.expr("cast(0 as bigint)") + F.floor(rows_per_second / 10))
     return F.when(n > 100, F.raise_error(F.lit("over 100 partitions: set the number yourself")).cast("long")).otherwise(n)
-
-
-def all_topics(frames: list[DataFrame]) -> DataFrame:
-    """Messages of several topics in log order, each topic's own snapshot rows before nothing else of theirs moves."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).orderBy(*[F.col(f"idx.{c}") for c in INDEX_COLUMNS], "topic")

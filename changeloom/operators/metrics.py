@@ -19,6 +19,8 @@ def _aggregates() -> list:
     counts = [F.count_if(own & (F.col("operation") == op)).alias(n) for op, n in KINDS]
     return [
         F.count("*").alias("produces_count"), *counts, F.count_if(own & F.col("operation").isNull()).alias("produced_deletion_tombstones_count"), F.count_if("unified").alias("messages_copied_to_unified_topics"),
+        F.min(F.when(change, F.col("event_time"))).alias("earliest_change_db_tran_end_time_produced"), F.max(F.when(change, F.col("event_time"))).alias("latest_change_db_tran_end_time_produced"),
+        F.count_if(change).alias("db_change_data_rows_retrieved_count"), F.count_if(own & (F.col("operation") == SNAPSHOT)).alias("db_snapshot_rows_retrieved_count"), F.count_if(own & F.col("operation").isNotNull()).alias("db_all_data_rows_retrieved_count"),
         F.min(F.when(change, F.col("lsn"))).alias("earliest_change_lsn_produced"), F.max(F.when(change, F.col("lsn"))).alias("latest_change_lsn_produced"),
         F.round(F.avg(micros) / 1e6, 3).alias("e2e_latency_avg_sec"), F.round(F.min(micros) / 1e6, 3).alias("e2e_latency_min_sec"), F.round(F.max(micros) / 1e6, 3).alias("e2e_latency_max_sec"),
     ]

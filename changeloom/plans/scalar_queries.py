@@ -96,9 +96,9 @@ def sqlserver_uuid_order(t: Inputs):
     return t.table("events").select(text.alias("id")).select("id", X.uuid_sort_key(F.col("id")).alias("sort_key"))
 
 
-@BOOK.query("ddl_added_columns", "SELECT object_id, age_seconds, CASE age_seconds WHEN 120 THEN 'props' ELSE 'old_col' END AS column_name FROM ddl_history")
+@BOOK.query("ddl_added_columns", "SELECT object_id, age_seconds, column_name FROM ddl_history LEFT JOIN (VALUES (120, 'props'), (90000, 'old_col'), (100000, 'a'), (100000, 'b c'), (100000, 'd')) AS t(age, column_name) ON age = age_seconds")
 def ddl_added_columns(t: Inputs):
-    return t.ddl_history.select("object_id", "age_seconds", X.added_column(F.col("ddl_command")).alias("column_name"))
+    return t.ddl_history.select("object_id", "age_seconds", F.explode_outer(X.added_columns(F.col("ddl_command"))).alias("column_name"))
 
 
 @BOOK.query("message_coordinates", "SELECT topic || ':' || partition_id || '@' || msg_offset AS at FROM topic_user")

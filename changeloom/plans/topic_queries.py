@@ -422,7 +422,7 @@ def _produced(t: Inputs):
 
 
 _PRODUCED = "(SELECT operation, lsn, tran_end_time AS event_time, msg_offset % 7 + 1 AS late FROM topic_user LEFT JOIN ltm ON start_lsn = lsn)"
-_METRICS = "count(*) AS produces_count, count(*) FILTER (operation = 1) AS produced_delete_changes_count, count(*) FILTER (operation = 2) AS produced_insert_changes_count, count(*) FILTER (operation = 4) AS produced_update_changes_count, CAST(0 AS BIGINT) AS produced_snapshot_records_count, count(*) FILTER (operation IS NULL) AS produced_deletion_tombstones_count, CAST(0 AS BIGINT) AS messages_copied_to_unified_topics, min(lsn) AS earliest_change_lsn_produced, max(lsn) AS latest_change_lsn_produced, round(avg(CASE WHEN operation IS NOT NULL THEN CAST(late AS DOUBLE) END), 3) AS e2e_latency_avg_sec, round(CAST(min(CASE WHEN operation IS NOT NULL THEN late END) AS DOUBLE), 3) AS e2e_latency_min_sec, round(CAST(max(CASE WHEN operation IS NOT NULL THEN late END) AS DOUBLE), 3) AS e2e_latency_max_sec"
+_METRICS = "count(*) AS produces_count, count(*) FILTER (operation = 1) AS produced_delete_changes_count, count(*) FILTER (operation = 2) AS produced_insert_changes_count, count(*) FILTER (operation = 4) AS produced_update_changes_count, CAST(0 AS BIGINT) AS produced_snapshot_records_count, count(*) FILTER (operation IS NULL) AS produced_deletion_tombstones_count, CAST(0 AS BIGINT) AS messages_copied_to_unified_topics, min(CASE WHEN operation IS NOT NULL THEN event_time END) AS earliest_change_db_tran_end_time_produced, max(CASE WHEN operation IS NOT NULL THEN event_time END) AS latest_change_db_tran_end_time_produced, count(operation) AS db_change_data_rows_retrieved_count, CAST(0 AS BIGINT) AS db_snapshot_rows_retrieved_count, count(operation) AS db_all_data_rows_retrieved_count, min(lsn) AS earliest_change_lsn_produced, max(lsn) AS latest_change_lsn_produced, round(avg(CASE WHEN operation IS NOT NULL THEN CAST(late AS DOUBLE) END), 3) AS e2e_latency_avg_sec, round(CAST(min(CASE WHEN operation IS NOT NULL THEN late END) AS DOUBLE), 3) AS e2e_latency_min_sec, round(CAST(max(CASE WHEN operation IS NOT NULL THEN late END) AS DOUBLE), 3) AS e2e_latency_max_sec"
 
 
 @BOOK.query("metrics_interval", f"SELECT {_METRICS} FROM {_PRODUCED} x")

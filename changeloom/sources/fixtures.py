@@ -93,7 +93,9 @@ SELECT * FROM (VALUES (11,'user_id',1,'bigint',1,0,1,19,0,0),(11,'event_type',2,
  AS t(object_id, column_name, column_id, column_type, column_ordinal, is_computed, pk_ordinal, num_precision, num_scale, is_nullable)
 """,
     "ddl_history": """
-SELECT * FROM (VALUES (11,'ALTER TABLE app.user_state ADD props nvarchar(max) NULL',120),(11,'alter table [app].[user_state] add [old_col] int NULL',90000))
+SELECT * FROM (VALUES (11,'ALTER TABLE app.user_state ADD props nvarchar(max) NULL',120),(11,'alter table [app].[user_state] add [old_col] int NULL',90000),
+ (12,'ALTER TABLE app.user_state ADD CONSTRAINT pk_x PRIMARY KEY (user_id, value)',50),(12,'ALTER TABLE app.user_state ALTER COLUMN props nvarchar(20)',70),
+ (11,'ALTER TABLE [app].[user_state] WITH NOCHECK ADD a int NULL, [b c] decimal(10, 2) NOT NULL DEFAULT (0), "D" varchar(5) DEFAULT ''x, y'', CONSTRAINT e UNIQUE (a, [b c])',100000))
  AS t(object_id, ddl_command, age_seconds)
 """,
     "topic_full": """
@@ -128,10 +130,10 @@ SELECT msg_offset, topic_name, progress_kind, lsn, command_id, seqval, operation
 VIEWS |= {
     # One topic for each rule of validation, by what is done to a sound one; offsets are spread so that rows can be moved.
     "topic_faults": """
-WITH k AS (SELECT * FROM (VALUES ('sound'),('unknown'),('snapshot_order'),('snapshot_repeats'),('no_progress'),('heartbeat_behind'),('progress_differs'),('index_order'),('tombstones'),('deletes'),('inserts'),('updates'),('no_snapshot'),('source_rows')) AS t(fault))
-SELECT fault AS topic, partition_id, CASE WHEN fault='snapshot_order' AND operation=0 THEN -msg_offset*10 WHEN fault='index_order' AND operation=4 AND msg_offset%50=10 THEN msg_offset*10+305 ELSE msg_offset*10 END AS msg_offset,
+WITH k AS (SELECT * FROM (VALUES ('sound'),('unknown'),('snapshot_order'),('snapshot_repeats'),('no_progress'),('heartbeat_behind'),('progress_differs'),('index_order'),('tombstones'),('deletes'),('inserts'),('updates'),('no_snapshot'),('source_rows'),('snapshot_only')) AS t(fault))
+SELECT fault AS topic, partition_id, CASE WHEN fault IN ('snapshot_order','snapshot_only') AND operation=0 THEN -msg_offset*10 WHEN fault='index_order' AND operation=4 AND msg_offset%50=10 THEN msg_offset*10+305 ELSE msg_offset*10 END AS msg_offset,
   user_id, CASE WHEN fault='unknown' AND operation=4 AND msg_offset%101=5 THEN 9 ELSE operation END AS operation, lsn, command_id, seqval, event_type, value, props
-FROM topic_full CROSS JOIN k WHERE NOT (fault='tombstones' AND operation IS NULL AND user_id%3=0) AND NOT (fault='deletes' AND (operation IS NULL OR operation=1) AND user_id%5=0) AND NOT (fault='inserts' AND operation=2 AND user_id%5=1)
+FROM topic_full CROSS JOIN k WHERE NOT (fault='snapshot_only' AND (operation IS NULL OR operation<>0)) AND NOT (fault='tombstones' AND operation IS NULL AND user_id%3=0) AND NOT (fault='deletes' AND (operation IS NULL OR operation=1) AND user_id%5=0) AND NOT (fault='inserts' AND operation=2 AND user_id%5=1)
   AND NOT (fault='updates' AND operation=4 AND msg_offset%97=13) AND NOT (fault='no_snapshot' AND operation=0) AND NOT (fault='source_rows' AND user_id%7=3)
 UNION ALL SELECT 'snapshot_repeats', partition_id, msg_offset*10+5, user_id, operation, lsn, command_id, seqval, event_type, value, props FROM topic_full WHERE operation=0 AND user_id%4=0
 """,

@@ -54,16 +54,35 @@ def broker_options(bootstrap: str, topics: list[str], starting: str = "earliest"
     return {"kafka.bootstrap.servers": bootstrap, "subscribe": ",".join(topics), "startingOffsets": starting, "endingOffsets": ending, "includeHeaders": "true", **extra}
 
 
-def read_broker(spark: SparkSession, **options: str) -> DataFrame:
-    """Reads a broker where its connector is on the class path; says so where it isn't."""
+def broker_rows(messages: DataFrame) -> DataFrame:
+    """Messages as a broker's writer takes them: its own columns only, headers as an array of names and bytes."""
+    headers = F.transform(F.map_entries("headers"), lambda e: F.struct(e["key"].alias("key"), e["value"].cast("binary").alias("value")))
+    return messages.select("topic", "key", "value", "partition_id", headers.alias("headers")).withColumnRenamed("partition_id", "partition")
+
+
+def write_broker(messages: DataFrame, bootstrap: str, transactional_id: str | None = None, **extra: str) -> None:
+    """Sends messages (topic, partition_id, key, value, headers) in order of their partitions; a full buffer is waited for, not an error."""
+    options = {"kafka.bootstrap.servers": bootstrap, "kafka.enable.idempotence": "true", "kafka.acks": "all", "kafka.linger.ms": "200", "kafka.compression.type": "snappy", "kafka.max.block.ms": "120000", "includeHeaders": "true"}
+    if transactional_id:
+        options["kafka.client.id"] = transactional_id
+    _connected(lambda: broker_rows(messages).write.format("kafka").options(**options | extra).save())
+
+
+def _connected(run):
+    """What `run` gives; says so where the connector isn't on the class path."""
     try:
-        return spark.read.format("kafka").options(**options).load()
+        return run()
     except Exception as e:
         if "Failed to find data source" in str(e) or "DATA_SOURCE_NOT_FOUND" in str(e):
             raise RuntimeError("the broker connector isn't on the class path (spark.jars.packages)") from e
         raise
 
 
+def read_broker(spark: SparkSession, **options: str) -> DataFrame:
+    """Reads a broker where its connector is on the class path; says so where it isn't."""
+    return _connected(lambda: spark.read.format("kafka").options(**options).load())
+
+
 def parse_names(topics: DataFrame, pattern: str) -> DataFrame:
     """Schema and table names from topic names by a pattern with two groups; other topics are left out."""
     matched = topics.where(X.matches_start(F.col("topic"), pattern))

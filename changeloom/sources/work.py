@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`; a temporary folder of this machine only where that is unset."""
+    """`spark.checkpoint.dir`; a temporary folder of this machine only for a local master without it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get().rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     own = "file://" + tempfile.mkdtemp(prefix="changeloom-")
     spark.sparkContext.setCheckpointDir(own)
     return own

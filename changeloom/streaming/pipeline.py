@@ -66,6 +66,8 @@ class Pipeline:
         self.captures = [named(c, config) for c in captures if config.follows(c.spec.qualified_name)]
         self.reporters, self.watch, self.ended = reporters or [], watch, ""
         self.codec = plugins.load(config.serializer)
+        done = sink.committed(spark, out)
+        self._first_batch = done[-1] + 1 if done else 0  # of this run
         self.starts = {r.topic: r for r in self.report().collect()}  # one row for each table
         refused = sorted(t for t, r in self.starts.items() if r.gap == "raise" or r.snapshot == "raise")
         if refused and not config.report_only:
@@ -231,10 +233,9 @@ class Pipeline:
 
     def start(self, every: str | None = None) -> StreamingQuery:
         """One run of the stream: a batch of what is there, or with `every` batch after batch at that pace."""
-        done = sink.committed(self.spark, self.out)
-        self._first_batch = done[-1] + 1 if done else 0
         # A new checkpoint counts its batches from 0: its commits go on from those that are there.
-        self._first_commit = int(sink.once(self.spark, f"{self.checkpoint}/first_commit", str(self._first_batch)))
+        done = sink.committed(self.spark, self.out)
+        self._first_commit = int(sink.once(self.spark, f"{self.checkpoint}/first_commit", str(done[-1] + 1 if done else 0)))
         # A table that is behind the others is read from its own start; the others' own starts keep them from repeating.
         first = min((r.lsn for r in self.starts.values()), default=LOWEST_TEXT)
         options = {"checkpoint": self.checkpoint, "starting_lsn": first, "max_lsns": str(self.config.max_lsns), "pages": str(self._pages_wanted)}

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import socket
 import threading
+import time
 import urllib.request
+from collections.abc import Callable
 from typing import Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from changeloom.config import CdcConfig
+from changeloom.model import UNIFIED_CHANGE
 from changeloom.operators import metrics
 
 
@@ -60,12 +66,23 @@ class TableReporter:
         self.spark.createDataFrame([(json.dumps(values, default=str),)], "report string").write.mode("append").parquet(self.path)
 
 
-def batch_reporter(reporters: list[MetricsReporter], namespace: str = ""):
-    """For `publish`: reports the interval metrics of each committed batch."""
+def batch_reporter(reporters: list[MetricsReporter], namespace: str = "", config: CdcConfig | None = None, clock: Callable[[], float] = time.time):
+    """For a pipeline: reports the interval metrics of each committed batch, from the end of the batch before."""
+    header = (config or CdcConfig()).message_type_header
+    last = [clock()]
 
     def report(batch_id: int, messages: DataFrame) -> None:
-        rows = messages.select("operation", "lsn", "event_time", F.current_timestamp().cast("timestamp_ntz").alias("produced_at"), F.lit(False).alias("unified"))
-        values = {"metrics_namespace": namespace, "batch_id": batch_id} | metrics.interval(rows).first().asDict()
+        unified = F.col("headers")[header] == UNIFIED_CHANGE if "headers" in messages.columns else F.lit(False)
+        rows = messages.select("operation", "lsn", "event_time", F.current_timestamp().cast("timestamp_ntz").alias("produced_at"), F.coalesce(unified, F.lit(False)).alias("unified"))
+        found, now = metrics.interval(rows).first().asDict(), clock()
+        spent, n = now - last[0], found["produces_count"]
+        late = found["latest_change_db_tran_end_time_produced"]
+        values = {
+            "metrics_namespace": namespace, "process_hostname": socket.gethostname(), "interval_start_epoch_sec": last[0], "interval_end_epoch_sec": now, "interval_delta_sec": spent, "batch_id": batch_id, **found,
+            "delivery_acks_count": n, "produces_total_time_sec": spent, "produces_avg_time_per_record_ms": 1000 * spent / n if n else None,
+            "cdc_process_lag_sec": None if late is None else round(now - late.replace(tzinfo=dt.timezone.utc).timestamp(), 3),
+        }
+        last[0] = now
         for r in reporters:
             r.report(values)
 
@@ -91,4 +108,7 @@ class ProgressListener(StreamingQueryListener):
         return
 
     def onQueryTerminated(self, event) -> None:
-        return
+        """An error that ended a query is reported, whoever waits for it."""
+        if event.exception:
+            for r in self.reporters:
+                r.report({"query": str(event.id), "error": event.exception})

@@ -26,11 +26,19 @@ def said(capsys):
     return [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
 
 
-def test_publish_and_replay(spark, home, capsys):
-    assert main(["publish", "--changes", f"{home}/ct_user", "--lsn-map", f"{home}/ltm", "--out", f"{home}/out", "--checkpoint", f"{home}/cp", "--topic", "t", "--max-lsns", "150", "--metrics-stdout"]) == 0
+def test_publish_and_replay(spark, home, capsys, tmp_path):
+    fields = [{"name": n, "sql_type": k, "ordinal": i} for i, (n, k) in enumerate([("user_id", "bigint"), ("event_type", "varchar"), ("value", "float"), ("props", "nvarchar")], 1)]
+    fields[0]["key_ordinal"] = 1
+    table = {"schema_name": "app", "table_name": "user", "capture_instance": "app_user", "changes": f"{home}/ct_user", "fields": fields}
+    plan = tmp_path / "plan.json"
+    plan.write_text(json.dumps({"settings": {"new_follow_start_point": "earliest", "max_lsns": 150, "metrics_namespace": "here"}, "tables": [table]}))
+    publish = ["publish", "--plan", str(plan), "--lsn-map", f"{home}/ltm", "--out", f"{home}/out", "--checkpoint", f"{home}/cp"]
+    assert main([*publish, "--report-only"]) == 0
+    assert [(x["topic"], x["gap"], x["snapshot"]) for x in said(capsys)] == [("app_user_cdc", "no gap", "none")]
+    assert main([*publish, "--metrics-stdout"]) == 0
     lines = said(capsys)
-    assert lines[-1] == {"batches": 2} and sum(x.get("produces_count", 0) for x in lines) > 0
-    assert main(["replay", "--messages", f"{home}/out/messages/batch_id=*", "--out", f"{home}/table", "--checkpoint", f"{home}/cp2", "--key", "user_id", "--columns", "user_id,event_type", "--skip", "EVENT_TYPE"]) == 0
+    assert lines[-1] == {"batches": 2} and sum(x.get("produces_count", 0) for x in lines) > 0 and {x.get("metrics_namespace") for x in lines} >= {"here"}
+    assert main(["replay", "--plan", str(plan), "--topic", "app_user_cdc", "--messages", f"{home}/out/messages/batch_id=*", "--out", f"{home}/table", "--checkpoint", f"{home}/cp2", "--skip", "EVENT_TYPE"]) == 0
     assert said(capsys)[-1] == {"rows": view(spark, SF, "live_user").count()}
 
 
@@ -64,6 +72,8 @@ def test_reports(home, capsys):
     assert '"offset":500' in capsys.readouterr().out
     main(["history", "--log", f"{home}/snapshot_log", "--watermarks", f"{home}/topic_low_watermarks"])
     assert [x["complete"] for x in said(capsys)] == [True, True, False]
+    main(["history", "--log", f"{home}/snapshot_log", "--watermarks", f"{home}/topic_low_watermarks", "--topics", "t2"])
+    assert [x["topic_name"] for x in said(capsys)] == ["t2"]
 
 
 def test_defaults_come_from_the_environment(monkeypatch):

@@ -94,6 +94,43 @@ def test_composite_keys(spark):
         assert got == {(a, b) for a in range(4) for b in range(4) if test((a, b))}
 
 
-@pytest.mark.parametrize(("ddl", "want"), [("ALTER TABLE a.b ADD c int", "c"), ("alter table [a].[b] add [Old_Col] int NULL", "old_col"), ("ALTER TABLE a.b DROP COLUMN c", None), ("create table x (y int)", None)])
-def test_added_column(spark, ddl, want):
-    assert one(spark, X.added_column(F.lit(ddl))) == want
+@pytest.mark.parametrize(
+    ("ddl", "want"),
+    [
+        ("ALTER TABLE a.b ADD c int", ["c"]), ("alter table [a].[b] add [Old_Col] int NULL", ["old_col"]), ("ALTER TABLE a.b DROP COLUMN c", []), ("create table x (y int)", []), ("ALTER TABLE t ADD a int, b int", ["a", "b"]),
+        ("ALTER TABLE t ADD CONSTRAINT pk PRIMARY KEY (a, b)", []), ("ALTER TABLE [my db].dbo.[t x]\n ADD [a b] decimal(10, 2) DEFAULT (round(1, 2)), \"Q\" char(1) DEFAULT ',x', CHECK (a > 0)", ["a b", "q"]), ("ALTER TABLE t ADD [x]]y] int", ["x]y"]),
+        ("ALTER TABLE t WITH CHECK ADD FOREIGN KEY (a) REFERENCES u (b)", []), ("ALTER TABLE t ADD COLUMN c text", ["c"]),
+    ],
+)
+def test_added_columns(spark, ddl, want):
+    assert one(spark, X.added_columns(F.lit(ddl))) == want
+
+
+@pytest.mark.parametrize("text", ["stra\u00dfe STRASSE", "\u039f\u0394\u039f\u03a3 \u03bf\u03b4\u03bf\u03c2", "\ufb01t", "\u0130stanbul", "Key-1"])
+def test_case_folding(spark, text):
+    assert one(spark, X.casefolded(F.lit(text))) == text.casefold()
+
+
+@pytest.mark.parametrize("charset", ["cp1252", "utf-16le"])
+def test_target_encodings(spark, charset):
+    text = "na\u00efve \u20ac 5 \u2013 \u201cquoted\u201d \u017d\u0178"
+    assert bytes(one(spark, X.encoded(F.lit(text), charset))) == text.encode(charset)
+
+
+def test_cut_utf16(spark):
+    raw = "ab\U0001f600".encode("utf-16-le")
+    assert [one(spark, X.decode_utf16(F.lit(raw[:n]).cast("binary"))) for n in (8, 7, 6, 5, 4, 3, 0)] == ["ab\U0001f600", "ab", "ab", "ab", "ab", "a", ""]
+
+
+@pytest.mark.parametrize(("parts", "want"), [((2024, 2, 29, 23, 5, 9, 123456700, -7, -30), "2024-02-29T23:05:09.1234567-07:30"), ((1, 1, 1, 0, 0, 0, 0, 0, 0), "0001-01-01T00:00:00+00:00"), ((2024, 12, 31, 1, 2, 3, 100, 5, 45), "2024-12-31T01:02:03.0000001+05:45")])
+def test_time_with_an_offset(spark, parts, want):
+    import struct
+
+    assert one(spark, X.datetimeoffset_text(F.lit(struct.pack("<6hI2h", *parts)).cast("binary"))) == want
+
+
+def test_zone_to_utc(spark):
+    import datetime as dt
+
+    at = F.lit("2024-07-01 12:00:00").cast("timestamp_ntz")
+    assert one(spark, X.local_to_utc(at, "America/Los_Angeles", 30)) == dt.datetime(2024, 7, 1, 18, 59, 30)
