@@ -1,7 +1,9 @@
 """Wire codec: Avro bodies behind a frame of a zero byte and a four-byte schema id.
 
 The plain DataFrame form of a message is the one to keep; the wire form is made at the boundary, by Arrow batches in
-Python, as the connector that would do it in the JVM may not be there. Decimals are minimal two's complement.
+Python, as the connector that would do it in the JVM may not be there. A batch is done by columns (`encode_batch`,
+`decode_batch`); `RecordCodec` does a record at a time and is what batches are held against. Decimals are minimal two's
+complement.
 """
 
 from __future__ import annotations
@@ -13,11 +15,16 @@ from collections.abc import Callable, Iterator
 from decimal import Decimal
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark.sql.pandas.types import to_arrow_type
+
+from changeloom.functions import columnar as C
 from changeloom.functions import expr as X
 from changeloom.model import DECIMAL_TYPES, OPERATION_NAMES, FieldSpec, TableSpec, UnsupportedSqlType
 
@@ -223,6 +230,91 @@ class RecordCodec:
         return out
 
 
+# ------------------------------------------------------------------ whole batches
+
+_NUMBERS = ("bigint", "int", "smallint", "tinyint", "time")
+
+
+def _piece(field: FieldSpec, column: pa.Array) -> C.Piece:
+    """A column's values as bytes; what a null gives isn't used."""
+    kind = field.sql_type.lower()
+    if kind in _NUMBERS:
+        return C.varints(pc.fill_null(column.cast(pa.int64()), 0).to_numpy(zero_copy_only=False))
+    if kind == "date":
+        return C.varints(pc.fill_null(column.cast(pa.int32()), 0).to_numpy(zero_copy_only=False))
+    if kind == "bit":
+        return C.fixed(pc.fill_null(column, False).to_numpy(zero_copy_only=False).astype(np.uint8))
+    if kind in ("float", "real"):
+        return C.fixed(pc.fill_null(column, 0.0).to_numpy(zero_copy_only=False).astype("<f8" if kind == "float" else "<f4"))
+    if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+        return C.texts(column)
+    write = _field_codec(field)[0]  # decimals and times, a value at a time
+    return C.given([b"" if v is None else write(v) for v in column.to_pylist()])
+
+
+def _read_piece(field: FieldSpec, walk: C.Walk, on: np.ndarray) -> pa.Array:
+    kind, arrow = field.sql_type.lower(), to_arrow_type(field.spark.dataType)
+    nulls = ~on
+    if kind in _NUMBERS:
+        return pa.array(walk.numbers(on), pa.int64(), mask=nulls).cast(arrow)
+    if kind == "date":
+        return pa.array(walk.numbers(on).astype(np.int32), pa.int32(), mask=nulls).cast(arrow)
+    if kind == "bit":
+        return pa.array(walk.fixed(on, "u1") == 1, pa.bool_(), mask=nulls)
+    if kind in ("float", "real"):
+        return pa.array(walk.fixed(on, "<f8" if kind == "float" else "<f4"), arrow, mask=nulls)
+    if pa.types.is_string(arrow) or pa.types.is_binary(arrow):
+        return walk.texts(on, arrow)
+    raw = walk.texts(on, pa.binary()).to_pylist()
+    read = _field_codec(field)[1]
+    return pa.array([None if r is None else read(write_bytes(r), 0)[0] for r in raw], arrow)
+
+
+def encode_batch(codec: RecordCodec, batch: pa.RecordBatch) -> tuple[pa.Array, pa.Array]:
+    """(keys, values) of a batch with _key, _gone, the fields of the record's head and those of the table."""
+    n, table = batch.num_rows, codec.table
+    by_name = {f.name: f for f in table.fields}
+    keys = batch.column("_key")
+    parts = {keys.type.field(i).name: x for i, x in enumerate(keys.flatten())}
+    key = C.joined([C.constant(codec.frames[0], n), *(_piece(by_name[k], parts[k]) for k in table.key_names)])
+
+    gone = batch.column("_gone").to_numpy(zero_copy_only=False)
+    text = lambda name: C.optional(C.texts(batch.column(name)), batch.column(name).is_valid().to_numpy(zero_copy_only=False))
+    command, names = batch.column("__command_id"), batch.column("__updated_fields")
+    operation = pc.fill_null(pc.index_in(batch.column("__operation"), pa.array(codec.operations)), 0).to_numpy(zero_copy_only=False)
+    count = pc.fill_null(pc.list_value_length(names), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    symbols = pc.fill_null(pc.index_in(names.flatten(), pa.array(list(codec.symbols))), 0).to_numpy(zero_copy_only=False)
+    pieces = [
+        C.constant(codec.frames[1], n), C.varints(operation), C.texts(batch.column("__event_time")), text("__log_lsn"),
+        C.optional(C.varints(pc.fill_null(command, 0).to_numpy(zero_copy_only=False)), command.is_valid().to_numpy(zero_copy_only=False)), text("__log_seqval"),
+        C.only(C.varints(count), count > 0), C.grouped(C.varints(symbols), count), C.constant(b"\x00", n),
+    ]
+    for f in table.value_fields:
+        column = batch.column(f.name)
+        pieces.append(C.optional(_piece(f, column), column.is_valid().to_numpy(zero_copy_only=False)))
+    return C.binary(key), C.binary(C.joined(pieces), ~gone)
+
+
+def decode_batch(codec: RecordCodec, keys: pa.Array, values: pa.Array) -> list[pa.Array]:
+    """The columns of the value records; a row without a value has its key's columns."""
+    table, on = codec.table, values.is_valid().to_numpy(zero_copy_only=False)
+    by_name = {f.name: f for f in table.fields}
+    walk = C.Walk(pc.fill_null(values, b""), 5)
+    operation = pa.array(codec.operations).take(pa.array(walk.numbers(on), mask=~on))
+    out = [operation, walk.texts(on, pa.string()), walk.texts(walk.branch(on), pa.string())]
+    told = walk.branch(on)
+    out.append(pa.array(walk.numbers(told).astype(np.int32), pa.int32(), mask=~told))
+    out.append(walk.texts(walk.branch(on), pa.string()))
+    names = walk.lists(on, list(codec.symbols))
+    out.append(pa.ListArray.from_arrays(names.offsets, names.values, mask=pa.array(~on)) if len(names) else names)
+    key_walk, key_on = C.Walk(pc.fill_null(keys, b""), 5), keys.is_valid().to_numpy(zero_copy_only=False) & ~on
+    from_key = {k: _read_piece(by_name[k], key_walk, key_on) for k in table.key_names}
+    for f in table.value_fields:
+        found = _read_piece(f, walk, walk.branch(on))
+        out.append(pc.coalesce(found, from_key[f.name]) if f.name in from_key else found)
+    return out
+
+
 # ------------------------------------------------------------------ Spark
 
 
@@ -241,14 +333,13 @@ def encode(envelope: DataFrame, table: TableSpec, key_id: int = 1, value_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = 0
         for batch in batches:
-            rows = batch.drop_columns(["_kept"]).to_pylist()
-            keys = [codec.key(r["_key"]) for r in rows]
-            values = [None if r["_gone"] else codec.value(r) for r in rows]
-            for i in range(-seen % CHECK_EVERY, len(rows), CHECK_EVERY):  # the first record of a task, and every so many after it
-                if values[i] is not None:
-                    codec.check(rows[i], values[i])
-            seen += len(rows)
-            yield pa.RecordBatch.from_arrays([*batch.column("_kept").flatten(), pa.array(keys, pa.binary()), pa.array(values, pa.binary())], names=schema.names)
+            keys, values = encode_batch(codec, batch)
+            for i in range(-seen % CHECK_EVERY, batch.num_rows, CHECK_EVERY):  # the first record of a task, and every so many after it
+                row = batch.slice(i, 1).drop_columns(["_kept"]).to_pylist()[0]
+                if not row["_gone"]:
+                    codec.check(row, values[i].as_py())
+            seen += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.column("_kept").flatten(), keys, values], names=schema.names)
 
     return flat.mapInArrow(run, schema)
 
@@ -262,12 +353,8 @@ def decode(messages: DataFrame, table: TableSpec, keep: list[str] | None = None)
     schema = T.StructType([*kept, *record.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        arrow = to_arrow_schema(record)
         for batch in batches:
-            rows = [codec.read_value(v) if v is not None else codec.read_key(k) for k, v in zip(batch.column("key").to_pylist(), batch.column("value").to_pylist(), strict=True)]
-            found = pa.RecordBatch.from_pylist([{n: r.get(n) for n in record.names} for r in rows], schema=arrow)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), *found.columns], names=schema.names)
+            found = decode_batch(codec, batch.column("key"), batch.column("value"))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), *found], names=schema.names)
 
     return messages.select(*(keep or []), "key", "value").mapInArrow(run, schema)

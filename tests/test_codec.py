@@ -120,6 +120,35 @@ def test_round_trip(i, s, raw, f, day):
     assert codec.read_key(codec.key(row)) == {"id": i}
 
 
+def test_batches_are_what_single_records_are():
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    some = lambda f: None if rng.random() < 0.25 else f()
+    long = lambda: rng.choice([0, -1, 63, 64, -65, 8191, 8192, 2**63 - 1, -(2**63), rng.randrange(10**6)])
+    rows = []
+    for _ in range(500):
+        head = {"__operation": rng.choice(list(avro.OPERATION_NAMES.values())), "__event_time": "2024-01-01T00:00:07" + rng.choice(["", ".000123"]), "__log_lsn": some(lambda: "0x01"), "__command_id": some(lambda: rng.randrange(-5, 10**6)), "__log_seqval": some(lambda: "0x02")}
+        fields = {"__updated_fields": some(lambda: rng.sample([f.name for f in TABLE.fields] + ["gone"], rng.randrange(8)))}
+        body = {"id": long(), "d": some(lambda: Decimal(rng.randrange(-(10**8), 10**8)).scaleb(-2)), "b": some(lambda: rng.random() < 0.5), "f": some(rng.random), "r": some(lambda: 0.5), "day": some(lambda: dt.date(1970, 1, 1) + dt.timedelta(days=rng.randrange(-9999, 9999))), "t": some(lambda: rng.randrange(86_400_000)), "at": some(lambda: dt.datetime(2024, 1, 1, 0, 0, 7, rng.choice([0, 179500]))), "s": some(lambda: "\u00e4" * rng.randrange(200)), "raw": some(lambda: rng.randbytes(rng.randrange(5)))}
+        rows.append(head | fields | body | {"_key": {"id": body["id"]}, "_gone": rng.random() < 0.1})
+    types = {"d": pa.decimal128(10, 2), "r": pa.float32(), "t": pa.int32(), "at": pa.timestamp("us"), "raw": pa.binary(), "__command_id": pa.int32(), "s": pa.string(), "day": pa.date32(), "b": pa.bool_(), "f": pa.float64()}
+    codec = avro.RecordCodec(TABLE)
+    for part in (rows, rows[:1], rows[7:9], []):
+        names = list(rows[0])
+        arrays = [pa.array([r[n] for r in part], types.get(n) or pa.array([r[n] for r in rows]).type) for n in names]
+        batch = pa.RecordBatch.from_arrays(arrays, names=names)
+        keys, values = avro.encode_batch(codec, batch)
+        assert keys.to_pylist() == [codec.key(r["_key"]) for r in part]
+        assert values.to_pylist() == [None if r["_gone"] else codec.value(r) for r in part]
+        again = [x.to_pylist() for x in avro.decode_batch(codec, keys, values)]
+        want = [codec.read_value(codec.value(r)) if not r["_gone"] else {"id": r["id"]} for r in part]
+        order = [*META, *(f.name for f in TABLE.fields)]
+        assert again == [[w.get(n) for w in want] for n in order]
+
+
 def test_frame_and_unknown_column():
     codec = avro.RecordCodec(TABLE, value_id=258)
     raw = codec.value(META | {"__updated_fields": ["gone"]} | {f.name: None for f in TABLE.fields})
