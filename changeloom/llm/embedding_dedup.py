@@ -51,6 +51,7 @@ MOST = 32  # passes are given up where they would compare every pair so many tim
 COUNTED = 0.8  # of the passes, that part must count for a vector
 CROWD_TILE, MAX_TILES = 8192, 2048
 MAX_PIVOTS = 1024  # crowded vectors are dealt to the nearest of so many at most, so that tiles are compact
+_SIGN = -(1 << 63)
 MEAN_SAMPLE = 4096  # vectors whose mean centres the hashes; only the balance of the signs depends on it
 SMALL_GROUPS = 64  # components of one tile share this many groups for each shuffle partition
 
@@ -335,8 +336,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, window: int = WINDO
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>" if kind == "<f4" else "array<double>").alias("embedding"))
     clean = ws.table(rows.mapInArrow(_clean(kind), "vec_id long, vec binary, digest binary"), "clean")
     usable = clean.where("vec_id IS NOT NULL AND digest IS NOT NULL")
-    # A class is known by its vectors' digest, so an id on rows with different vectors does no harm.
-    classes = ws.table(usable.groupBy(F.col("digest").alias("node")).agg(F.min_by("vec", "vec_id").alias("vec"), F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "classes")
+    # A class is known by its smallest id, in bytes that sort as ids do, and its vectors' digest: an id on rows with different
+    # vectors does no harm, and the least node of a component holds its smallest id.
+    known = usable.groupBy("digest").agg(F.min_by("vec", "vec_id").alias("vec"), F.min("vec_id").alias("rep"), F.count("*").alias("weight"))
+    flipped = F.lpad(F.hex(F.col("rep").bitwiseXOR(F.lit(_SIGN))), 16, "0")
+    classes = ws.table(known.select(F.concat(F.unhex(flipped), F.col("digest")).alias("node"), "digest", "vec", "rep", "weight"), "classes")
     n, widest = classes.agg(F.count("*"), F.max(F.octet_length("vec"))).first()
     block = max(window, min(BLOCK, BLOCK_BYTES // (widest or 1)))
 
@@ -379,10 +383,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, window: int = WINDO
     )
     counted = tiled.groupBy("small", "large", "t1", "t2").applyInArrow(_count_links(kind, threshold), "node binary, n long").groupBy("node").agg(F.sum("n").alias("n"))
 
-    smallest = classes.join(roots, "node").groupBy("root").agg(F.min("rep").alias("component_id"))
-    grouped = roots.join(smallest, "root").select("node", "component_id").join(counted, "node")
-    final = classes.select("node", "rep", "weight").join(grouped, "node", "left")
-    final = final.select(F.col("node").alias("digest"), F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    smallest = F.conv(F.hex(F.substring("root", 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(_SIGN))
+    grouped = roots.select("node", smallest.alias("component_id")).join(counted, "node")
+    final = classes.select("node", "digest", "rep", "weight").join(grouped, "node", "left")
+    final = final.select("digest", F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
     out = clean.withColumn("digest", F.when(F.col("vec_id").isNotNull(), F.col("digest"))).select("vec_id", "digest").join(final, "digest", "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
     return ws.result(out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept")))

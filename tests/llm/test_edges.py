@@ -55,6 +55,9 @@ def test_embedding(spark):
     assert all((i, 0, i, True) in by for i in (3, 4, 5, 6, 7, 8, 9))
     assert (-1, 0, None, False) in sorted(by, key=str)
     assert embedding_dedup.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    signed = [(-(2**63), [1.0, 0.0]), (-5, [1.0, 0.01]), (3, [1.0, 0.02]), (2**63 - 1, [0.0, 1.0]), (0, [0.01, 1.0])]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(signed, "vec_id long, embedding array<double>")).collect()
+    assert {r.vec_id: r.component_id for r in got} == {-(2**63): -(2**63), -5: -(2**63), 3: -(2**63), 2**63 - 1: 0, 0: 0}
 
 
 def test_minhash(docs, empty):
