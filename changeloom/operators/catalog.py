@@ -53,11 +53,21 @@ def leading_index_columns(index_columns: DataFrame) -> DataFrame:
     return index_columns.where(good).select("schema_name", "table_name", "column_name").distinct()
 
 
+def unordered_indexes(index_columns: DataFrame) -> DataFrame:
+    """For each change table the columns of its clustered index in order, and whether they are the change index."""
+    listed = F.array_sort(F.collect_list(F.struct("key_ordinal", "column_name")))  # a handful of columns for each table
+    names = F.transform(listed, lambda x: x["column_name"])
+    found = index_columns.where("index_type = 1").groupBy("table_name").agg(names.alias("names"))
+    return found.select("table_name", F.array_join("names", ",").alias("columns"), (F.col("names") == F.array(*[F.lit(c) for c in CLUSTERED])).alias("in_order"))
+
+
+CLUSTERED = ["__$start_lsn", "__$command_id", "__$seqval", "__$operation"]
+
+
 def clustered_index_in_order(columns: list[str]) -> None:
     """A change table must be clustered by the change index, or pages could skip rows."""
-    wanted = ["__$start_lsn", "__$command_id", "__$seqval", "__$operation"]
-    if columns != wanted:
-        raise ValueError(f"a change table's clustered index must be {wanted}, not {columns}")
+    if columns != CLUSTERED:
+        raise ValueError(f"a change table's clustered index must be {CLUSTERED}, not {columns}")
 
 
 def instance_changes(current: DataFrame, new: DataFrame, progress: DataFrame, has_rows: DataFrame) -> DataFrame:

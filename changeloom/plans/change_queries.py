@@ -256,3 +256,11 @@ def capture_instance_change(t: Inputs):
     seen = t.progress_log.where("change_table_name = 'cdc.app_user_state_v1_CT'").agg(F.max("lsn").alias("lsn")).select(F.lit("app").alias("schema_name"), F.lit("user_state").alias("table_name"), "lsn")
     rows = t.ct_user.select(F.lit(1).alias("one")).limit(1).agg((F.count("*") > 0).alias("has_rows")).select(F.lit("app").alias("schema_name"), F.lit("user_state").alias("table_name"), "has_rows")
     return catalog.instance_changes(current, new, seen, rows)
+
+
+@BOOK.query(
+    "index_contract",
+    "SELECT table_name, columns, columns = '__$start_lsn,__$command_id,__$seqval,__$operation' AS in_order FROM (SELECT table_name, string_agg(column_name, ',' ORDER BY key_ordinal) AS columns FROM ct_index_columns WHERE index_type = 1 GROUP BY 1) x",
+)
+def index_contract(t: Inputs):
+    return catalog.unordered_indexes(t.ct_index_columns)

@@ -104,3 +104,42 @@ def ddl_added_columns(t: Inputs):
 @BOOK.query("message_coordinates", "SELECT topic || ':' || partition_id || '@' || msg_offset AS at FROM topic_user")
 def message_coordinates(t: Inputs):
     return t.topic_user.select(X.coordinates().alias("at"))
+
+
+@BOOK.query(
+    "target_encodings",
+    "SELECT event_id, hex(event_type) AS plain_hex, array_to_string([hex(c) || '00' for c in string_split(event_type, '') if c <> ''], '') AS national_hex FROM events",
+)
+def target_encodings(t: Inputs):
+    return t.table("events").select("event_id", F.hex(X.encoded(F.col("event_type"), "cp1252")).alias("plain_hex"), F.hex(X.encoded(F.col("event_type"), "utf-16le")).alias("national_hex"))
+
+
+@BOOK.query("cut_utf16", "SELECT event_id, left(event_type, CAST(event_id % 11 AS INT) // 2) AS told FROM events")
+def cut_utf16(t: Inputs):
+    """Text of which a driver has handed over only so many bytes."""
+    raw = F.substr(F.encode("event_type", "UTF-16LE"), F.lit(1), (F.col("event_id") % 11).cast("int"))
+    return t.table("events").select("event_id", X.decode_utf16(raw).alias("told"))
+
+
+_OFFSETS = "SELECT event_id, ts, CAST(event_id % 24 - 11 AS INT) AS hours FROM events"
+
+
+@BOOK.query(
+    "datetimeoffset_text",
+    f"SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN ts = date_trunc('second', ts) THEN '' ELSE strftime(ts, '.%f') || '0' END || CASE WHEN hours < 0 THEN '-' ELSE '+' END || lpad(CAST(abs(hours) AS VARCHAR), 2, '0') || ':00' AS told FROM ({_OFFSETS}) x",
+)
+def datetimeoffset_text(t: Inputs):
+    def little(value, size: int):
+        flat = F.lpad(F.hex(F.pmod(value.cast("long"), F.lit(1 << (8 * size)))), 2 * size, "0")
+        return F.concat(*[F.unhex(F.substr(flat, F.lit(2 * i + 1), F.lit(2))) for i in reversed(range(size))])
+
+    at, hours = F.col("ts"), (F.col("event_id") % 24 - 11).cast("int")
+    nanos = (F.unix_micros(at.cast("timestamp")) % 1_000_000) * 1000
+    fields = [(F.year(at), 2), (F.month(at), 2), (F.dayofmonth(at), 2), (F.hour(at), 2), (F.minute(at), 2), (F.second(at), 2), (nanos, 4), (hours, 2), (F.lit(0), 2)]
+    return t.table("events").select("event_id", X.datetimeoffset_text(F.concat(*[little(v, n) for v, n in fields])).alias("told"))
+
+
+@BOOK.query("zone_to_utc", "SELECT event_id, (ts AT TIME ZONE 'America/Los_Angeles') AT TIME ZONE 'UTC' - INTERVAL 30 SECOND AS utc FROM events WHERE hour(ts) NOT IN (1, 2)")
+def zone_to_utc(t: Inputs):
+    """Times of a Pacific clock, less a buffer; the hours that a change of clocks drops or doubles are left out."""
+    return t.table("events").where(~F.hour("ts").isin(1, 2)).select("event_id", X.local_to_utc(F.col("ts").cast("timestamp_ntz"), "America/Los_Angeles", 30).alias("utc"))

@@ -438,3 +438,10 @@ def metrics_tumbling(t: Inputs):
 @BOOK.query("cdc_lag", "SELECT date_diff('second', max(tran_end_time), TIMESTAMP '2030-01-01 00:00:00') AS lag_sec FROM (SELECT date_trunc('second', tran_end_time) AS tran_end_time FROM ltm) x")
 def cdc_lag(t: Inputs):
     return metrics.lag_seconds(t.ltm.select(F.date_trunc("second", "tran_end_time").cast("timestamp_ntz").alias("tran_end_time")), F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+@BOOK.query("progress_of_topics", "SELECT topic_name, count(*) FILTER (progress_kind = 'change_rows' AND lsn IS NOT NULL) AS change_entries, count(*) FILTER (progress_kind = 'snapshot_rows') AS snapshot_entries FROM progress_kinds WHERE topic_name IN ('app_user_state_cdc', 'other') GROUP BY 1")
+def progress_of_topics(t: Inputs):
+    """The report over chosen topics."""
+    chosen = t.progress_kinds.where(F.col("topic_name").isin("app_user_state_cdc", "other"))
+    return validate.progress_summary(chosen).select("topic_name", "change_entries", "snapshot_entries")

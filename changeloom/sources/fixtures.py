@@ -149,6 +149,10 @@ n AS (SELECT m.*, row_number() OVER (ORDER BY lsn, command_id, seqval, operation
 k AS (SELECT * FROM (VALUES ('sound'),('order'),('tombstones'),('unexpected'),('snapshots')) AS t(fault))
 SELECT fault AS topic, 0 AS partition_id, CASE WHEN fault='order' AND o%400=20 THEN o*10+405 ELSE o*10 END AS msg_offset, CASE WHEN fault='unexpected' AND o%1000=7 THEN 'app_surprise_cdc' ELSE original_topic END AS original_topic,
   lsn, command_id, seqval, CASE WHEN fault='tombstones' AND o%5000=9 THEN NULL WHEN fault='snapshots' AND o%700=3 THEN 0 ELSE operation END AS operation FROM n CROSS JOIN k
+""",
+    "ct_index_columns": """
+SELECT * FROM (VALUES ('app_a_CT','__$start_lsn',1,1),('app_a_CT','__$command_id',2,1),('app_a_CT','__$seqval',3,1),('app_a_CT','__$operation',4,1),('app_b_CT','__$seqval',2,1),('app_b_CT','__$start_lsn',1,1),('app_b_CT','__$operation',3,1),
+ ('app_c_CT','__$operation',4,1),('app_c_CT','__$seqval',3,1),('app_c_CT','__$command_id',2,1),('app_c_CT','__$start_lsn',1,1),('app_c_CT','x',1,2)) AS t(table_name, column_name, key_ordinal, index_type)
 """,
     "gap_cases": """
 SELECT * FROM (VALUES (1,'0x00000000000000000000','0x00000000000000000100',NULL,'raise_exception',true),(2,'0x00000000000000000100','0x00000000000000000100',NULL,'raise_exception',true),
