@@ -5,8 +5,8 @@ whitespace marker, its blanks become markers, and the segmentation of the highes
 method; a character that no piece covers falls back to byte pieces (or to the unknown piece where the model has none).
 Decoding joins the pieces' bytes, turns markers into blanks and drops the first.
 
-Where no piece holds a marker after another character, a text falls apart at markers, and each distinct part of a batch
-is segmented once, all parts in step: the trie is walked from every byte at once, and the best path is extended over all
+Where no piece holds a marker after another character, a text falls apart at markers, and a task segments each distinct
+part once as long as it remembers it (`SEEN` parts), all new parts of a run of text in step: the trie is walked from every byte at once, and the best path is extended over all
 parts position by position. Scores add up in double precision; ties go to the longer last piece.
 
 Edge cases: repeated rows are encoded one by one; an empty table gives an empty result; a text is segmented whole however
@@ -33,6 +33,7 @@ from changeloom.llm.common import annotate, fresh_name, span_hashes, text_chunks
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
+SEEN = 250_000  # distinct parts that a task remembers, and an eighth of the pieces in them
 CHUNK = 512 << 10  # bytes of text segmented at once; bounds a worker's memory
 # Fixed values of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -155,9 +156,46 @@ class DoubleArray:
 # ------------------------------------------------------------------ encoding
 
 
+class Seen:
+    """Segmentations of the parts that a task has met, by their hashes; forgotten when there are more than `SEEN`, or long ones."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.kinds, self.at, self.count, self.score = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def find(self, kinds: np.ndarray) -> np.ndarray:
+        """Which of these ascending hashes are known; if there would be too many, none, and those from before are gone."""
+        place = np.minimum(np.searchsorted(self.kinds, kinds), max(0, len(self.kinds) - 1))
+        known = self.kinds[place] == kinds if len(self.kinds) else np.zeros(len(kinds), bool)
+        if len(self.kinds) and (len(self.kinds) + int((~known).sum()) > SEEN or self.used > 8 * SEEN):
+            self.clear()
+            known = np.zeros(len(kinds), bool)
+        return known
+
+    def add(self, kinds: np.ndarray, known: np.ndarray, ids: np.ndarray, off: np.ndarray, scores: np.ndarray) -> None:
+        """The segmentations of the hashes that were not known, in their order."""
+        new = kinds[~known]
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], ids, np.zeros(self.used + len(ids), np.int32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        place = np.searchsorted(self.kinds, new)
+        self.at, self.count, self.score = np.insert(self.at, place, self.used + off[:-1]), np.insert(self.count, place, np.diff(off)), np.insert(self.score, place, scores)
+        self.kinds = np.insert(self.kinds, place, new)
+        self.used += len(ids)
+
+    def of(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all that is known, where those of each hash begin, how many they are, their scores)."""
+        place = np.searchsorted(self.kinds, kinds)
+        return self.ids, self.at[place], self.count[place], self.score[place]
+
+
 class Encoder:
     def __init__(self, pieces: list[Piece], dummy: bool = True):
         self.dummy = dummy
+        self.seen = Seen()
         self.bytes_of = [b"" if p.kind in (CONTROL, UNUSED) else bytes([int(p.text[3:5], 16)]) if p.kind == BYTE else " ⁇ ".encode() if p.kind == UNKNOWN else p.text.replace(MARKER, " ").encode() for p in pieces]
         usable = [(i, p) for i, p in enumerate(pieces) if p.kind in (NORMAL, USER_DEFINED) and p.text]
         normal = [p.score for p in pieces if p.kind == NORMAL]
@@ -281,16 +319,20 @@ class Encoder:
         ends = np.append(starts[1:], len(buf))
         if len(starts) and len(buf):
             hashes = span_hashes(buf, starts, ends, lower=False)
-            _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+            kinds, first, number = np.unique(hashes, return_index=True, return_inverse=True)
         else:
-            first = number = np.zeros(0, np.int64)
-        size = ends[first] - starts[first] if len(first) else np.zeros(0, np.int64)
+            kinds, first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            number = first
+        known = self.seen.find(kinds)
+        new = first[~known]
+        size = ends[new] - starts[new] if len(new) else np.zeros(0, np.int64)
         own_off = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        where = np.repeat(starts[first] if len(first) else size, size) + np.arange(own_off[-1]) - np.repeat(own_off[:-1], size)
-        ids, id_off, scores = self.segment(buf[where], own_off)
-        count = np.diff(id_off)[number]
+        where = np.repeat(starts[new] if len(new) else size, size) + np.arange(own_off[-1]) - np.repeat(own_off[:-1], size)
+        self.seen.add(kinds, known, *self.segment(buf[where], own_off))
+        ids, id_at, id_count, scores = self.seen.of(kinds)
+        count = id_count[number]
         total = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
-        take = np.repeat(id_off[:-1][number], count) + np.arange(total[-1]) - np.repeat(total[:-1], count)
+        take = np.repeat(id_at[number], count) + np.arange(total[-1]) - np.repeat(total[:-1], count)
         part_off = np.searchsorted(starts, off)
         running = np.concatenate([[0.0], np.cumsum(scores[number])])
         return ids[take], total[part_off], running[part_off[1:]] - running[part_off[:-1]]

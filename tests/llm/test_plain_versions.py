@@ -221,3 +221,20 @@ def test_statistics_of_odd_texts(text):
     raw = text.encode()
     got = dict(zip(quality_rules.STATISTICS, (v[0] for v in quality_rules.statistics(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))), strict=True))
     assert got == pytest.approx(plain_statistics(text))
+
+
+def test_what_a_task_remembers_changes_nothing(monkeypatch, docs):
+    pieces = sentencepiece.read_model(PIECES)[0]
+    texts = list(docs.text[:40])
+
+    def encoded(encoder, some):
+        raw = [t.encode() for t in some]
+        ids, off, score = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]))
+        return [(ids[a:b].tolist(), round(s, 6)) for a, b, s in zip(off, off[1:], score, strict=False)]
+
+    want = [x for t in texts for x in encoded(sentencepiece.Encoder(pieces), [t])]
+    for bound in (10**9, 300, 0):
+        monkeypatch.setattr(sentencepiece, "SEEN", bound)
+        encoder = sentencepiece.Encoder(pieces)
+        assert [x for at in range(0, 40, 4) for x in encoded(encoder, texts[at : at + 4])] == want
+        assert encoded(encoder, ["", " ", texts[0]])[2] == want[0]
