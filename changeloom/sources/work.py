@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +37,31 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
+_open = threading.local()
+
+
+@contextmanager
+def scoped(spark: SparkSession) -> Iterator[None]:
+    """Tables that `cut` writes in this thread go at the end: a long run must not fill the shared folder."""
+    _open.scopes = [*getattr(_open, "scopes", []), []]
+    try:
+        yield
+    finally:
+        *_open.scopes, own = _open.scopes
+        for path in own:
+            remove(spark, path)
+
+
 def cut(df: DataFrame, name: str = "table") -> DataFrame:
-    """The rows written to the shared folder and read again: later plans don't repeat the work. Goes when the driver ends."""
+    """The rows written to the shared folder and read again: later plans don't repeat the work. Goes when the driver ends, or the scope around it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/changeloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(remove, spark, path)
+    scopes = getattr(_open, "scopes", [])
+    if scopes:
+        scopes[-1].append(path)
+    else:
+        atexit.register(remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

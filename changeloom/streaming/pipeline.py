@@ -22,7 +22,7 @@ from changeloom.config import CdcConfig
 from changeloom.functions import expr as X
 from changeloom.model import INDEX_COLUMNS, LOWEST_TEXT, SNAPSHOT, UNIFIED_CHANGE, ChangeIndex, FieldSpec, TableSpec
 from changeloom.operators import changes, decisions, envelope, progress, snapshot
-from changeloom.sources.work import cut, numbered
+from changeloom.sources.work import cut, numbered, scoped
 from changeloom.streaming import sink, source
 
 #: Called with a batch's id and its messages, after the commit.
@@ -180,8 +180,11 @@ class Pipeline:
         return ranked.join(F.broadcast(firsts), ["topic", "partition_id"]).withColumn("msg_offset", offset.cast("long")).drop("_pos", "_first", "_next", "operation_order", "place")
 
     def _batch(self, batch: DataFrame, batch_id: int) -> None:
+        with scoped(self.spark):
+            self._publish(batch, batch_id + self._first_commit)
+
+    def _publish(self, batch: DataFrame, batch_id: int) -> None:
         spark = self.spark
-        batch_id += self._first_commit
         if sink.is_committed(spark, self.out, batch_id):
             return
         at = batch.agg(F.min("start_lsn").alias("a"), F.max("end_lsn").alias("b"), F.min("start_page").alias("p"), F.max("end_page").alias("q")).first()

@@ -287,6 +287,23 @@ def test_clock_is_measured_again():
     assert sync.microseconds() == 7_000_000 and len(reads) == 2
 
 
+def test_a_batch_leaves_no_tables_behind(spark, store, tmp_path):
+    from pathlib import Path
+
+    from changeloom.sources.work import cut, scoped, shared_dir
+
+    shared = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(shared.iterdir())
+    made(spark, store, f"file://{tmp_path}", CdcConfig(new_follow_start_point="earliest", max_lsns=150)).run()
+    assert set(shared.iterdir()) == before
+    with scoped(spark):
+        cut(spark.range(3))
+        with scoped(spark):
+            cut(spark.range(4))
+        assert len(set(shared.iterdir()) - before) == 1
+    assert set(shared.iterdir()) == before
+
+
 def test_topics_to_create():
     config = CdcConfig(partition_count=None, extra_topic_config={"min.insync.replicas": "2"})
     assert config.topic_options(5, 2) == {"partitions": "5", "replication_factor": "2", "cleanup.policy": "compact", "min.insync.replicas": "2"}
