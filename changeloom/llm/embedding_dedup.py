@@ -15,8 +15,9 @@ the square of the number of crowded vectors in dot products; each vector is sent
 and there are at most about `MAX_TILES` of those.
 
 The window bounds the comparisons of a pass, not the links counted: links are then counted exactly among all vectors of
-a component, in tiles of `TILE`, so a group of near copies wider than the window still gets all its links. That follow-up
-costs the square of a component's size in dot products, and sends a vector once for each `TILE` vectors of its component;
+a component, in tiles, so a group of near copies wider than the window still gets all its links. That follow-up costs the
+square of a component's size in dot products, and sends a vector once for each tile: `FEW_TILES`, or one for each `TILE`
+vectors of its component where those are more;
 equal vectors count as one vector with a weight. Vectors travel in the precision of their table.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing, as do vectors of
@@ -43,7 +44,7 @@ from changeloom.llm.common import Workspace, connected_components
 
 WINDOW = 2048
 BLOCK, BLOCK_BYTES = 16384, 16 << 20  # neighbours in the order that meet in one task, at most
-TILE = 4096
+TILE, LEAST_TILE, FEW_TILES = 4096, 256, 8  # a component is cut into so few tiles, or more of TILE, as long as they aren't too small
 ROWS_AT_ONCE = 512  # rows of a matrix of cosines
 RECALL = 0.995
 BITS = 62
@@ -366,7 +367,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, window: int = WINDO
 
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     roots = ws.table(connected_components(ws, links), "roots")
-    sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    tile = F.greatest(F.lit(LEAST_TILE), F.least(F.lit(TILE), F.ceil(F.count("*") / FEW_TILES)))
+    sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     groups = max(1, shuffles) * SMALL_GROUPS
     tiled = (
         roots.join(sizes, "root")
