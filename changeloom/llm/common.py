@@ -257,6 +257,27 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
+# ------------------------------------------------------------------ hot keys
+
+HUB_ROWS, MAX_HUBS, SALTS = 512, 1024, 64
+
+
+def with_group(rows: DataFrame, key: str, by: str, n: int, *aggregates: Column) -> DataFrame:
+    """Rows with aggregates over all rows of their key, of which no task gets very many.
+
+    rows has at most n rows. Keys with more than `HUB_ROWS` and an n-th of `MAX_HUBS` are fewer than those, so their list may
+    be broadcast; their rows are dealt over `SALTS` tasks by the column `by`. A join with an aggregate isn't split by the
+    optimizer. Aggregates come from partial ones, so they meet in no task either.
+    """
+    most = max(HUB_ROWS, -(-n // MAX_HUBS))
+    group = rows.groupBy(key).agg(*aggregates, F.count("*").alias("_rows"))
+    hubs = group.where(F.col("_rows") > most).select(F.col(key).alias("_hub"))
+    salt = F.when(F.col("_hub").isNotNull(), F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(0).cast("int")
+    dealt = rows.join(F.broadcast(hubs), F.col(key) == F.col("_hub"), "left").withColumn("_salt", salt).drop("_hub")
+    salts = F.when(F.col("_rows") > most, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(group.withColumn("_salt", F.explode(salts)).drop("_rows"), [key, "_salt"]).drop("_salt")
+
+
 # ------------------------------------------------------------------ connected components
 
 
@@ -264,7 +285,7 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of `edges` (a, b); root is the smallest node reachable.
 
     Alternates large-star and small-star steps on the edge table until it is a forest of stars. A hub's neighbours are
-    reduced with map-side minima and met again by an equi-join, which Spark can split; rounds are logarithmic.
+    reduced with map-side minima and met again in many tasks (`with_group`); rounds are logarithmic.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = ws.table(e, "edges")
@@ -278,11 +299,11 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
         if forest.isEmpty():
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         both = e.select(F.col("u").alias("s"), F.col("v").alias("d")).unionAll(e.select(F.col("v").alias("s"), F.col("u").alias("d")))
-        least = both.groupBy("s").agg(F.min("d").alias("m")).select("s", F.least("s", "m").alias("m"))
-        large = both.join(least, "s").where("d > s").select(F.col("d").alias("u"), F.col("m").alias("v")).distinct()
+        met = with_group(both, "s", "d", 2 * n, F.min("d").alias("m"))
+        large = met.where("d > s").select(F.col("d").alias("u"), F.least("s", "m").alias("v")).distinct()
         large = ws.table(large, "large", 2 * n)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").where("u <> v").distinct()
+        met = with_group(large, "u", "v", 2 * n, F.min("v").alias("m"))
+        small = met.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").where("u <> v").distinct()
         new = ws.table(small, "edges", 2 * n)
         ws.drop(large)
         ws.drop(e)

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import Workspace, connected_components
+from changeloom.llm.common import Workspace, connected_components, with_group
 
 WINDOW = 2048
 BLOCK, BLOCK_BYTES = 16384, 16 << 20  # neighbours in the order that meet in one task, at most
@@ -368,11 +368,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, window: int = WINDO
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     roots = ws.table(connected_components(ws, links), "roots")
     tile = F.greatest(F.lit(LEAST_TILE), F.least(F.lit(TILE), F.ceil(F.count("*") / FEW_TILES)))
-    sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
+    sized = with_group(roots, "root", "node", roots.count(), F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     groups = max(1, shuffles) * SMALL_GROUPS
     tiled = (
-        roots.join(sizes, "root")
-        .join(classes.select("node", "vec", "weight"), "node")
+        sized.join(classes.select("node", "vec", "weight"), "node")
         .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
         .select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
         .select(

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import U64, Workspace, binary_array, connected_components, mix, shingles, sorted_sets, text_chunks, word_hashes, word_spans
+from changeloom.llm.common import U64, Workspace, binary_array, connected_components, mix, shingles, sorted_sets, text_chunks, with_group, word_hashes, word_spans
 
 WORDS = 5
 BANDS, ROWS = 36, 5
@@ -237,8 +237,8 @@ def _verified(percent: int):
 def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar; texts has one row for each text of an id."""
     shuffles, n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs.count()
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    cut = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
+    cut = with_group(pairs, "a", "b", n, F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    cut = cut.select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
     ids = cut.select("a", "part", F.col("b").alias("doc_id")).unionAll(cut.select("a", "part").distinct().select("a", "part", F.col("a").alias("doc_id")))
     group = F.pmod(F.xxhash64("a", "part"), F.lit(max(shuffles, -(-n // PART))))
     return ids.join(texts, "doc_id").withColumn("group", group).groupBy("group").applyInArrow(_verified(percent), "a long, b long")
@@ -258,8 +258,8 @@ def _dealt(members: DataFrame, size: int, rows: int) -> DataFrame:
     The first tiles of buckets share groups, as most are small; members has at most `rows` rows.
     """
     groups = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // size))
-    tiles = members.groupBy("bucket").agg(F.ceil(F.count("*") / size).cast("int").alias("tiles"))
-    tiled = members.join(tiles, "bucket").withColumn("tile", F.pmod(F.xxhash64("rep", F.lit(size)), F.col("tiles")).cast("int"))
+    tiled = with_group(members, "bucket", "rep", rows, F.ceil(F.count("*") / size).cast("int").alias("tiles"))
+    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("rep", F.lit(size)), F.col("tiles")).cast("int"))
     tiled = tiled.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
     side = F.when(F.col("tile") < F.col("other"), -1).when(F.col("tile") > F.col("other"), 1).otherwise(0)
     tiled = tiled.select(*[f.split()[0] for f in _MEMBER.split(", ")], F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), side.alias("side"))
@@ -283,8 +283,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     width = 2 * ROWS
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", i * width + 1, width)) for i in range(BANDS)])
     members = classes.select("rep", F.posexplode(keys).alias("band", "bucket"))
-    leaders = members.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead <> last")
-    shared = ws.table(members.join(leaders.select("bucket", "lead"), "bucket"), "shared")
+    led = with_group(members, "bucket", "rep", BANDS * classes.count(), F.min("rep").alias("lead"), F.max("rep").alias("last"))
+    shared = ws.table(led.where("lead <> last").select("bucket", "rep", "band", "lead"), "shared")
     sets = classes.select("rep", "n_shingles", "regs")
 
     def texts_of(ids: DataFrame) -> DataFrame:
@@ -306,8 +306,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     placed = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     placed = ws.table(placed, "placed")
-    still = placed.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("bucket")
-    met = _dealt(placed.join(still, "bucket").join(sets, "rep"), TILE, placed.count()).groupBy("group").applyInArrow(_likely(least, percent), _MEMBER)
+    still = with_group(placed, "bucket", "rep", placed.count(), F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").drop("r1", "r2")
+    still = ws.table(still, "still")
+    met = _dealt(still.join(sets, "rep"), TILE, still.count()).groupBy("group").applyInArrow(_likely(least, percent), _MEMBER)
     likely = ws.table(met.dropDuplicates(["bucket", "rep"]), "likely")
     # Texts meet in smaller tiles, and only those with a likely partner.
     more = texts_of(likely.select(F.col("rep").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "rep")

@@ -119,6 +119,20 @@ def test_connected_components(spark):
     assert {r.node: r.root for r in got} == {n: groups.find(n) for n in groups.up if any(n in e and e[0] != e[1] for e in edges)}
 
 
+def test_hot_keys_meet_their_aggregates(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(common, "HUB_ROWS", 20)
+    monkeypatch.setattr(common, "MAX_HUBS", 4)
+    rows = [(0, i) for i in range(300)] + [(1 + i % 40, i) for i in range(200)] + [(99, 7)]
+    frame = spark.createDataFrame(rows, "k long, v long")
+    got = common.with_group(frame, "k", "v", len(rows), F.min("v").alias("lo"), F.count("*").alias("n")).collect()
+    by = defaultdict(list)
+    for k, v in rows:
+        by[k].append(v)
+    assert sorted((r.k, r.v, r.lo, r.n) for r in got) == sorted((k, v, min(by[k]), len(by[k])) for k, v in rows)
+
+
 def test_embedding_links(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((300, 24))
