@@ -90,8 +90,9 @@ def lsn_at_or_after(ltm: DataFrame, times: DataFrame) -> DataFrame:
     stacked = ltm.select(F.col("tran_end_time").alias("at"), F.col("start_lsn").alias("lsn")).unionByName(times.select("at", F.lit(None).cast("string").alias("lsn")))
     stacked = numbered(stacked, [F.col("at"), F.col("lsn").asc_nulls_first()], "pos").withColumn("bucket", F.floor(F.col("pos") / BUCKET))
     per_bucket = stacked.groupBy("bucket").agg(F.min("lsn").alias("least"))
-    later = per_bucket.withColumn("beyond", F.min("least").over(Window.orderBy("bucket").rowsBetween(1, Window.unboundedFollowing)))  # one row for each bucket
-    within = Window.partitionBy("bucket").orderBy("pos").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    later = per_bucket.withColumn("beyond", F.min("least").over(Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)))  # one row for each bucket
+    # Backwards: a frame that grows is added to, one that shrinks is made anew for each row.
+    within = Window.partitionBy("bucket").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = stacked.withColumn("inside", F.min("lsn").over(within)).join(later.select("bucket", "beyond"), "bucket")
     return found.where("lsn IS NULL").select("at", F.least("inside", "beyond").alias("lsn"))
 

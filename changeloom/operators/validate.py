@@ -23,15 +23,13 @@ def _with_neighbour(log: DataFrame, value: Column, name: str = "_near", after: b
     """
     cols = log.columns
     rows = log.withColumn("_bucket", F.floor(F.col("msg_offset") / bucket)).withColumn("_value", value)
-    inside = Window.partitionBy(*_LOG, "_bucket").orderBy("msg_offset")
-    across = Window.partitionBy(*_LOG).orderBy("_bucket")
+    # What comes after is met by going backwards: a frame that grows is added to, one that shrinks is made anew for each row.
+    place = (lambda c: F.desc(c)) if after else F.col
+    inside = Window.partitionBy(*_LOG, "_bucket").orderBy(place("msg_offset")).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(*_LOG).orderBy(place("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     where = F.when(F.col("_value").isNotNull(), F.col("msg_offset"))
-    if after:
-        own = F.first("_value", ignorenulls=True).over(inside.rowsBetween(1, Window.unboundedFollowing))
-        edge, carried = F.min_by("_value", where), F.first("_edge", ignorenulls=True).over(across.rowsBetween(1, Window.unboundedFollowing))
-    else:
-        own = F.last("_value", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1))
-        edge, carried = F.max_by("_value", where), F.last("_edge", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    own, carried = F.last("_value", ignorenulls=True).over(inside), F.last("_edge", ignorenulls=True).over(across)
+    edge = (F.min_by if after else F.max_by)("_value", where)
     edges = rows.groupBy(*_LOG, "_bucket").agg(edge.alias("_edge")).withColumn("_carried", carried)
     near = rows.withColumn("_own", own).join(edges.select(*_LOG, "_bucket", "_carried"), [*_LOG, "_bucket"])
     return near.select(*cols, F.coalesce("_own", "_carried").alias(name))
