@@ -50,7 +50,8 @@ def wire_encode(t: Inputs):
     rows = changes.with_event_time(changes.published(t.ct_user), t.ltm)
     messages = envelope.envelope(rows, USER, X.int_mask(F.col("update_mask"))).withColumns({"lsn": F.col("idx.lsn"), "command_id": F.col("idx.command_id")})
     size = F.octet_length("value.props")
-    tail = F.when(size.isNull(), 1).otherwise(1 + F.when(size < 64, 1).otherwise(2) + size)
+    width = 1 + sum((size >= n).cast("int") for n in (1 << 6, 1 << 13, 1 << 20, 1 << 27))  # bytes of the length before the text
+    tail = F.when(size.isNull(), 1).otherwise(1 + width + size)
     messages = messages.withColumns({"tail": tail, "double": F.when(F.col("value.value").isNull(), 0).otherwise(8)})
     found = avro.encode(messages, USER, keep=["topic", "lsn", "command_id", "tail", "double"])
     cut_at = F.octet_length("value") - F.col("tail")
