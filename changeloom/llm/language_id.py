@@ -26,13 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import annotate, binary_array, fresh_name, held_out, text_chunks
+from changeloom.llm.common import Workspace, annotate, binary_array, fresh_name, held_out, text_chunks
 
 MODULUS, REMAINDER = 4, 2
 MAX_PER_LANGUAGE, MAX_TRAIN = 600, 6000
 GRAM_BITS = 12
 PASSAGE, MAX_PASSAGES = 400, 15  # bytes of a passage at least; an odd number of passages, so that one is in the middle
-CUT_QUANTILE, CUT_SAMPLE, CUT_LEAST = 0.001, 4000, 200  # of correct held-out documents; fewer than the least set no cut
+CUT_QUANTILE, CUT_LEAST = 0.001, 200  # of correct held-out documents; fewer than the least set no cut
+RANGE_PARTS = 4096  # of a range of scores, in which the quantile is looked for
 UNKNOWN = "und"
 FAMILIES = {
     "germanic": ["en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af"],
@@ -272,14 +273,35 @@ def with_majority(docs: DataFrame, model: LanguageModel, keep: list[str]) -> tup
     return annotate(docs, "text", rate, [(lang, "string"), (score, "double")], keep), lang, score
 
 
+def value_at(values: DataFrame, column: str, place: int) -> float:
+    """The value that stands at a place, from 0, in the order of all values.
+
+    Ranges that hold the place are made narrower until one value is left; of each, `RANGE_PARTS` counts come to the driver.
+    """
+    value = F.col(column)
+    low, high = values.agg(F.min(value), F.max(value)).first()
+    while low < high:
+        part = F.least(F.floor((value - low) / (high - low) * RANGE_PARTS), F.lit(RANGE_PARTS - 1)).alias("part")
+        counts = values.where(value.between(low, high)).groupBy(part).agg(F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
+        for r in sorted(counts.collect(), key=lambda r: r.part):
+            if place < r.n:
+                low, high = r.low, r.high
+                break
+            place -= r.n
+    return low
+
+
 def learn_cut(docs: DataFrame, model: LanguageModel) -> float:
-    """The score below which a text is in no learned language: a low quantile of correct held-out documents, 0 if they are few."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    ids = ids.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & held_out(F.col("doc_id"), MODULUS, REMAINDER))
-    some = ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").limit(CUT_SAMPLE)
-    rated, lang, score = with_majority(ids.join(F.broadcast(some), "doc_id"), model, ["doc_id", "lang", "text"])
-    right = [r[0] for r in rated.where(F.col(lang) == F.col("lang")).select(score).limit(4 * CUT_SAMPLE).collect()]
-    return float(np.quantile(right, CUT_QUANTILE, method="lower")) if len(right) >= CUT_LEAST else 0.0
+    """The score below which a text is in no learned language: a low quantile of all correct held-out documents, 0 if they are few."""
+    ws = Workspace(docs.sparkSession, "cut")
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    known = known.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & held_out(F.col("doc_id"), MODULUS, REMAINDER))
+    rated, lang, score = with_majority(known.select("lang", "text"), model, ["lang"])
+    right = ws.table(rated.where((F.col(lang) == F.col("lang")) & (F.col(score) >= 0)).select(score), "right")
+    n = right.count()
+    cut = value_at(right, score, int(CUT_QUANTILE * (n - 1))) if n >= CUT_LEAST else 0.0
+    ws.clear()
+    return cut
 
 
 def languages(docs: DataFrame) -> DataFrame:
