@@ -262,15 +262,17 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 HUB_ROWS, MAX_HUBS, SALTS = 512, 1024, 64
 
 
-def with_group(rows: DataFrame, key: str, by: str, n: int, *aggregates: Column) -> DataFrame:
+def with_group(rows: DataFrame, key: str, by: str, n: int, *aggregates: Column, group: DataFrame | None = None) -> DataFrame:
     """Rows with aggregates over all rows of their key, of which no task gets very many.
 
-    rows has at most n rows. Keys with more than `HUB_ROWS` and an n-th of `MAX_HUBS` are fewer than those, so their list may
+    rows has at most n rows. `group` stands for the aggregates where they take more than one step: a row for each key, with
+    its number of rows as `_rows`. Keys with more than `HUB_ROWS` and an n-th of `MAX_HUBS` are fewer than those, so their list may
     be broadcast; their rows are dealt over `SALTS` tasks by the column `by`. A join with an aggregate isn't split by the
     optimizer. Aggregates come from partial ones, so they meet in no task either.
     """
     most = max(HUB_ROWS, -(-n // MAX_HUBS))
-    group = rows.groupBy(key).agg(*aggregates, F.count("*").alias("_rows"))
+    if group is None:
+        group = rows.groupBy(key).agg(*aggregates, F.count("*").alias("_rows"))
     hubs = group.where(F.col("_rows") > most).select(F.col(key).alias("_hub"))
     salt = F.when(F.col("_hub").isNotNull(), F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(0).cast("int")
     dealt = rows.join(F.broadcast(hubs), F.col(key) == F.col("_hub"), "left").withColumn("_salt", salt).drop("_hub")

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.llm.common import U64, Workspace, binary_array, connected_components, mix, shingles, sorted_sets, text_chunks, with_group, word_hashes, word_spans
@@ -36,6 +36,7 @@ BANDS, ROWS = 36, 5
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.02, 20.0, 2046  # b, a, q of the sketch
 TILE = 512  # members of a bucket that meet as ids and registers
+MOST_TILES = 32  # of one component or of the others, beyond which tiles without texts grow
 PART = 512  # partners of a document, and members of a tile with texts, that one task holds together
 MARGIN = 5.0  # standard errors below the threshold at which an estimate still gets verified
 
@@ -252,18 +253,36 @@ def _one_set(text: pa.Scalar) -> np.ndarray:
 _MEMBER = "bucket long, rep long, root long, lead long, band int, n_shingles long, regs binary"
 
 
-def _dealt(members: DataFrame, size: int, rows: int) -> DataFrame:
+def _tile_count(members: Column, size: int, most: int | None) -> Column:
+    """Tiles of about `size` members; beyond `most` of them tiles grow, too, both with the square root of the members."""
+    tiles = members / size
+    return F.ceil(tiles if most is None else F.least(tiles, F.sqrt(tiles * most))).cast("int")
+
+
+def _dealt(members: DataFrame, sets: list[DataFrame], size: int, rows: int, most: int | None = None) -> DataFrame:
     """Members of buckets in tiles of about `size`, each row once for each pair of tiles that it is in.
 
-    The first tiles of buckets share groups, as most are small; members has at most `rows` rows.
+    A bucket with more than `size` members has tiles of its own for its largest component, the first ones, which don't meet
+    each other: linked members aren't compared, so their rows only follow the number of tiles of all others. `sets` are
+    joined by `rep` before rows are repeated. The tiles of small buckets share groups; members has at most `rows` rows.
     """
     groups = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // size))
-    tiled = with_group(members, "bucket", "rep", rows, F.ceil(F.count("*") / size).cast("int").alias("tiles"))
-    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("rep", F.lit(size)), F.col("tiles")).cast("int"))
-    tiled = tiled.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    sizes = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("_rows"))
+    split = F.col("_rows") > size
+    first = F.when(split, _tile_count(F.col("main.n"), size, most)).otherwise(0)
+    rest = F.when(split, F.greatest(_tile_count(F.col("_rows") - F.col("main.n"), size, most), F.lit(1))).otherwise(1)
+    sizes = sizes.select("bucket", "_rows", F.col("main.root").alias("main"), first.alias("first"), rest.alias("rest"))
+    tiled = with_group(members, "bucket", "rep", rows, group=sizes)
+    for own in sets:
+        tiled = tiled.join(own, "rep")
+    linked = (F.col("first") > 0) & (F.col("root") == F.col("main"))
+    place = F.xxhash64("rep", F.lit(size))
+    tiled = tiled.withColumn("tile", F.when(linked, F.pmod(place, F.greatest("first", F.lit(1)))).otherwise(F.col("first") + F.pmod(place, F.col("rest"))).cast("int"))
+    tiled = tiled.select("*", F.explode(F.sequence(F.when(linked, F.col("first")).otherwise(0), F.col("first") + F.col("rest") - 1)).alias("other"))
     side = F.when(F.col("tile") < F.col("other"), -1).when(F.col("tile") > F.col("other"), 1).otherwise(0)
-    tiled = tiled.select(*[f.split()[0] for f in _MEMBER.split(", ")], F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), side.alias("side"))
-    group = F.when((F.col("t1") == F.col("t2")) & (F.col("t1") == 0), F.pmod(F.xxhash64("bucket"), F.lit(groups))).otherwise(F.xxhash64(*_TILE_KEY))
+    tiled = tiled.withColumns({"t1": F.least("tile", "other"), "t2": F.greatest("tile", "other"), "side": side}).drop("main", "first", "rest", "tile", "other")
+    group = F.when(F.col("t2") == 0, F.pmod(F.xxhash64("bucket"), F.lit(groups))).otherwise(F.xxhash64(*_TILE_KEY))
     return tiled.withColumn("group", group)
 
 
@@ -308,11 +327,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     placed = ws.table(placed, "placed")
     still = with_group(placed, "bucket", "rep", placed.count(), F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").drop("r1", "r2")
     still = ws.table(still, "still")
-    met = _dealt(still.join(sets, "rep"), TILE, still.count()).groupBy("group").applyInArrow(_likely(least, percent), _MEMBER)
+    met = _dealt(still, [sets], TILE, still.count(), MOST_TILES).groupBy("group").applyInArrow(_likely(least, percent), _MEMBER)
     likely = ws.table(met.dropDuplicates(["bucket", "rep"]), "likely")
     # Texts meet in smaller tiles, and only those with a likely partner.
     more = texts_of(likely.select(F.col("rep").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "rep")
-    both = _dealt(likely, PART, likely.count()).join(more, "rep")
+    both = _dealt(likely, [more], PART, likely.count())
     links2 = ws.table(both.groupBy("group").applyInArrow(_tile_links(least, percent), "a long, b long").distinct(), "links")
 
     roots = connected_components(ws, links.unionByName(links2).unionByName(same_id)).withColumnRenamed("node", "rep")
