@@ -260,7 +260,7 @@ def _tile_count(members: Column, size: int, most: int | None) -> Column:
 
 
 def _dealt(members: DataFrame, sets: list[DataFrame], size: int, rows: int, most: int | None = None) -> DataFrame:
-    """Members of buckets in tiles of about `size`, each row once for each pair of tiles that it is in.
+    """Members of buckets that hold several components in tiles of about `size`, each row once for each pair of tiles that it is in.
 
     A bucket with more than `size` members has tiles of its own for its largest component, the first ones, which don't meet
     each other: linked members aren't compared, so their rows only follow the number of tiles of all others. `sets` are
@@ -272,8 +272,8 @@ def _dealt(members: DataFrame, sets: list[DataFrame], size: int, rows: int, most
     split = F.col("_rows") > size
     first = F.when(split, _tile_count(F.col("main.n"), size, most)).otherwise(0)
     rest = F.when(split, F.greatest(_tile_count(F.col("_rows") - F.col("main.n"), size, most), F.lit(1))).otherwise(1)
-    sizes = sizes.select("bucket", "_rows", F.col("main.root").alias("main"), first.alias("first"), rest.alias("rest"))
-    tiled = with_group(members, "bucket", "rep", rows, group=sizes)
+    sizes = sizes.select("bucket", "_rows", F.col("main.root").alias("main"), first.alias("first"), rest.alias("rest"), (F.col("main.n") < F.col("_rows")).alias("apart"))
+    tiled = with_group(members, "bucket", "rep", rows, group=sizes).where("apart")
     for own in sets:
         tiled = tiled.join(own, "rep")
     linked = (F.col("first") > 0) & (F.col("root") == F.col("main"))
@@ -281,7 +281,7 @@ def _dealt(members: DataFrame, sets: list[DataFrame], size: int, rows: int, most
     tiled = tiled.withColumn("tile", F.when(linked, F.pmod(place, F.greatest("first", F.lit(1)))).otherwise(F.col("first") + F.pmod(place, F.col("rest"))).cast("int"))
     tiled = tiled.select("*", F.explode(F.sequence(F.when(linked, F.col("first")).otherwise(0), F.col("first") + F.col("rest") - 1)).alias("other"))
     side = F.when(F.col("tile") < F.col("other"), -1).when(F.col("tile") > F.col("other"), 1).otherwise(0)
-    tiled = tiled.withColumns({"t1": F.least("tile", "other"), "t2": F.greatest("tile", "other"), "side": side}).drop("main", "first", "rest", "tile", "other")
+    tiled = tiled.withColumns({"t1": F.least("tile", "other"), "t2": F.greatest("tile", "other"), "side": side}).drop("main", "first", "rest", "apart", "tile", "other")
     group = F.when(F.col("t2") == 0, F.pmod(F.xxhash64("bucket"), F.lit(groups))).otherwise(F.xxhash64(*_TILE_KEY))
     return tiled.withColumn("group", group)
 
@@ -325,9 +325,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     placed = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     placed = ws.table(placed, "placed")
-    still = with_group(placed, "bucket", "rep", placed.count(), F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").drop("r1", "r2")
-    still = ws.table(still, "still")
-    met = _dealt(still, [sets], TILE, still.count(), MOST_TILES).groupBy("group").applyInArrow(_likely(least, percent), _MEMBER)
+    met = _dealt(placed, [sets], TILE, placed.count(), MOST_TILES).groupBy("group").applyInArrow(_likely(least, percent), _MEMBER)
     likely = ws.table(met.dropDuplicates(["bucket", "rep"]), "likely")
     # Texts meet in smaller tiles, and only those with a likely partner.
     more = texts_of(likely.select(F.col("rep").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "rep")

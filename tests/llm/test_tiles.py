@@ -9,7 +9,7 @@ import pytest
 from changeloom.llm import minhash_dedup
 
 SIZE = 64
-ROOTS = {1: [0] * 600 + list(range(1, 31)), 2: [0] * 20 + [1] * 9 + [2], 3: list(range(300)), 4: [7] * 200 + [8] * 200}
+ROOTS = {1: [0] * 600 + list(range(1, 31)), 2: [0] * 20 + [1] * 9 + [2], 3: list(range(300)), 4: [7] * 200 + [8] * 200, 5: [3] * 150, 6: [1, 1]}
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +36,7 @@ def test_rows_of_the_largest_component_follow_the_others(dealt):
     assert rows[2] == 30
     assert rows[3] <= 300 * 6
     assert rows[4] <= 400 * (4 + 4)
+    assert rows[5] == rows[6] == 0
 
 
 def test_many_tiles_grow(spark):
