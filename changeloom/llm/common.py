@@ -24,6 +24,11 @@ from pyspark.sql import types as T
 U64 = np.uint64
 CHUNK_BYTES = 1 << 20
 ROWS_A_TASK, LEAST_TASKS = 50_000, 4  # of small rows, where a table's number of rows is known before it is written
+TASK_BYTES, LEAST_ROUNDS = 64 << 20, 2  # of input; a core gets at least so many tasks
+GROUP_BYTES = 4 << 20  # of a row group of packed rows: writing holds one, and reading makes a batch of each
+#: No checksum files beside those of a local file system: an executor's JVM starts a process to set the mode of each file.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+PACKED = {"compression": "uncompressed", "parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": "false"}
 
 
 # ------------------------------------------------------------------ shared folder
@@ -49,11 +54,11 @@ class Workspace:
     """Intermediate tables in the shared folder: they cut lineage and survive lost executors.
 
     Each table is written by Spark's own committer under a folder with a fresh name. An operator that returns `result` leaves
-    only that; what is left goes when the driver ends.
+    only that; what is left goes when the driver ends. `checksums` is about a local file system only.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, name: str, checksums: bool = True):
+        self.spark, self.checksums = spark, checksums
         self.path = f"{shared_dir(spark)}/changeloom-{name}-{uuid.uuid4().hex}"
         self.count = 0
         self.tables: list[str] = []
@@ -63,12 +68,15 @@ class Workspace:
         self.count += 1
         return f"{self.path}/{self.count:03d}-{name}"
 
-    def table(self, df: DataFrame, name: str = "t", rows: int | None = None) -> DataFrame:
-        """The rows of df, written and read again; `rows`, where a bound on their number is known, keeps files from being tiny."""
+    def table(self, df: DataFrame, name: str = "t", rows: int | None = None, packed: bool = False) -> DataFrame:
+        """The rows of df, written and read again; `rows`, where a bound on their number is known, keeps files from being tiny.
+
+        `packed` is for rows of large compressed binaries: in a row group of Parquet's usual size a task would hold all of them.
+        """
         path = self.fresh(name)
         if rows is not None:
             df = df.coalesce(max(LEAST_TASKS, -(-rows // ROWS_A_TASK)))
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(**(PACKED if packed else {"compression": "zstd"}), **({} if self.checksums else PLAIN_FILES)).parquet(path)
         self.tables.append(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._work_path = path
@@ -96,6 +104,16 @@ class Workspace:
             self.remove(self.path)
 
 
+def tasks_for(df: DataFrame, size: int) -> int:
+    """A bound on the tasks that read so many bytes."""
+    return min(1 << 20, max(LEAST_ROUNDS * df.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate, without running anything; very large where it has none."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 # ------------------------------------------------------------------ Arrow access
 
 

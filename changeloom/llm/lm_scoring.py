@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import CHUNK_BYTES, U64, Workspace, mix, text_chunks, word_hashes, word_spans
+from changeloom.llm.common import CHUNK_BYTES, U64, Workspace, estimated_bytes, mix, tasks_for, text_chunks, word_hashes, word_spans
 
 MODULUS, REMAINDER = 5, 1
 PRIOR2, PRIOR3 = 1000.0, 5.0  # by held-out perplexity: see the README
@@ -391,11 +391,11 @@ def resolve(ws: Workspace, messages: DataFrame, senders: int, fan: int = FAN) ->
     """The answers to messages of so many senders, by a tree in which a group gets about `fan` messages."""
     if senders <= fan:
         return messages.groupBy("kind", "slot").applyInArrow(_add_up, _MESSAGE)
-    messages = ws.table(messages, "messages")
+    messages = ws.table(messages, "messages", packed=True)
     parts = -(-senders // fan)
     grouped = messages.withColumn("part", F.pmod(F.xxhash64("sender"), F.lit(parts)).cast("long"))
     merged = grouped.groupBy("kind", "slot", "part").applyInArrow(_merge, _MESSAGE)
-    told = ws.table(resolve(ws, merged, parts, fan), "told")
+    told = ws.table(resolve(ws, merged, parts, fan), "told", packed=True)
     back = told.where("data IS NOT NULL").withColumn("part", F.col("sender"))
     passed = grouped.groupBy("kind", "slot", "part").cogroup(back.groupBy("kind", "slot", "part")).applyInArrow(_pass_on, _MESSAGE)
     return passed.unionByName(told.where("data IS NULL"))
@@ -431,16 +431,17 @@ def _score(slots: int, bits: int, tokens: int, kinds: int, texts: int, priors: t
 
 def lm_scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, fan: int = FAN, priors: tuple[float, float] = (PRIOR2, PRIOR3)) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs (doc_id, text)."""
-    spark, ws = docs.sparkSession, Workspace(docs.sparkSession, "lm")
+    spark, ws = docs.sparkSession, Workspace(docs.sparkSession, "lm", checksums=False)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = ws.table(texts.mapInArrow(_blocks(block_bytes), _BLOCK), "blocks")
+    texts = texts.coalesce(tasks_for(docs, estimated_bytes(docs)))  # before blocks are numbered by partition
+    blocks = ws.table(texts.mapInArrow(_blocks(block_bytes), _BLOCK), "blocks", packed=True)
     sums = blocks.agg(F.count("*").alias("blocks"), F.sum("n_tokens").alias("all"), F.sum("train_tokens").alias("tokens"), F.sum("train_texts").alias("texts")).first()
     tokens, train_texts = int(sums.tokens or 0), int(sums.texts or 0)
     bits = min(62, max(40, int(sums["all"] or 0).bit_length() + 17))
     slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sums.blocks)
     sent = blocks.mapInArrow(_send(slots, bits), _MESSAGE)
-    answers = ws.table(resolve(ws, sent, int(sums.blocks), fan), "answers")
-    kinds = answers.where("data IS NULL").agg(F.sum("sender").alias("n")).first().n or 0
+    answers = ws.table(resolve(ws, sent, int(sums.blocks), fan), "answers", packed=True)
+    kinds = answers.where("sender < 0").agg(F.sum("sender").alias("n")).first().n or 0
     del sent
     gc.collect()
     spark.sparkContext._jvm.System.gc()  # so that the shuffles behind the answers can go before the next ones come
